@@ -52,7 +52,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = cut(whole)
 
     same_row = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["sha"] == b["sha"])
-    twins = cut(blocks.join(whole, same_row(blocks, whole), "left_semi").dropDuplicates(["id", "sha", "at"]))
+    # A merge join at every size: the rows with a twin grow with the corpus, so they are never sent to all executors.
+    twins = cut(blocks.join(whole.hint("merge"), same_row(blocks, whole), "left_semi").dropDuplicates(["id", "sha", "at"]))
     named = twins.join(_numbered(twins.select("block").distinct(), "block"), "block").select("id", "sha", "at", "name")
     longest = twins.agg(F.max("n")).first()[0] or 1
     for _ in range((longest - 1).bit_length()):
