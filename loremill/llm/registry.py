@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, exact_dedup
+from . import bpe, chat_format, exact_dedup, packing, tiff
 from .shared import table
 
 
@@ -14,13 +14,35 @@ def op2_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def _word_bpe() -> str:
+    """The public tokenizer's file; every machine has it at this path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), _word_bpe())
+
+
+def op8_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), _word_bpe())
+
+
+def op10_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiff.text_media(table(spark, sf_dir, "documents"))
+
+
 def op9_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.with_digest(chat_format.rotate_perspectives(table(spark, sf_dir, "conversations")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_block_naming": op2_block_naming,
+    "op3_bin_completion": op3_bin_completion,
+    "op8_backtracking_bpe": op8_backtracking_bpe,
     "op9_perspective_rotation": op9_perspective_rotation,
+    "op10_tiff_pages": op10_tiff_pages,
 }
 
 ORACLE_SQL: dict[str, str] = {
