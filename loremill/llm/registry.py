@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, exact_dedup, packing, tiff
+from . import bpe, chat_format, exact_dedup, packing, quality, tiff, toxicity, url_filter
 from .shared import table
 
 
+#: The rules that the contract fixes.
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+def op1_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -25,6 +33,14 @@ def op3_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _word_bpe())
 
 
+def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op8_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), _word_bpe())
 
@@ -38,8 +54,11 @@ def op9_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_field": op1_line_field,
     "op2_block_naming": op2_block_naming,
     "op3_bin_completion": op3_bin_completion,
+    "op5_string_kernel": op5_string_kernel,
+    "op6_url_ratio": op6_url_ratio,
     "op8_backtracking_bpe": op8_backtracking_bpe,
     "op9_perspective_rotation": op9_perspective_rotation,
     "op10_tiff_pages": op10_tiff_pages,
