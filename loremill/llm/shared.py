@@ -2,33 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.components import cut, shared_dir  # noqa: F401
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read through Spark (the path may be one that only Spark can open)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the cluster names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    The result no longer depends on the executors that computed it, is computed once however often
-    it is read, and joins on it get their own exchange, which adaptive execution can split when a
-    key is hot.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
