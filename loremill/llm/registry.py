@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, exact_dedup, packing, quality, tiff, toxicity, url_filter
+from . import bag_minhash, bpe, chat_format, exact_dedup, packing, quality, tiff, toxicity, url_filter
 from .shared import table
 
 
@@ -41,6 +41,10 @@ def op6_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), _word_bpe())
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bin_completion": op3_bin_completion,
     "op5_string_kernel": op5_string_kernel,
     "op6_url_ratio": op6_url_ratio,
+    "op7_bag_minhash": op7_bag_minhash,
     "op8_backtracking_bpe": op8_backtracking_bpe,
     "op9_perspective_rotation": op9_perspective_rotation,
     "op10_tiff_pages": op10_tiff_pages,
