@@ -16,8 +16,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .labelled import calibrate, fold, sigmoid, training_rows
 from .words import span_hashes
@@ -223,6 +224,26 @@ def score_documents(docs: DataFrame, field: LineField | None, id_col: str = "doc
     return source.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
+def likely_good(docs: DataFrame, field: LineField | None, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``least``, unchanged; all of them without a field."""
+    if field is None:
+        return docs
+
+    @F.pandas_udf(T.DoubleType())
+    def score(text: pd.Series) -> pd.Series:
+        out, at, texts = [], 0, text.tolist()
+        while at < len(texts):
+            part, chars = [], 0
+            while at < len(texts) and chars < SLICE_CHARS:
+                part.append(texts[at] or "")
+                chars += len(part[-1])
+                at += 1
+            out.append(field.score(part))
+        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+
+    return docs.filter(score(F.col(text_col)) >= least)
+
+
 def fit_from(docs: DataFrame, labels: DataFrame) -> LineField | None:
     rows = training_rows(docs, labels, "quality", FOLDS, HELD_OUT, TRAIN_EACH, TRAIN_LONGEST).orderBy("doc_id", "text").collect()
     return fit([r["text"] for r in rows], [r["label"] for r in rows])

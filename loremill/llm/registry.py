@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bag_minhash, bpe, chat_format, exact_dedup, packing, quality, tiff, toxicity, url_filter
+from . import bag_minhash, bpe, chat_format, exact_dedup, packing, passages, quality, tiff, toxicity, url_filter
 from .shared import table
 
 
@@ -22,7 +22,7 @@ def op2_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-def _word_bpe() -> str:
+def word_bpe() -> str:
     """The public tokenizer's file; every machine has it at this path."""
     import public_tokenizers
 
@@ -30,7 +30,11 @@ def _word_bpe() -> str:
 
 
 def op3_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), _word_bpe())
+    return packing.pack_documents(table(spark, sf_dir, "documents"), word_bpe())
+
+
+def op4_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 def op5_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +50,7 @@ def op7_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), _word_bpe())
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), word_bpe())
 
 
 def op10_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_field": op1_line_field,
     "op2_block_naming": op2_block_naming,
     "op3_bin_completion": op3_bin_completion,
+    "op4_collinear_chains": op4_collinear_chains,
     "op5_string_kernel": op5_string_kernel,
     "op6_url_ratio": op6_url_ratio,
     "op7_bag_minhash": op7_bag_minhash,
