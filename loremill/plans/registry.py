@@ -1,7 +1,10 @@
-"""Queries over the given tables, one for each operator, and their SQL."""
+"""All queries over the given tables, and their SQL."""
 
 from __future__ import annotations
 
-FLAGSHIP = ""
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import ingest_queries  # noqa: F401
+from .base import ORACLE_SQL, QUERIES
+
+FLAGSHIP = "q1_ingest_batch"
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
