@@ -11,6 +11,25 @@ def fold(id_col: str, parts: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts)), F.lit(0))
 
 
+def _usable(labels: DataFrame, label: str, parts: int, held_out: int) -> DataFrame:
+    own = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", parts) != held_out))
+    return own.groupBy("doc_id").agg(F.min(label).alias("label"))
+
+
+def class_counts(labels: DataFrame, label: str, parts: int, held_out: int) -> tuple[int, int]:
+    """Labelled documents of class 0 and 1 outside the held-out fold: two numbers, for the classes' true shares."""
+    found = {r["label"]: r["n"] for r in _usable(labels, label, parts, held_out).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return found.get(0, 0), found.get(1, 0)
+
+
+def shares(label: np.ndarray, counts: tuple[int, int] | None) -> np.ndarray | None:
+    """Weights that give the classes of a sample the shares they have among all labelled documents."""
+    if counts is None or not all(counts):
+        return None
+    own = [max(int((label == y).sum()), 1) for y in (0, 1)]
+    return np.where(label == 1, counts[1] / own[1], counts[0] / own[0]) * len(label) / sum(counts)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, each: int, longest: int) -> DataFrame:
     """``doc_id, text, label``: at most ``each`` documents of each class, none from the held-out fold.
 
@@ -19,8 +38,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, parts: int, he
     document that the labels name twice, or contradict themselves on, is left out of neither: its first
     label in order counts.
     """
-    usable = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold("doc_id", parts) != held_out))
-    usable = usable.groupBy("doc_id").agg(F.min(label).alias("label"))
+    usable = _usable(labels, label, parts, held_out)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     drawn = [usable.filter(F.col("label") == y).orderBy(*order).limit(each) for y in (0, 1)]
     # At most 2 * each ids of fixed size: the one side that is sent to all executors.

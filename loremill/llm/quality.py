@@ -20,12 +20,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .labelled import calibrate, fold, sigmoid, training_rows
+from .labelled import calibrate, class_counts, fold, shares, sigmoid, training_rows
 from .words import span_hashes
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
 #: The training sample: documents of each class, and the longest that is learned from.
-TRAIN_EACH, TRAIN_LONGEST = 2500, 40_000
+TRAIN_EACH, TRAIN_LONGEST = 1000, 20_000
 SLICE_CHARS = 2_000_000
 
 LOWER, UPPER, DIGIT, SPACE, STOP, PUNCT, SYMBOL, OTHER = range(8)
@@ -159,7 +159,7 @@ def _odds(q: np.ndarray) -> np.ndarray:
 
 def _train(features: np.ndarray, starts: np.ndarray, target: np.ndarray, steps: int, penalty: float = 1e-3) -> LineField:
     """Maximum likelihood by Adam: expected less given counts of features and label pairs."""
-    f = features.astype(np.float64)
+    f = features  # single precision: the sample's features are what the driver holds
     inner = np.ones(len(f), dtype=bool)
     inner[starts[1:] - 1] = False
     at = np.flatnonzero(inner)
@@ -168,9 +168,9 @@ def _train(features: np.ndarray, starts: np.ndarray, target: np.ndarray, steps:
     theta, m, v = np.zeros(f.shape[1] + 4), 0.0, 0.0
     for k in range(1, steps + 1):
         field.weights, field.pairs = theta[:-4], theta[-4:].reshape(2, 2)
-        lead = f @ field.weights
+        lead = (f @ field.weights.astype(np.float32)).astype(np.float64)
         forward, backward = field.messages(lead, starts)
-        g = f.T @ (sigmoid(forward + backward) - target) / len(f) + penalty * field.weights
+        g = (f.T @ (sigmoid(forward + backward) - target).astype(np.float32)).astype(np.float64) / len(f) + penalty * field.weights
         expected = np.zeros((2, 2))
         if len(at):
             after = lead[at + 1] + backward[at + 1]
@@ -184,7 +184,15 @@ def _train(features: np.ndarray, starts: np.ndarray, target: np.ndarray, steps:
     return field
 
 
-def fit(texts: list[str], labels: list[int], steps: int = 80) -> LineField | None:
+def _sample_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``line_features`` of a sample, some documents at a time, so that only the features are held."""
+    parts = [line_features(texts[k : k + 50]) for k in range(0, len(texts), 50)]
+    offset = np.cumsum([0, *(p[2][-1] for p in parts)])
+    starts = np.concatenate([p[2][:-1] + o for p, o in zip(parts, offset)] + [offset[-1:]])
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), starts
+
+
+def fit(texts: list[str], labels: list[int], counts: tuple[int, int] | None = None, steps: int = 80) -> LineField | None:
     """A field from labelled documents; None if a class has none.
 
     Lines start with their document's label. Lines of bad documents that look good to a first field keep
@@ -193,14 +201,14 @@ def fit(texts: list[str], labels: list[int], steps: int = 80) -> LineField | Non
     y = np.array(labels, dtype=np.float64)
     if not (y == 0).any() or not (y == 1).any():
         return None
-    features, size, starts = line_features(texts)
+    features, size, starts = _sample_features(texts)
     target = np.repeat(y, np.diff(starts))
     balance = _train(features, starts, target, steps // 2)
-    own = features.astype(np.float64) @ balance.weights
+    own = (features @ balance.weights.astype(np.float32)).astype(np.float64)
     worst = np.minimum.reduceat(own, starts[:-1])
     target = np.where((target == 0) & (own > 2) & (own > np.repeat(worst, np.diff(starts))), 1.0, target)
     field = _train(features, starts, target, steps)
-    field.slope, field.offset = calibrate(_odds(field.quality(features, size, starts)), y)
+    field.slope, field.offset = calibrate(_odds(field.quality(features, size, starts)), y, shares(y, counts))
     return field
 
 
@@ -245,8 +253,8 @@ def likely_good(docs: DataFrame, field: LineField | None, least: float = 0.5, te
 
 
 def fit_from(docs: DataFrame, labels: DataFrame) -> LineField | None:
-    rows = training_rows(docs, labels, "quality", FOLDS, HELD_OUT, TRAIN_EACH, TRAIN_LONGEST).orderBy("doc_id", "text").collect()
-    return fit([r["text"] for r in rows], [r["label"] for r in rows])
+    rows = training_rows(docs, labels, "quality", FOLDS, HELD_OUT, TRAIN_EACH, TRAIN_LONGEST).toPandas().sort_values(["doc_id", "text"])
+    return fit(rows["text"].tolist(), rows["label"].tolist(), class_counts(labels, "quality", FOLDS, HELD_OUT))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
