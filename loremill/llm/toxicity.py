@@ -25,18 +25,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .labelled import calibrate, fold, sigmoid, training_rows
+from .labelled import calibrate, class_counts, fold, shares, sigmoid, training_rows
 from .words import lowered
 
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.5
 #: The training sample: documents of each class, and the longest that is learned from.
-TRAIN_EACH, TRAIN_LONGEST = 2500, 20_000
+TRAIN_EACH, TRAIN_LONGEST = 1500, 10_000
 #: Letters in a subsequence span at most SPAN characters; each character of the span costs a factor DECAY.
 SPAN, DECAY, POWER = 7, 0.7, 4
 LETTERS, WINDOW, SENTENCE_WORDS = 32, 24, 40
 #: Landmarks, how many of them are common words, the words they are chosen from, and the kernel value that makes two words alike.
-LANDMARKS, COMMON, CANDIDATES, ALIKE = 48, 6, 200, 0.15
-CACHED_WORDS, BATCH_CHARS = 600_000, 1_000_000
+LANDMARKS, COMMON, CANDIDATES, ALIKE = 48, 6, 150, 0.15
+CACHED_WORDS, BATCH_CHARS, BLOCK = 600_000, 1_000_000, 1024
 
 _STEPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN - a)]
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
@@ -67,11 +67,12 @@ def _triples(code: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]
 
 def landmark_table(landmarks: list[str]) -> np.ndarray:
     """For each letter triple its weight in each landmark, with each landmark at length one."""
-    table = np.zeros((LETTERS**3, len(landmarks)), dtype=np.float64)
+    table = np.zeros((LETTERS**3, len(landmarks)), dtype=np.float32)
     for row, triple, weight in _triples(_codes([w[:WINDOW] for w in landmarks])):
-        np.add.at(table, (triple, row), weight)
-    norm = np.sqrt((table**2).sum(axis=0))
-    return (table / np.where(norm > 0, norm, 1)).astype(np.float32)
+        np.add.at(table, (triple, row), np.float32(weight))
+    norm = np.sqrt(np.einsum("ij,ij->j", table, table))
+    table /= np.where(norm > 0, norm, 1)
+    return table
 
 
 def word_kernels(words: list[str], table: np.ndarray) -> np.ndarray:
@@ -81,16 +82,19 @@ def word_kernels(words: list[str], table: np.ndarray) -> np.ndarray:
     parts = [_windows(w) for w in words]
     flat = [p for own in parts for p in own]
     out = np.empty((len(flat), table.shape[1]), dtype=np.float32)
-    for k in range(0, len(flat), 4096):
-        code = _codes(flat[k : k + 4096])
+    some = table.any(axis=1)  # triples that a landmark has
+    for k in range(0, len(flat), BLOCK):
+        code = _codes(flat[k : k + BLOCK])
         value, norm = np.zeros((len(code), table.shape[1]), dtype=np.float32), np.zeros(len(code))
         for row, triple, weight in _triples(code):
+            norm += np.bincount(row, minlength=len(code)) * weight**2
+            hit = some[triple]
+            row, triple = row[hit], triple[hit]
             if len(row):  # rows come in order
                 first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
                 value[row[first]] += np.add.reduceat(table[triple], first, axis=0) * np.float32(weight)
-                norm[row[first]] += np.diff(np.append(first, len(row))) * weight**2
         # One occurrence at a time is the word's length: a positive factor for each word keeps this a kernel.
-        out[k : k + 4096] = (value / np.sqrt(np.where(norm > 0, norm, 1))[:, None]) ** POWER
+        out[k : k + BLOCK] = (value / np.sqrt(np.where(norm > 0, norm, 1))[:, None]) ** POWER
     if len(flat) == len(words):
         return out
     start = np.cumsum([0, *(len(own) for own in parts[:-1])])
@@ -206,14 +210,17 @@ def _near(words: list[str], table: np.ndarray) -> Iterator[tuple[str, np.ndarray
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3, steps: int = 30) -> np.ndarray:
     """A linear support vector machine with squared hinge loss, by Newton's method; the last weight is the offset."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.shape[1] + 1)
     keep = penalty * np.eye(len(w))
     for _ in range(steps):
-        inside = 1 - y * (x @ w)
-        on = inside > 0
-        g = keep @ w - x[on].T @ (weight[on] * y[on] * inside[on])
-        h = keep + (x[on] * weight[on, None]).T @ x[on]
+        g, h = keep @ w, keep.copy()
+        for k in range(0, len(x), 8192):
+            own = np.column_stack([x[k : k + 8192], np.ones(len(x[k : k + 8192]))]).astype(np.float64)
+            inside = 1 - y[k : k + 8192] * (own @ w)
+            on = inside > 0
+            pull = weight[k : k + 8192][on]
+            g -= own[on].T @ (pull * y[k : k + 8192][on] * inside[on])
+            h += (own[on] * pull[:, None]).T @ own[on]
         step = np.linalg.solve(h, g)
         w -= step
         if np.abs(step).max() < 1e-7:
@@ -221,38 +228,39 @@ def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
     return w
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 4) -> Machine | None:
+def fit(texts: list[str], labels: list[int], counts: tuple[int, int] | None = None, rounds: int = 4) -> Machine | None:
     """A machine from labelled documents; None if a class has none. Copies of a text count once."""
     texts, labels = zip(*dict(zip(texts, labels)).items()) if texts else ((), ())
     y = np.array(labels, dtype=np.float64)
     if not (y == 0).any() or not (y == 1).any():
         return None
-    split = [lowered(t).split() for t in texts]
-    plain = [{v for w in own for v in _windows(w) if v} for own in split]
-    landmarks = _choose(plain, y)
+    number: dict[str, int] = {}  # each distinct word is held once
+    split = [np.array([number.setdefault(w, len(number)) for w in lowered(t).split()], dtype=np.int32) for t in texts]
+    vocabulary = list(number)
+    windows = [[v for v in _windows(w) if v] for w in vocabulary]
+    landmarks = _choose([{v for k in set(own.tolist()) for v in windows[k]} for own in split], y)
     if not landmarks:
         return None
     table = landmark_table(landmarks)
-    vocabulary = sorted({w for own in split for w in own})
-    number = {w: k for k, w in enumerate(vocabulary)}
-    kernels = word_kernels(vocabulary, table).astype(np.float64)
+    ends = np.array([_ends(w) for w in vocabulary], dtype=bool)
+    kernels = word_kernels(vocabulary, table)
     own = word_kernels(landmarks, table).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2 + 1e-6 * np.eye(len(landmarks)))
     white = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
 
     features, doc = [], []
-    for k, words in enumerate(split):
-        if words:
-            at = np.array([number[w] for w in words])
-            starts = sentence_starts(np.array([_ends(w) for w in words]))
+    for k, at in enumerate(split):
+        if len(at):
+            starts = sentence_starts(ends[at])
             fresh = np.concatenate([[True], at[1:] != at[:-1]])
             features.append(np.add.reduceat(kernels[at] * fresh[:, None], starts, axis=0))
             doc.append(np.full(len(starts), k))
-    x, doc = np.concatenate(features) @ white, np.concatenate(doc)
+    raw, doc = np.concatenate(features), np.concatenate(doc)
+    x = raw @ white.astype(np.float32)
     toxic = y[doc] == 1
     target = np.where(toxic, 1.0, -1.0)
     # At first the sentences of toxic documents that are nearest to a landmark of toxic words.
-    near = np.concatenate(features)[:, : max(1, len(landmarks) - COMMON)].max(axis=1)
+    near = raw[:, : max(1, len(landmarks) - COMMON)].max(axis=1)
     best = np.zeros(len(texts))
     np.maximum.at(best, doc, near)
     target[toxic & (near < 0.5 * best[doc])] = -1
@@ -265,7 +273,7 @@ def fit(texts: list[str], labels: list[int], rounds: int = 4) -> Machine | None:
         target = np.where(toxic & ((margin > 0) | (margin >= best[doc])), 1.0, -1.0)
     best[np.isneginf(best)] = w[-1]
     machine = Machine(landmarks, table, (white @ w[:-1]).astype(np.float32), float(w[-1]))
-    machine.slope, machine.offset = calibrate(np.clip(best, -20, 20), y)
+    machine.slope, machine.offset = calibrate(np.clip(best, -20, 20), y, shares(y, counts))
     return machine
 
 
@@ -292,8 +300,8 @@ def score_documents(docs: DataFrame, machine: Machine | None, id_col: str = "doc
 
 
 def fit_from(docs: DataFrame, labels: DataFrame) -> Machine | None:
-    rows = training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, TRAIN_EACH, TRAIN_LONGEST).orderBy("doc_id", "text").collect()
-    return fit([r["text"] for r in rows], [r["label"] for r in rows])
+    rows = training_rows(docs, labels, "toxic", FOLDS, HELD_OUT, TRAIN_EACH, TRAIN_LONGEST).toPandas().sort_values(["doc_id", "text"])
+    return fit(rows["text"].tolist(), rows["label"].tolist(), class_counts(labels, "toxic", FOLDS, HELD_OUT))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
