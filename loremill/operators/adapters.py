@@ -90,10 +90,10 @@ def extract_graph(prompts: DataFrame, id_col: str, text_col: str, extract: Extra
     return found.filter("kind = 'entity'").select(id_col, "part", "pos", "id", "name", "description"), found.filter("kind = 'edge'").select(id_col, "part", "pos", "type", "source", "target", "confidence", "description")
 
 
-def stub_pages(contexts: DataFrame, project_slug=F.lit("default")) -> DataFrame:
+def stub_pages(contexts: DataFrame, project_slug=None) -> DataFrame:
     """``community_id, title, body_text``: the page of a community from the first ten names of its context."""
     names = F.array_join(F.slice(F.transform("entities", lambda e: e["name"]), 1, 10), ", ")
-    title = F.concat(F.lit("Community L"), F.col("level").cast("string"), F.lit(" ("), project_slug, F.lit(")"))
+    title = F.concat(F.lit("Community L"), F.col("level").cast("string"), F.lit(" ("), F.lit("default") if project_slug is None else project_slug, F.lit(")"))
     return contexts.select("community_id", "level", title.alias("title"), F.concat(F.lit("# Community Report\n\nEntities: "), F.coalesce(names, F.lit("")), F.lit("\n")).alias("body_text"))
 
 

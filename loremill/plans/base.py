@@ -81,12 +81,12 @@ chunks AS (SELECT *, {uuid5("tenant || ':' || document_id || ':' || chunk_index
 #: Capitalised words of a chunk stand for linked names.
 TOKEN = "[A-Z][a-z]{4,}"
 LINKED_SQL = f"""{CHUNKS_SQL},
-linked AS (SELECT chunk_id, document_id, tenant, project_id, list_filter(string_split(replace(text, chr(10), ' '), ' '), x -> regexp_full_match(x, '{TOKEN}')) AS names FROM chunks),
+linked AS (SELECT chunk_id, document_id, tenant, project_id, [x FOR x IN string_split(replace(text, chr(10), ' '), ' ') IF regexp_full_match(x, '{TOKEN}')] AS names FROM chunks),
 mentions AS (SELECT chunk_id, tenant, project_id, name, {uuid5("'entity:' || name")} AS entity_id FROM (SELECT DISTINCT chunk_id, tenant, project_id, unnest(names) AS name FROM linked))"""
 
 #: Suppliers and the parts they deliver, as the records of an extractor, in order of the lines.
 EDGES_SQL = f"""parts AS (SELECT l_orderkey AS part, l_linenumber AS pos, CASE WHEN l_returnflag = 'A' THEN 'EXTRACTED' ELSE 'INFERRED' END AS type,
-  {uuid5("'entity:supplier:' || l_suppkey")} AS source, {uuid5("'entity:part:' || l_partkey")} AS target, (1 - l_discount)::DOUBLE AS confidence, l_shipmode AS description FROM lineitem),
+  {uuid5("'entity:supplier:' || l_suppkey")} AS source, {uuid5("'entity:part:' || l_partkey")} AS target, (1 - l_discount)::DOUBLE AS confidence, l_linestatus AS description FROM lineitem),
 edges AS (SELECT type, source, target, arg_min(confidence, (part, pos)) AS confidence, arg_min(description, (part, pos)) AS description FROM parts GROUP BY ALL),
 entities AS (SELECT {uuid5("'entity:supplier:' || s_suppkey")} AS id, s_name AS name, coalesce(n_name, '') AS description FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
   UNION ALL SELECT {uuid5("'entity:part:' || p_partkey")}, p_name, p_type FROM part)"""
@@ -133,7 +133,7 @@ def edge_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = lambda kind, c: ids.uuid5(F.concat(F.lit(f"entity:{kind}:"), F.col(c).cast("string")))
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("part"), F.col("l_linenumber").alias("pos"), F.when(F.col("l_returnflag") == "A", "EXTRACTED").otherwise("INFERRED").alias("type"),
-        name("supplier", "l_suppkey").alias("source"), name("part", "l_partkey").alias("target"), (1 - F.col("l_discount")).cast("double").alias("confidence"), F.col("l_shipmode").alias("description"),
+        name("supplier", "l_suppkey").alias("source"), name("part", "l_partkey").alias("target"), (1 - F.col("l_discount")).cast("double").alias("confidence"), F.col("l_linestatus").alias("description"),
     )
 
 
