@@ -26,7 +26,7 @@ from .words import span_hashes
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
 #: The training sample: documents of each class, and the longest that is learned from.
 TRAIN_EACH, TRAIN_LONGEST = 1000, 20_000
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 400_000
 
 LOWER, UPPER, DIGIT, SPACE, STOP, PUNCT, SYMBOL, OTHER = range(8)
 
