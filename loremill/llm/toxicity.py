@@ -34,8 +34,8 @@ TRAIN_EACH, TRAIN_LONGEST = 1500, 10_000
 #: Letters in a subsequence span at most SPAN characters; each character of the span costs a factor DECAY.
 SPAN, DECAY, POWER = 7, 0.7, 4
 LETTERS, WINDOW, SENTENCE_WORDS = 32, 24, 40
-#: Landmarks, how many of them are common words, the words they are chosen from, and the kernel value that makes two words alike.
-LANDMARKS, COMMON, CANDIDATES, ALIKE = 48, 6, 150, 0.15
+#: Landmarks, how many of them are benign words, the words they are chosen from, and the kernel values that make two words alike, widely or narrowly.
+LANDMARKS, COMMON, CANDIDATES, ALIKE = 64, 16, 150, (0.15, 0.5)
 CACHED_WORDS, BATCH_CHARS, BLOCK = 600_000, 1_000_000, 1024
 
 _STEPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN - a)]
@@ -165,12 +165,13 @@ def sentence_starts(ends: np.ndarray) -> np.ndarray:
 
 
 def _choose(docs: list[set[str]], y: np.ndarray) -> list[str]:
-    """Landmarks: words whose families speak for toxic documents; then the commonest of the clean.
+    """Landmarks: words whose families speak for toxic documents; then benign ones.
 
     Candidates are the words that most toxic documents for each clean one have. A candidate's family is
     every word that the kernel finds alike, so inflected and distorted insults of which each is rare count
     together. Each landmark is the candidate, not alike an earlier one, whose family speaks for the most
     toxic documents against the clean documents it is in; a document counts half after each family it has.
+    The benign landmarks are first the words that clean documents have and that are alike a landmark.
     """
     seen = [Counter(w for k, own in enumerate(docs) if y[k] == c for w in own) for c in (0, 1)]
     n = [max(int((y == c).sum()), 1) for c in (0, 1)]
@@ -178,34 +179,45 @@ def _choose(docs: list[set[str]], y: np.ndarray) -> list[str]:
     gain = {w: a * odds(a, seen[0].get(w, 0)) for w, a in seen[1].items() if len(w) >= 4}
     ranked = sorted((w for w in gain if gain[w] > 0), key=lambda w: (-gain[w], w))[:CANDIDATES]
     chosen: list[str] = []
+    contrast: list[str] = []
     if ranked:
         table, words = landmark_table(ranked), sorted({w for own in docs for w in own})
-        near = {w: x for k in range(0, len(words), 8192) for w, x in _near(words[k : k + 8192], table)}
-        present = np.zeros((len(docs), len(ranked)), dtype=bool)
-        for k, own in enumerate(docs):
-            for w in own:
-                if w in near:
-                    present[k, near[w]] = True
-        toxic, clean = present[y == 1], present[y == 0].sum(axis=0)
-        speaks = odds(toxic.sum(axis=0), clean)
-        open_, free = np.ones(len(toxic)), (toxic.sum(axis=0) >= 2) & (speaks > 1.5)
+        wide = dict(_near(words, table, ALIKE[0]))
+        narrow = dict(_near(list(wide), table, ALIKE[1]))
+        toxic, clean, speaks = [], [], []
+        for near in (wide, narrow):
+            present = np.zeros((len(docs), len(ranked)), dtype=bool)
+            for k, own in enumerate(docs):
+                for w in own:
+                    if w in near:
+                        present[k, near[w]] = True
+            toxic.append(present[y == 1])
+            clean.append(present[y == 0].sum(axis=0))
+            speaks.append(odds(toxic[-1].sum(axis=0), clean[-1]))
+        open_, free = np.ones(int((y == 1).sum())), np.ones(len(ranked), dtype=bool)
         while len(chosen) < LANDMARKS - COMMON and free.any():
-            worth = np.where(free, (open_ @ toxic) * speaks, 0)
-            best = int(np.argmax(worth))
-            if worth[best] < 2:
+            worth = np.stack([np.where(free & (t.sum(axis=0) >= 2) & (s > 1.5), (open_ @ t) * s, 0) for t, s in zip(toxic, speaks)])
+            worth[1, speaks[0] > 1.5] = 0  # the narrow family only where the wide one says nothing
+            kind, best = np.unravel_index(int(np.argmax(worth)), worth.shape)
+            if worth[kind, best] < 2:
                 break
             chosen.append(ranked[best])
-            open_ = np.where(toxic[:, best], open_ / 2, open_)
+            open_ = np.where(toxic[kind][:, best], open_ / 2, open_)
             free[best] = False
-            free[near.get(ranked[best], [])] = False
-    common = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0])) if len(w) >= 3 and w not in chosen]
-    return chosen + common[:COMMON]
-
-
-def _near(words: list[str], table: np.ndarray) -> Iterator[tuple[str, np.ndarray]]:
-    close = word_kernels(words, table) > ALIKE
-    for k in np.flatnonzero(close.any(axis=1)):
-        yield words[k], np.flatnonzero(close[k])
+            free[(wide, narrow)[kind].get(ranked[best], [])] = False
+        # What is alike a landmark and yet speaks for nothing: a benign stem, say.
+        at = [ranked.index(w) for w in chosen]
+        benign = [w for w, x in narrow.items() if np.isin(at, x).any() and w not in chosen and odds(seen[1].get(w, 0), seen[0].get(w, 0)) < 0.5]
+        contrast = sorted(benign, key=lambda w: (-seen[0].get(w, 0), w))[: COMMON * 3 // 4]
+    common = [w for w, _ in sorted(seen[0].items(), key=lambda x: (-x[1], x[0])) if len(w) >= 3 and w not in chosen and w not in contrast]
+    return chosen + (contrast + common)[:COMMON]
+
+
+def _near(words: list[str], table: np.ndarray, least: float) -> Iterator[tuple[str, np.ndarray]]:
+    for k in range(0, len(words), 8192):
+        close = word_kernels(words[k : k + 8192], table) > least
+        for j in np.flatnonzero(close.any(axis=1)):
+            yield words[k + j], np.flatnonzero(close[j])
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3, steps: int = 30) -> np.ndarray:
