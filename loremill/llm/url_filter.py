@@ -23,7 +23,7 @@ from .words import mixed
 
 #: (rule as text, verdict); a rule is a host and a path prefix.
 Rules = tuple[tuple[str, str], ...]
-ORDER, BUCKETS, PRIOR = 5, 1 << 18, 2.0
+ORDER, BUCKETS, PRIOR = 5, 1 << 20, 2.0
 #: One url in CALIBRATE is kept from the models to set the threshold; scores are counted in this many steps from -RANGE to RANGE.
 CALIBRATE, STEPS, RANGE = 5, 2001, 10.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -107,7 +107,7 @@ class Models:
         for v, own in self.counts.items():
             p = np.full(grams.shape[1], 1 / 256)
             for k in range(ORDER + 1):
-                p = (own[0][grams[k]] + PRIOR * p) / (own[1][contexts[k]] + PRIOR)
+                p = np.minimum((own[0][grams[k]] + PRIOR * p) / (own[1][contexts[k]] + PRIOR), 1)  # shared buckets may overcount
             out[v] = np.add.reduceat(np.log(p), starts) / size
         return out["allow"] - out["block"]
 
@@ -133,7 +133,7 @@ def estimate(decided: DataFrame) -> Models:
     models = Models({})
     table = _counts(decided.filter(~kept)).toPandas()  # at most 2 x BUCKETS rows
     for v, own in table.groupby("verdict"):
-        models.counts[v] = np.zeros((2, BUCKETS))
+        models.counts[v] = np.zeros((2, BUCKETS), dtype=np.float32)
         models.counts[v][:, own["bucket"]] = own[["grams", "contexts"]].to_numpy().T
     if len(models.counts) == 2:
         step = F.floor((F.greatest(F.least("score", F.lit(RANGE)), F.lit(-RANGE)) + RANGE) / (2 * RANGE) * (STEPS - 1))
