@@ -3,8 +3,9 @@
 The urls that a rule decides are the examples: one variable-order Markov model is estimated on the
 accepted, one on the rejected. Each model mixes orders 0 to 5: the estimate from a context counts as
 far as the context was seen, the rest of the weight goes to the context that is one character shorter.
-Counts cover every decided url of the table. They are added up in a table of fixed size by the hash of
-context and character, so the model does not grow with the corpus, only its counts do.
+Counts cover every decided url of the table. They are added up in tables of fixed size by hashes of
+context and character (two, of which the lesser count is taken), so the model does not grow with the
+corpus, only its counts do.
 
 The score is the difference of the log-likelihoods by character; the threshold is where it separates
 examples best that the models were not estimated on.
@@ -52,13 +53,13 @@ def rule_of(host: Column, path: Column, rules: Rules) -> Column:
 
 
 def _buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each character of all texts and each order: the bucket of context and character, and of the context; and where texts begin."""
+    """For each character of all texts and each order: two buckets of context and character (the lesser count is the better one), one of the context; and where texts begin."""
     raw = [t.encode() + b"\n" for t in texts]
     starts = np.cumsum([0, *map(len, raw)])
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
     place = np.arange(len(data)) - np.repeat(starts[:-1], np.diff(starts))
     context = np.zeros(len(data), dtype=np.uint64)
-    grams, contexts = np.empty((ORDER + 1, len(data)), np.int64), np.empty((ORDER + 1, len(data)), np.int64)
+    grams, contexts = np.empty((2, ORDER + 1, len(data)), np.int64), np.empty((ORDER + 1, len(data)), np.int64)
     for k in range(ORDER + 1):
         if k:  # one more character to the left; before a text stands a mark
             earlier = np.zeros_like(data)
@@ -66,12 +67,13 @@ def _buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             context = context * np.uint64(257) + np.where(place >= k, earlier, np.uint64(256)) + np.uint64(1)
         own = mixed(context * np.uint64(8) + np.uint64(k))
         contexts[k] = own % np.uint64(BUCKETS)
-        grams[k] = mixed(own + data + np.uint64(1)) % np.uint64(BUCKETS)
+        both = mixed(own + data + np.uint64(1))
+        grams[:, k] = both % np.uint64(BUCKETS), (both >> np.uint64(32)) % np.uint64(BUCKETS)
     return grams, contexts, starts[:-1]
 
 
 def _counts(urls: DataFrame) -> DataFrame:
-    """``verdict, bucket, grams, contexts``: counts over all rows of ``url, verdict``; each task sends at most two tables of fixed size."""
+    """``verdict, bucket, grams, again, contexts``: counts over all rows of ``url, verdict``; each task sends at most two tables of fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = {}
@@ -79,15 +81,15 @@ def _counts(urls: DataFrame) -> DataFrame:
             text, verdict = b.column(0).to_pylist(), np.array(b.column(1).to_pylist())
             for v in set(verdict.tolist()):
                 grams, contexts, _ = _buckets([t for t, x in zip(text, verdict) if x == v])
-                own = total.setdefault(v, np.zeros((2, BUCKETS), np.int64))
-                own[0] += np.bincount(grams.ravel(), minlength=BUCKETS)
-                own[1] += np.bincount(contexts.ravel(), minlength=BUCKETS)
+                own = total.setdefault(v, np.zeros((3, BUCKETS), np.int64))
+                for k, at in enumerate((grams[0], grams[1], contexts)):
+                    own[k] += np.bincount(at.ravel(), minlength=BUCKETS)
         for v, own in total.items():
             at = np.flatnonzero(own.any(axis=0))
-            yield pa.RecordBatch.from_arrays([pa.array([v] * len(at), pa.string()), pa.array(at), pa.array(own[0, at]), pa.array(own[1, at])], ["verdict", "bucket", "grams", "contexts"])
+            yield pa.RecordBatch.from_arrays([pa.array([v] * len(at), pa.string()), pa.array(at), *(pa.array(x[at]) for x in own)], ["verdict", "bucket", "grams", "again", "contexts"])
 
-    parts = urls.select("url", "verdict").mapInArrow(run, "verdict string, bucket long, grams long, contexts long")
-    return parts.groupBy("verdict", "bucket").agg(F.sum("grams").alias("grams"), F.sum("contexts").alias("contexts"))
+    parts = urls.select("url", "verdict").mapInArrow(run, "verdict string, bucket long, grams long, again long, contexts long")
+    return parts.groupBy("verdict", "bucket").agg(*[F.sum(c).alias(c) for c in ("grams", "again", "contexts")])
 
 
 @dataclass
@@ -97,24 +99,30 @@ class Models:
     counts: dict[str, np.ndarray]
     threshold: float = 0.0
 
+    @staticmethod
+    def mix(own: np.ndarray, p: np.ndarray, grams: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+        """The estimate with one more character of context."""
+        seen = np.minimum(own[0][grams[0]], own[1][grams[1]])
+        return np.minimum((seen + PRIOR * p) / (own[2][contexts] + PRIOR), 1)
+
     def score(self, texts: list[str]) -> np.ndarray:
         """Difference of the mean log-likelihood by character; 0 if a model has no example."""
         if len(self.counts) < 2 or not texts:
             return np.zeros(len(texts))
         grams, contexts, starts = _buckets(texts)
-        size = np.diff(np.append(starts, grams.shape[1]))
+        size = np.diff(np.append(starts, grams.shape[2]))
         out = {}
         for v, own in self.counts.items():
-            p = np.full(grams.shape[1], 1 / 256)
+            p = np.full(grams.shape[2], 1 / 256)
             for k in range(ORDER + 1):
-                p = np.minimum((own[0][grams[k]] + PRIOR * p) / (own[1][contexts[k]] + PRIOR), 1)  # shared buckets may overcount
+                p = self.mix(own, p, grams[:, k], contexts[k])
             out[v] = np.add.reduceat(np.log(p), starts) / size
         return out["allow"] - out["block"]
 
 
 def _scored(urls: DataFrame, models: Models, keep: str) -> DataFrame:
     """``keep`` columns and ``score`` of ``url``."""
-    sent = urls.sparkSession.sparkContext.broadcast(models)  # 2 x 2 x BUCKETS numbers
+    sent = urls.sparkSession.sparkContext.broadcast(models)  # 2 x 3 x BUCKETS numbers
     source = urls.select(keep, "url")
     kind = dict(source.dtypes)[keep]
 
@@ -131,10 +139,10 @@ def estimate(decided: DataFrame) -> Models:
     """Models and threshold from ``url, verdict`` rows; urls are told apart for calibration by their hash."""
     kept = F.pmod(F.xxhash64("url"), F.lit(CALIBRATE)) == 0
     models = Models({})
-    table = _counts(decided.filter(~kept)).toPandas()  # at most 2 x BUCKETS rows
+    table = _counts(decided.filter(~kept)).toPandas()  # at most 2 x BUCKETS rows, whatever the corpus
     for v, own in table.groupby("verdict"):
-        models.counts[v] = np.zeros((2, BUCKETS), dtype=np.float32)
-        models.counts[v][:, own["bucket"]] = own[["grams", "contexts"]].to_numpy().T
+        models.counts[v] = np.zeros((3, BUCKETS), dtype=np.float32)
+        models.counts[v][:, own["bucket"]] = own[["grams", "again", "contexts"]].to_numpy().T
     if len(models.counts) == 2:
         step = F.floor((F.greatest(F.least("score", F.lit(RANGE)), F.lit(-RANGE)) + RANGE) / (2 * RANGE) * (STEPS - 1))
         counted = _scored(decided.filter(kept), models, "verdict").groupBy("verdict", step.cast("int").alias("step")).count().toPandas()
