@@ -87,7 +87,7 @@ mentions AS (SELECT chunk_id, tenant, project_id, name, {uuid5("'entity:' || nam
 #: Suppliers and the parts they deliver, as the records of an extractor, in order of the lines.
 EDGES_SQL = f"""parts AS (SELECT l_orderkey AS part, l_linenumber AS pos, CASE WHEN l_returnflag = 'A' THEN 'EXTRACTED' ELSE 'INFERRED' END AS type,
   {uuid5("'entity:supplier:' || l_suppkey")} AS source, {uuid5("'entity:part:' || l_partkey")} AS target, (1 - l_discount)::DOUBLE AS confidence, l_linestatus AS description FROM lineitem),
-edges AS (SELECT type, source, target, arg_min(confidence, (part, pos)) AS confidence, arg_min(description, (part, pos)) AS description FROM parts GROUP BY ALL),
+edges AS (SELECT type, source, target, arg_min(confidence, (part, pos, confidence, description)) AS confidence, arg_min(description, (part, pos, confidence, description)) AS description FROM parts GROUP BY ALL),
 entities AS (SELECT {uuid5("'entity:supplier:' || s_suppkey")} AS id, s_name AS name, coalesce(n_name, '') AS description FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
   UNION ALL SELECT {uuid5("'entity:part:' || p_partkey")}, p_name, p_type FROM part)"""
 
