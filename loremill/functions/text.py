@@ -59,6 +59,16 @@ def mount_path(name, project_slug) -> Column:
     return F.concat(F.lit("/wiki/"), F.coalesce(filled(segment), slug(project_slug)), F.lit("/"))
 
 
+def knowledge_binding(tenant, project_id, project_slug, project_name) -> Column:
+    """Where a project's knowledge is: index namespace and filter, graph space, page mount."""
+    space = namespace_of(tenant, project_slug)
+    return F.struct(
+        col(tenant).alias("tenant"), col(project_id).alias("project_id"), slug(project_slug).alias("project_slug"),
+        F.struct(space.alias("index_namespace"), F.struct(col(project_id).alias("project_id")).alias("filter")).alias("rag"),
+        F.struct(space.alias("space")).alias("graph"), F.struct(mount_path(project_name, project_slug).alias("vfs_mount")).alias("wiki"),
+    )
+
+
 def clean_path(x) -> Column:
     """One leading slash, single slashes, none at the end; the root is ``/``."""
     p = F.regexp_replace(F.concat(F.lit("/"), strip(x)), "/+", "/")

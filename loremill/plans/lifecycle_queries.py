@@ -75,7 +75,7 @@ def j4(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("j14_stale_pages", "SELECT c_custkey AS id, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P') AS stale FROM customer")
 def j14(spark: SparkSession, sf: str) -> DataFrame:
-    from .search_queries import with_stale
+    from .retrieval import with_stale
 
     hits = table(spark, sf, "customer").select(F.col("c_custkey").alias("community_id"))
     stale = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("community_id"), F.lit(True).alias("stale"))
@@ -292,6 +292,16 @@ def x2(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("page_id", X.slug_of_name("url").alias("slug"), X.namespace_of("url", F.split_part("url", F.lit("/"), F.lit(3))).alias("namespace"), X.path_segment("url").alias("segment"), X.mount_path("url", F.lit("p")).alias("mount"), X.uri_filename("url").alias("last"))
 
 
+@query(
+    "x6_knowledge_binding",
+    f"WITH p AS (SELECT DISTINCT lang AS tenant, source FROM documents) SELECT tenant, source, 'kb_' || tenant || '_' || source AS namespace, {uuid5("'project:' || tenant || ':' || source")} AS project_id, '/wiki/' || source || '/' AS mount FROM p",
+)
+def x6(spark: SparkSession, sf: str) -> DataFrame:
+    p = base.raw(spark, sf).select("tenant", F.col("source_id").alias("source"), "project_id").distinct()
+    b = p.select("tenant", "source", X.knowledge_binding("tenant", "project_id", "source", F.lit(None).cast("string")).alias("b"))
+    return b.select("tenant", "source", F.col("b.rag.index_namespace").alias("namespace"), F.col("b.rag.filter.project_id").alias("project_id"), F.col("b.wiki.vfs_mount").alias("mount"))
+
+
 @query("x5_virtual_paths", "SELECT page_id, p AS path, CASE WHEN p = '/' THEN NULL ELSE coalesce(nullif(regexp_replace(p, '/[^/]*$', ''), ''), '/') END AS parent FROM (SELECT page_id, coalesce(nullif(regexp_replace(regexp_replace('/' || url, '/+', '/', 'g'), '/$', ''), ''), '/') AS p FROM pages)")
 def x5(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "pages").select("page_id", X.clean_path("url").alias("path"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import ids, text as X
-from ..operators import adapters, graph, search
+from ..operators import adapters, search
 from ..operators.components import cut
 from . import base
 from .base import CHUNKS_SQL, EDGES_SQL, query, table, uuid5
-from .graph_queries import PAGES_SQL, edges, nation_pages
+from .graph_queries import PAGES_SQL, edges, mentions, nation_pages
+from .retrieval import attach, basic_search, drift_search, global_search, local_search, unified_search, with_stale
 
 #: Queries: for each benchmark item two of its words, the first and the longest in order of the alphabet.
 WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
@@ -134,14 +135,6 @@ def u1(spark: SparkSession, sf: str) -> DataFrame:
 # ---- modes ------------------------------------------------------------------------------------------
 
 
-def basic(queries: DataFrame, texts: DataFrame, embedded: DataFrame | None, asked_vectors: DataFrame | None, top_k: int = search.TOP_K) -> DataFrame:
-    """Full text and, where there are vectors, the nearest chunks, fused."""
-    lists = search.channel(search.full_text(queries, texts), 0)
-    if embedded is not None:
-        lists = lists.unionByName(search.channel(search.vector_top(asked_vectors, embedded), 1))
-    return search.fuse(lists, top_n=top_k)
-
-
 def _embedded(df: DataFrame, key: str, text: str) -> DataFrame:
     e = adapters.embed_texts(df, key, text, adapters.hashing_embedder())
     return e.select(F.col(key).alias("id"), F.lit(None).cast("string").alias("scope"), F.col("embedding").alias("vector"))
@@ -153,7 +146,7 @@ def _embedded(df: DataFrame, key: str, text: str) -> DataFrame:
 )
 def q7(spark: SparkSession, sf: str) -> DataFrame:
     """The text channel alone, as without an embedder."""
-    return basic(asked(spark, sf), chunk_texts(spark, sf), None, None).select("query_id", "id", F.round("rrf_score", 9).alias("rrf_score"), "rank")
+    return basic_search(asked(spark, sf), cut(chunk_texts(spark, sf))).select("query_id", "id", F.round("rrf_score", 9).alias("rrf_score"), "rank")
 
 
 @query("q7_hybrid_search")
@@ -162,8 +155,7 @@ def q7_hybrid(spark: SparkSession, sf: str) -> DataFrame:
     texts = cut(chunk_texts(spark, sf))
     q = asked(spark, sf)
     vq = _embedded(q, "query_id", "query").withColumnRenamed("id", "query_id")
-    hits = basic(q, texts, _embedded(texts, "id", "text"), vq)
-    return hits.join(texts, "id").select("query_id", "rank", "id", F.round("rrf_score", 9).alias("rrf_score"), *search.chunk_hit("id", "document_id", "text"))
+    return basic_search(q, texts, (vq, _embedded(texts, "id", "text"))).withColumn("rrf_score", F.round("rrf_score", 9))
 
 
 PAGE_QUERY_SQL = "pq AS (SELECT DISTINCT s_nationkey AS query_id FROM supplier)"
@@ -190,11 +182,6 @@ def q8(spark: SparkSession, sf: str) -> DataFrame:
     return with_stale(merged.join(pages.select(F.col("slug").alias("id"), "community_id"), "id"), stale).select("query_id", "id", "community_id", "stale")
 
 
-def with_stale(hits: DataFrame, stale: DataFrame) -> DataFrame:
-    """Hits with ``stale``: whether their community is marked so."""
-    return hits.join(stale.select("community_id", "stale").distinct(), "community_id", "left").withColumn("stale", F.coalesce("stale", F.lit(False)))
-
-
 @query("j15_attached_contexts", f"WITH {PAGES_SQL}, hits AS (SELECT s_suppkey AS query_id, community_id, title, row_number() OVER (PARTITION BY s_suppkey ORDER BY community_id) AS rank FROM supplier, wiki) SELECT query_id, rank, community_id, CASE WHEN rank <= 2 THEN title END AS context FROM hits WHERE rank <= 5")
 def j15(spark: SparkSession, sf: str) -> DataFrame:
     """Contexts go to the first two hits of a query only."""
@@ -206,29 +193,11 @@ def j15(spark: SparkSession, sf: str) -> DataFrame:
     return attach(hits, pages.withColumnRenamed("title", "context")).select("query_id", "rank", "community_id", "context")
 
 
-def attach(hits: DataFrame, contexts: DataFrame, first: int = 2) -> DataFrame:
-    """The community's ``context`` on the first hits of each query, null on the rest."""
-    own = hits.join(contexts, "community_id", "left")
-    return own.withColumn("context", F.when(F.col("rank") <= first, F.col("context")))
-
-
-def local_search(spark: SparkSession, sf: str, queries: DataFrame, top_k: int = search.TOP_K) -> DataFrame:
-    """``query_id, rank, kind, id, text, provenance``: entities, their chunks and basic hits fused, then up to three relationships while there is room."""
-    entities, links = cut(base.entity_rows(spark, sf)), cut(edges(spark, sf))
-    texts = cut(chunk_texts(spark, sf))
-    found = search.full_text(queries, entities.select("id", X.search_text("name", "description").alias("text")))
-    seeds = cut(search.fuse(search.channel(found, 0), top_n=min(search.CHANNEL_LIMIT, top_k)))
-    named = seeds.join(entities, "id").select("query_id", "rank", "id", *search.entity_hit())
-    rels, _ = graph.neighbourhood(links, seeds.select("query_id", "rank", "id"))
-    base_hits = search.fuse(search.channel(search.full_text(queries, texts), 0), top_n=search.CHANNEL_LIMIT).join(texts, "id").select("query_id", "rank", "id", *search.chunk_hit())
-    payload = ["kind", "text", "provenance"]
-    as_list = lambda df, k: df.select("query_id", "id", "rank", F.lit(k).alias("channel"), *payload)
-    merged = cut(search.fuse(as_list(named, 0).unionByName(as_list(base_hits, 2)), top_n=top_k, payload=payload))
-    count = merged.groupBy("query_id").agg(F.count(F.lit(1)).alias("have"))
-    extra = rels.filter("n <= 3").select("query_id", "n", F.concat("source", F.lit("->"), "target").alias("id"), *search.relationship_hit()).join(count, "query_id", "left")
-    more = extra.withColumn("rank", F.coalesce("have", F.lit(0)) + F.col("n")).filter(F.col("rank") <= top_k).withColumn("rrf_score", F.lit(None).cast("double"))
-    cols = ["query_id", "rank", "id", "rrf_score", *payload]
-    return merged.select(cols).unionByName(more.select(cols))
+def _local(spark: SparkSession, sf: str, top_k: int = search.TOP_K):
+    """Local search over the trade graph, the chunks and their mentions."""
+    entities, links, texts = cut(base.entity_rows(spark, sf)), cut(edges(spark, sf)), cut(chunk_texts(spark, sf))
+    named = cut(mentions(spark, sf).select("chunk_id", "entity_id"))
+    return lambda q: local_search(q, entities, links, texts, named, top_k=top_k)
 
 
 @query(
@@ -244,17 +213,17 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY type, source,
 SELECT query_id::BIGINT AS query_id, rank, id FROM fused UNION ALL SELECT r.query_id::BIGINT, coalesce(have.n, 0) + r.n, source || '->' || target FROM r LEFT JOIN have USING (query_id) WHERE coalesce(have.n, 0) + r.n <= 10""",
 )
 def q9(spark: SparkSession, sf: str) -> DataFrame:
-    return local_search(spark, sf, entity_queries(spark, sf)).select("query_id", "rank", "id")
+    return _local(spark, sf)(entity_queries(spark, sf)).select("query_id", "rank", "id")
 
 
 @query("q10_drift_search")
 def q10(spark: SparkSession, sf: str) -> DataFrame:
-    """Primer pages, then up to three follow-ups of each query searched locally, fused. The nations' names are the queries, the words of their comments' page the follow-ups."""
+    """Nations as queries; what their suppliers are called, up to three, are the follow-ups."""
     pages = cut(wiki_texts(spark, sf))
-    q = entity_queries(spark, sf)
-    primer = search.full_text(q, pages.select(F.col("slug").alias("id"), F.col("search_text").alias("text")), limit=3).select("query_id", "id", "rank", F.lit(0).alias("channel"))
-    follow = local_search(spark, sf, q, top_k=search.CHANNEL_LIMIT).select("query_id", "id", "rank", F.lit(1).alias("channel"))
-    return search.fuse(primer.unionByName(follow)).select("query_id", "id", F.round("rrf_score", 9).alias("rrf_score"), "rank")
+    s = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").cast("long").alias("query_id")).agg(F.sort_array(F.collect_set("s_name")).alias("sub_queries"))
+    q = cut(entity_queries(spark, sf).join(s, "query_id", "left"))
+    hits = drift_search(q, global_search(q, pages, top_k=3), _local(spark, sf, search.CHANNEL_LIMIT))
+    return hits.select("query_id", "id", F.round("rrf_score", 9).alias("rrf_score"), "rank")
 
 
 MODE_SQL = """CASE WHEN regexp_matches(q, '\\[\\[[^\\]]+\\]\\]') THEN 'local'
@@ -275,15 +244,11 @@ def q11(spark: SparkSession, sf: str) -> DataFrame:
     """A table of queries of all forms, routed, each mode run on its own share, results in one table."""
     nations = table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("query_id"), F.col("n_name").alias("name"))
     form = F.col("query_id") % 3
-    q = nations.select("query_id", F.when(form == 0, F.concat(F.lit("[["), "name", F.lit("]]"))).when(form == 1, F.concat(F.lit("overview "), F.lower("name"))).otherwise(F.lower("name")).alias("query"))
-    routed = cut(q.withColumn("mode", X.search_mode("query", F.lit("auto"))))
-    texts, pages = cut(chunk_texts(spark, sf)), cut(wiki_texts(spark, sf))
-    share = lambda m: routed.filter(F.col("mode") == m).select("query_id", F.regexp_replace("query", r"\[\[|\]\]|^overview ", "").alias("query"))
-    out = local_search(spark, sf, share("local")).select("query_id", "rank", "id")
-    out = out.unionByName(basic(share("basic"), texts, None, None).select("query_id", "rank", "id"))
-    wiki = search.full_text(share("global"), pages.select(F.col("slug").alias("id"), F.col("search_text").alias("text")))
-    out = out.unionByName(search.fuse(search.channel(wiki, 0)).select("query_id", "rank", "id"))
-    return out.join(routed.select("query_id", "mode"), "query_id")
+    q = nations.select("query_id", F.when(form == 0, F.concat(F.lit("[["), "name", F.lit("]]"))).when(form == 1, F.concat(F.lit("overview of suppliers in "), F.lower("name"))).otherwise(F.lower("name")).alias("query"), F.lit("auto").alias("mode"))
+    texts, pages, local = cut(chunk_texts(spark, sf)), cut(wiki_texts(spark, sf)), _local(spark, sf)
+    words = lambda df: df.withColumn("query", F.regexp_replace("query", "^overview of suppliers in ", ""))
+    modes = {"local": local, "global": lambda df: global_search(words(df), pages), "basic": lambda df: basic_search(df, texts), "drift": lambda df: drift_search(df.withColumn("sub_queries", F.array().cast("array<string>")), global_search(df, pages, top_k=3), local)}
+    return unified_search(q, modes).select("query_id", "rank", "id", "mode")
 
 
 @query("e1_embeddings", "SELECT doc_id, length(coalesce(text, '')) = 0 AS empty FROM documents")
