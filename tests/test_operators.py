@@ -201,3 +201,22 @@ def test_manifest_limits(spark):
     assert tables.batch_manifest(items, "b").columns == [*tables.MANIFEST, "batch_id"]
     with pytest.raises(ValueError):
         tables.batch_manifest(items, "b", 101)
+
+
+def test_local_and_drift_search(spark):
+    from loremill.plans import retrieval
+
+    entities = spark.createDataFrame([("e1", "Acme", "maker of anvils"), ("e2", "Road", "where things run")], "id string, name string, description string")
+    edges = spark.createDataFrame([("EXTRACTED", "e1", "e2", 1.0, "sells on")], "type string, source string, target string, confidence double, description string")
+    texts = spark.createDataFrame([("c1", "d1", "acme acme anvils"), ("c2", "d1", "nothing here"), ("c3", "d2", "an acme day")], "id string, document_id string, text string")
+    mentioned = spark.createDataFrame([("c2", "e1"), ("c3", "e1")], "chunk_id string, entity_id string")
+    q = spark.createDataFrame([(1, "acme", ["road", " ", "acme"]), (2, "zzz", None)], "query_id long, query string, sub_queries array<string>")
+    got = retrieval.local_search(q, entities, edges, texts, mentioned).orderBy("query_id", "rank").collect()
+    assert {r.query_id for r in got} == {1} and [r["rank"] for r in got] == list(range(1, len(got) + 1))
+    assert {r.id for r in got} == {"e1", "c1", "c2", "c3", "e1->e2"} and got[-1].kind == "relationship"
+    assert '"entity_ids":["e1"]' in next(r.provenance for r in got if r.id == "c2")
+    pages = spark.createDataFrame([("p1", "k1", "Acme page", "body acme", "Acme page\nbody acme", "/wiki/p1.md")], "slug string, community_id string, title string, body_text string, search_text string, vfs_path string")
+    primer = retrieval.global_search(q, pages, spark.createDataFrame([("k1", True)], "community_id string, stale boolean"))
+    assert [(r.id, '"stale":true' in r.provenance) for r in primer.collect()] == [("p1", True)]
+    drift = retrieval.drift_search(q, primer, lambda df: retrieval.local_search(df, entities, edges, texts, mentioned))
+    assert {"p1", "e1", "e2"} <= {r.id for r in drift.collect()}
