@@ -18,7 +18,7 @@ def test_matches_sql(spark, name):
     assert not said or (said == "no rows" and name in MAY_BE_EMPTY), said
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL) - {"a5_q4_communities"}))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE_SQL)))
 def test_runs(spark, name):
     assert registry.QUERIES[name](spark, SF).count() > 0
 
