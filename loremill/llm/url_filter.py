@@ -24,7 +24,7 @@ from .words import mixed
 
 #: (rule as text, verdict); a rule is a host and a path prefix.
 Rules = tuple[tuple[str, str], ...]
-ORDER, BUCKETS, PRIOR = 5, 1 << 20, 2.0
+ORDER, BUCKETS, PRIOR = 5, 1 << 19, 2.0
 #: One url in CALIBRATE is kept from the models to set the threshold; scores are counted in this many steps from -RANGE to RANGE.
 CALIBRATE, STEPS, RANGE = 5, 2001, 10.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
