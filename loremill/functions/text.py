@@ -125,6 +125,7 @@ def nfc(x: pd.Series) -> pd.Series:
     return x.str.normalize("NFC")
 
 
+# What cleaning looks for.
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 _COMMAND = r"\\[a-zA-Z]+\{([^}]*)\}"
 _HANGUL = r"([\uac00-\ud7a3])\n([\uac00-\ud7a3])"
