@@ -4,9 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.components import cut, shared_dir  # noqa: F401
+from ..operators import components
+from ..operators.components import shared_dir  # noqa: F401
+
+#: Arrow batches of texts and arrays hold at most so much while a table is written.
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read through Spark (the path may be one that only Spark can open)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``components.cut`` with small Arrow batches, so that rows with long texts or arrays do not fill a Python worker."""
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH_KEY)
+    conf.set(BATCH_KEY, BATCH_BYTES)
+    try:
+        return components.cut(df)
+    finally:
+        conf.set(BATCH_KEY, before)
