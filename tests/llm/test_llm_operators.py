@@ -202,6 +202,22 @@ def test_chain_is_best():
 # ---- 1, 5: classifiers --------------------------------------------------------------------------------
 
 
+def test_chains_go_on_after_a_gap():
+    """Two shared stretches with more words between than a chain may skip: both are chained whole."""
+    for first, gap, second in ((200, 60, 200), (200, 60, 60), (1000, 100, 1000)):
+        at = np.concatenate([np.arange(0, first, 5), np.arange(first + gap, first + gap + second, 5)])
+        for other in (at, np.where(at < first, at, at + 300)):  # as far away in the other text, or farther
+            assert sorted(len(c) for c in passages.chains(at, other)) == sorted([-(-first // 5), -(-second // 5)])
+
+
+def test_passages_after_a_gap(spark):
+    rng = random.Random(8)
+    one, two = prose(rng, 200), prose(rng, 200)
+    df = frame(spark, [" ".join(one + prose(rng, 60) + two) for _ in range(2)])
+    got = sorted((r.from_word, r.to_word) for r in passages.repeated_passages(df).collect())
+    assert got == [(0, 200), (260, 460)]
+
+
 def area(score, label):
     a, b = score[label == 1], score[label == 0]
     return float((a[:, None] > b[None, :]).mean() + 0.5 * (a[:, None] == b[None, :]).mean())
