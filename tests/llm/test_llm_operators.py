@@ -199,7 +199,37 @@ def test_chain_is_best():
             assert worth(found[0]) == pytest.approx(best)
 
 
-# ---- 1, 5: classifiers --------------------------------------------------------------------------------
+def test_passages_split_between_earlier_documents(spark):
+    """Two earlier documents hold a part each, too short to count, and others the seam; the one that has all of it is found."""
+    rng = random.Random(12)
+    shared = prose(rng, 60)
+    parts = [shared[:30], shared[30:], shared[15:45], shared]
+    df = frame(spark, [" ".join(prose(rng, 80) + p + prose(rng, 80)) for p in [*parts, shared]])
+    got = [(r.doc_id, r.source_id, r.from_word, r.to_word) for r in passages.repeated_passages(df).collect()]
+    assert got == [(4, 3, 80, 140)]
+
+
+def test_passages_every_copy(spark):
+    """All copies in a later document go, also where the first document has one only."""
+    rng = random.Random(13)
+    shared, gaps = prose(rng, 70), [prose(rng, 80) for _ in range(4)]
+    texts = [" ".join(gaps[0] + shared), " ".join(gaps[1] + shared + gaps[2] + shared + gaps[3])]
+    df = frame(spark, [*texts, "again " * 400, "again " * 300])
+    found = passages.repeated_passages(df)
+    assert {(80, 150), (230, 300)} <= {(r.from_word, r.to_word) for r in found.filter("doc_id = 1").collect()}
+    left = {r.doc_id: r.text for r in passages.without_passages(df, found).collect()}
+    assert words(left[1]) == gaps[1] + gaps[2] + gaps[3] and 3 not in left
+    assert found.filter("doc_id = 3").count() <= 20
+
+
+def test_run_chains_cover():
+    """Few chains for a periodic text, and every word of every run."""
+    rng = random.Random(15)
+    assert len(list(passages._run_chains([{"rep": 1, "at": k, "rep_at": 0} for k in range(1000)], 50))) <= 2 * 1050 / 50
+    for _ in range(100):
+        hits = [{"rep": rng.randint(1, 2), "at": rng.randint(0, 300), "rep_at": rng.randint(0, 3)} for _ in range(rng.randint(1, 40))]
+        got = {(source, k) for source, x, _ in passages._run_chains(hits, 50) for k in range(x[0], x[1] + passages.SEED_WORDS)}
+        assert got == {(h["rep"], h["at"] + k) for h in hits for k in range(50)}
 
 
 def test_chains_go_on_after_a_gap():
@@ -218,6 +248,9 @@ def test_passages_after_a_gap(spark):
     assert got == [(0, 200), (260, 460)]
 
 
+# ---- 1, 5: classifiers --------------------------------------------------------------------------------
+
+
 def area(score, label):
     a, b = score[label == 1], score[label == 0]
     return float((a[:, None] > b[None, :]).mean() + 0.5 * (a[:, None] == b[None, :]).mean())
