@@ -248,6 +248,17 @@ def test_passages_after_a_gap(spark):
     assert got == [(0, 200), (260, 460)]
 
 
+@pytest.mark.parametrize("n, changed, least", [(60, 6, 0.93), (60, 9, 0.85), (100, 20, 0.9)])
+def test_passages_with_changed_words(spark, n, changed, least):
+    rng, texts = random.Random(14), []
+    for _ in range(150):
+        own = prose(rng, n)
+        gone = set(rng.sample(range(n), changed))
+        texts += [" ".join(prose(rng, 60) + p + prose(rng, 60)) for p in (own, [w + "x" if k in gone else w for k, w in enumerate(own)])]
+    found = {(r.doc_id, r.source_id) for r in passages.repeated_passages(frame(spark, texts)).collect()}
+    assert len(found & {(k + 1, k) for k in range(0, 300, 2)}) >= least * 150
+
+
 # ---- 1, 5: classifiers --------------------------------------------------------------------------------
 
 
