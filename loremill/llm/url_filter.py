@@ -159,11 +159,11 @@ def filter_urls(pages: DataFrame, rules: Rules, id_col: str = "page_id", url_col
 
     ``verdict`` is the longest fitting rule's, else ``allow`` if the score reaches the threshold and
     ``block`` if not. A url without host has no rule. Where no rule decides any url, or all the same way,
-    every score is 0 and the rest is allowed. Other columns are ignored, also ones named like the result's.
+    every score is 0 and the rest is allowed. Rules see host and path, the models the whole url (null as empty). Other columns are ignored, also ones named like the result's.
     """
     host, path = host_and_path(F.col("raw"))
-    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("raw")).select("id", host.alias("host"), path.alias("path"))
-    own = own.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn("url", F.concat("host", "path"))
+    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("raw")).select("id", host.alias("host"), path.alias("path"), F.coalesce("raw", F.lit("")).alias("url"))
+    own = own.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     says = F.create_map(*[F.lit(x) for r in rules for x in r])
     models = estimate(own.filter("rule IS NOT NULL").select("url", says[F.col("rule")].alias("verdict")))
     packed = own.select(F.struct("id", "host", "path", "rule").alias("own"), "url")

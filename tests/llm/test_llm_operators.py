@@ -342,6 +342,15 @@ def test_url_rules(spark):
     assert url_filter.filter_urls(df.limit(0), registry.URL_RULES).count() == 0
 
 
+def test_url_models_read_the_whole_url(spark):
+    """Urls of one host and path, or without a host, are told apart by the rest."""
+    decided = [f"http://example.net/en/p?topic=science{k}" for k in range(150)] + [f"http://bad{k}.net/en/p?topic=casino{k}" for k in range(150)]
+    urls = ["http://a.io/en/p?topic=science7", "http://a.io/en/p?topic=casino7", "topic=science8", "topic=casino8"]
+    df = spark.createDataFrame(list(enumerate(decided + urls)), "page_id long, url string")
+    got = {r.page_id: r.score for r in url_filter.filter_urls(df, registry.URL_RULES).collect()}
+    assert got[300] > got[301] and got[302] > got[303]
+
+
 def test_url_models(spark):
     rng = random.Random(4)
     good = [f"site{rng.randint(0, 99)}.com/news/{rng.randint(0, 999)}" for _ in range(300)]
