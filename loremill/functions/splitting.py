@@ -1,139 +1,111 @@
-"""Order-dependent splits of one text, for which DataFrame functions have no form: small helpers run in Arrow batches."""
+"""Order-dependent splits of one text.
+
+Cutting long texts and packing paragraphs are column expressions: a regular expression whose greedy
+window ends where a piece may end, and a fold over the pieces. Halving and Markdown are small helpers run
+in Arrow batches.
+"""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 from .ids import col
+from .text import strip
 
+#: The type of a list without texts.
+_TEXTS = "array<string>"
 
-def cut_long(text: str, most: int) -> list[str]:
-    """Pieces of at most ``most`` characters: each ends at the window's last line end, else its last blank (neither in its first third), else at the window's end."""
-    if len(text) <= most:
-        return [text]
-    out = []
-    while text:
-        if len(text) <= most:
-            end = len(text)
-        else:
-            end = text.rfind("\n", 0, most)
-            if end < most // 3:
-                end = text.rfind(" ", 0, most)
-            if end < most // 3:
-                end = most
-        out.append(text[:end].strip())
-        text = text[end:].lstrip()
-    return [p for p in out if p]
+
+def cut_long(x, most: int = 1000) -> Column:
+    """Pieces of at most ``most`` characters, trimmed: each ends at the window's last line end, else its last blank (neither in its first third), else at the window's end. A short text stays as it is; null has none."""
+    some = f".{{{most // 3},{most - 1}}}"
+    window = rf"(?sU)(.{{1,{most}}}+\z|{some}(?=\n)|{some}(?= )|.{{{most}}})\s*"
+    pieces = F.transform(F.regexp_extract_all(col(x), F.lit(window), F.lit(1)), strip)
+    own = F.when(F.char_length(col(x)) <= most, F.array(col(x))).otherwise(F.filter(pieces, lambda p: p != ""))
+    return F.coalesce(own, F.array().cast(_TEXTS))
 
 
-def pack_paragraphs(text: str, most: int) -> list[str]:
+def pack_paragraphs(x, most: int = 1000) -> Column:
     """Paragraphs joined by blank lines into texts of at most ``most`` characters, joiners counted; long ones are cut first."""
-    pieces = [c for p in text.split("\n\n") if p.strip() for c in cut_long(p.strip(), most)]
-    out: list[str] = []
-    for p in pieces:
-        if out and len(out[-1]) + 2 + len(p) <= most:
-            out[-1] += "\n\n" + p
-        else:
-            out.append(p)
-    return out
+    paragraphs = F.filter(F.transform(F.split(col(x), "\n\n"), strip), lambda p: p != "")
+    pieces = F.flatten(F.transform(paragraphs, lambda p: cut_long(p, most)))
+
+    def add(out: Column, piece: Column) -> Column:
+        last = F.try_element_at(out, F.lit(-1))
+        joined = F.concat(last, F.lit("\n\n"), piece)
+        return F.when(F.char_length(joined) <= most, F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(joined))).otherwise(F.concat(out, F.array(piece)))
+
+    return F.coalesce(F.aggregate(pieces, F.array().cast(_TEXTS), add), F.array().cast(_TEXTS))
 
 
 def halves(text: str) -> list[str]:
-    """Two parts near the middle: at a blank line, else a line end, else a character. A blank text has two empty ones."""
+    """Two trimmed parts, cut at the blank line nearest to the middle, else at the nearest line end, else in the middle; of two equally near the first."""
     text = text.strip()
     middle = len(text) // 2
-    for joint in ("\n\n", "\n"):
-        parts = text.split(joint)
-        if len(parts) > 1:
-            ends, total = [], 0
-            for p in parts[:-1]:
-                total += len(p) + len(joint)
-                ends.append(abs(total - middle))
-            k = ends.index(min(ends)) + 1
-            left, right = joint.join(parts[:k]).strip(), joint.join(parts[k:]).strip()
-            if left and right:
-                return [left, right]
-    return [text[:middle].strip(), text[middle:].strip()]
+    ways = ([m.end() for m in re.finditer(joint, text)] for joint in ("\n\n", "\n"))
+    at = min(next((ends for ends in ways if ends), [middle]), key=lambda end: abs(end - middle))
+    return [text[:at].strip(), text[at:].strip()]
 
 
 # ---- Markdown -------------------------------------------------------------------------------------
 
-# The forms of headings.
-_ATX, _BOLD = re.compile(r"^(#{1,6})\s+(.+)$"), re.compile(r"^\*\*(.+)\*\*\s*$")
-_UNDERLINE = {"=": 1, "-": 2}
-
-
-def _separator(row: str) -> bool:
-    cells = [c.strip() for c in row.strip("|").split("|")]
-    return row.startswith("|") and all(c and not c.strip("-:") for c in cells)
-
-
-def _is_row(line: str) -> bool:
-    s = line.strip()
-    return s.startswith("|") or ("|" in s and _separator(f"|{s}|"))
-
-
-def _heading(lines: list[str], k: int) -> tuple[int, str, int] | None:
-    """(level, text, lines taken) if a heading begins at line ``k``."""
-    line = lines[k].strip()
-    if m := _ATX.match(lines[k]):
-        return len(m[1]), m[2].strip(), 1
-    if k + 1 < len(lines) and line and not line.startswith("|"):
-        under = lines[k + 1].strip()
-        if under and under[0] in _UNDERLINE and not under.strip(under[0]):
-            return _UNDERLINE[under[0]], line, 2
-    if (m := _BOLD.match(line)) and m[1].strip():
-        return 2, m[1].strip(), 1
-    return None
+# The forms of headings, of the line under a title, and of the rule in a table.
+ATX, BOLD, UNDER = re.compile(r"(#{1,6})\s+(.+)"), re.compile(r"\*\*(.*\S.*)\*\*"), re.compile(r"=+|-+")
+RULE = re.compile(r"\|+\s*[-:]+(?:\s*\|\s*[-:]+)*\s*\|*")
+
+
+def _kinds(lines: list[str]) -> list[tuple[str, int, str]]:
+    """(kind, level, text) of each line: heading, row, or prose (also blank). The line under a title is no line of its own."""
+    bare = [line.strip() for line in lines]
+    marks = [b[0] if UNDER.fullmatch(b) else "" for b in bare[1:]] + [""]
+    out: list[tuple[str, int, str]] = []
+    taken = False
+    for line, text, mark in zip(lines, bare, marks):
+        if taken:
+            taken = False
+            continue
+        row = text.startswith("|") or ("|" in text and bool(RULE.fullmatch(f"|{text}|")))
+        if row and out and out[-1][0] == "row":
+            out.append(("row", 0, line))
+        elif m := ATX.fullmatch(line):
+            out.append(("heading", len(m[1]), m[2].strip()))
+        elif taken := bool(mark and text and not text.startswith("|")):
+            out.append(("heading", "=-".index(mark) + 1, text))
+        elif m := BOLD.fullmatch(text):
+            out.append(("heading", 2, m[1].strip()))
+        else:
+            out.append(("row", 0, line) if row else ("prose", 0, line.rstrip()))
+    return out
 
 
 def markdown_blocks(text: str) -> list[dict]:
     """Headings with the path that leads to them, tables, and paragraphs.
 
     A paragraph goes over one blank line and ends at two, at a heading and at a table row. Rows are a
-    table if there are two or more and one is a separator or all begin with a bar; else paragraphs.
+    table if there are two or more and one is a rule or all begin with a bar; else paragraphs.
     """
-    lines, blocks, path, k = text.splitlines(), [], [], 0
-
-    def add(kind: str, body: str, level: int | None = None) -> None:
-        blocks.append({"type": kind, "level": level, "text": body, "heading_path": [t for _, t in path]})
-
-    while k < len(lines):
-        if found := _heading(lines, k):
-            level, title, taken = found
-            path[:] = [(n, t) for n, t in path if n < level] + [(level, title)]
-            add("heading", title, level)
-            k += taken
-        elif _is_row(lines[k]):
-            end = k
-            while end < len(lines) and _is_row(lines[end]):
-                end += 1
-            rows = lines[k:end]
-            if len(rows) > 1 and (any(_separator(r.strip()) for r in rows) or all(r.strip().startswith("|") for r in rows)):
-                add("table", "\n".join(rows))
-            else:
-                for r in rows:
-                    add("paragraph", r.strip())
-            k = end
-        elif lines[k].strip():
-            parts: list[str] = []
-            blanks = 0
-            while k < len(lines) and blanks < 2:
-                if not lines[k].strip():
-                    blanks += 1
-                elif _heading(lines, k) or _is_row(lines[k]):
-                    break
-                else:
-                    parts += [""] * blanks + [lines[k].rstrip()]
-                    blanks = 0
-                k += 1
-            add("paragraph", "\n".join(parts).strip())
+    blocks: list[dict] = []
+    path: dict[int, str] = {}
+    for kind, run in groupby(_kinds(text.splitlines()), key=lambda x: x[0]):
+        own = list(run)
+        texts = [x[2] for x in own]
+        if kind == "row":
+            bare = [t.strip() for t in texts]
+            table = len(bare) > 1 and (any(map(RULE.fullmatch, bare)) or all(t.startswith("|") for t in bare))
+            found = [("table", None, "\n".join(texts))] if table else [("paragraph", None, t) for t in bare]
+        elif kind == "prose":
+            found = [("paragraph", None, t.strip()) for t in re.split("\n{3,}", "\n".join(texts)) if t.strip()]
         else:
-            k += 1
+            found = own
+        for name, level, body in found:
+            if level:
+                path = {n: t for n, t in path.items() if n < level} | {level: body}
+            blocks.append({"type": name, "level": level, "text": body, "heading_path": list(path.values())})
     return blocks
 
 
@@ -158,34 +130,17 @@ BLOCKS = T.ArrayType(
 )
 
 
-def _texts(fn: Callable[[str], list[str]]):
-    @F.pandas_udf(T.ArrayType(T.StringType()))
+def _over(fn: Callable[[str], list], kind: T.DataType) -> Callable[[Column], Column]:
+    @F.pandas_udf(kind)
     def run(x: pd.Series) -> pd.Series:
         return x.map(lambda t: fn(t or ""))
 
     return run
 
 
-def cut_long_column(x, most: int = 1000) -> Column:
-    """Only texts that are too long go to Python."""
-    long = _texts(lambda t: cut_long(t, most) if t else [])
-    own = col(x)
-    return F.when(F.char_length(own) <= most, F.array(own)).otherwise(long(F.when(F.char_length(own) > most, own)))
-
-
-def packed_column(x, most: int = 1000) -> Column:
-    return _texts(lambda t: pack_paragraphs(t, most))(col(x))
-
-
 def halves_column(x) -> Column:
-    return _texts(halves)(col(x))
+    return _over(halves, T.ArrayType(T.StringType()))(col(x))
 
 
 def blocks_column(x, name: str = "markdown") -> Column:
-    extract = extractor(name)
-
-    @F.pandas_udf(BLOCKS)
-    def run(x: pd.Series) -> pd.Series:
-        return x.map(lambda t: extract(t or ""))
-
-    return run(col(x))
+    return _over(extractor(name), BLOCKS)(col(x))

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import ids, text as X
 from ..functions.splitting import cut_long
@@ -162,25 +161,14 @@ def block_text(kind, text, markdown=None, caption=None, rows=None) -> Column:
     return X.strip(F.when(k == "table", F.coalesce(m, t, r, F.lit(""))).when(k == "image", F.coalesce(c, t, F.lit(""))).otherwise(F.coalesce(t, m, F.lit(""))))
 
 
-def _pieces(most: int):
-    @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("type", T.StringType()), T.StructField("text", T.StringType()), T.StructField("heading_path", T.ArrayType(T.StringType()))])))
-    def run(blocks: pd.Series) -> pd.Series:
-        return blocks.map(lambda own: [{"type": b["type"], "text": p, "heading_path": list(b["heading_path"])} for b in own for p in cut_long(b["text"], most)])
-
-    return run
-
-
 def chunk_blocks(docs: DataFrame, blocks: str = "blocks", max_chars: int = 1000) -> DataFrame:
     """Chunks of documents (``tenant, project_id, document_id`` and an array of blocks), numbered in order, with ids.
 
-    Headings are not chunked; long texts are cut. Only documents that have a long block go to Python.
-    No shuffle: a document's chunks come out of its own row.
+    Headings are not chunked; long texts are cut. No shuffle and no Python: a document's chunks come out of its own row.
     """
     own = F.filter(F.col(blocks), lambda b: (b["type"] != "heading") & (F.coalesce(b["text"], F.lit("")) != ""))
-    docs = docs.withColumn("_own", F.transform(own, lambda b: F.struct(b["type"].alias("type"), b["text"].alias("text"), b["heading_path"].alias("heading_path"))))
-    long = F.exists("_own", lambda b: F.char_length(b["text"]) > max_chars)
-    cut = F.coalesce(_pieces(max_chars)(F.when(long, F.col("_own")).otherwise(F.array().cast(f"array<{BLOCK}>"))), F.array().cast(f"array<{BLOCK}>"))
-    docs = docs.withColumn("_cut", cut).withColumn("_own", F.when(long, F.col("_cut")).otherwise(F.col("_own")))
+    piece = lambda b: lambda p: F.struct(b["type"].alias("type"), p.alias("text"), b["heading_path"].alias("heading_path"))
+    docs = docs.withColumn("_own", F.flatten(F.transform(own, lambda b: F.transform(cut_long(b["text"], max_chars), piece(b)))))
     rows = docs.select("tenant", "project_id", "document_id", F.posexplode("_own").alias("chunk_index", "b"))
     rows = rows.select("tenant", "project_id", "document_id", "chunk_index", F.col("b.text").alias("text"), ids.text_hash("b.text").alias("text_hash"), F.col("b.heading_path").alias("heading_path"), F.col("b.type").alias("source_block_type"))
     return rows.withColumn("chunk_id", ids.chunk_id("tenant", "document_id", "chunk_index", "text_hash"))

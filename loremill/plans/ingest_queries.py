@@ -283,7 +283,7 @@ def c7(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("c8_cut_long", f"WITH RECURSIVE src AS (SELECT doc_id, text AS p FROM documents WHERE length(text) > 0), {cut_sql('src', 'doc_id', 700)} SELECT doc_id, count(*) AS n_pieces, max(length(piece)) AS longest, sha256(string_agg(piece, '|' ORDER BY n)) AS digest FROM pieces GROUP BY 1")
 def c8(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").filter("length(text) > 0").select("doc_id", splitting.cut_long_column("text", 700).alias("p"))
+    d = table(spark, sf, "documents").filter("length(text) > 0").select("doc_id", splitting.cut_long("text", 700).alias("p"))
     own = d.withColumn("p", F.filter(F.transform("p", X.strip), lambda x: x != "")).filter(F.size("p") > 0)
     return own.select("doc_id", F.size("p").cast("long").alias("n_pieces"), F.array_max(F.transform("p", lambda x: F.char_length(x))).cast("long").alias("longest"), F.sha2(F.array_join("p", "|"), 256).alias("digest"))
 
@@ -296,7 +296,7 @@ pack AS (SELECT document_id, k, 0 AS chunk, length(piece) AS size FROM l WHERE k
 SELECT document_id, chunk, string_agg(piece, chr(10) || chr(10) ORDER BY k) AS text FROM pack JOIN l USING (document_id, k) GROUP BY 1, 2""",
 )
 def c9(spark: SparkSession, sf: str) -> DataFrame:
-    d = base.docs(spark, sf).select("document_id", splitting.packed_column(F.replace(F.col("content"), F.lit("\n"), F.lit("\n\n"))).alias("p"))
+    d = base.docs(spark, sf).select("document_id", splitting.pack_paragraphs(F.replace(F.col("content"), F.lit("\n"), F.lit("\n\n"))).alias("p"))
     return d.select("document_id", F.posexplode("p").alias("chunk", "text"))
 
 

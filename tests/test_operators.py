@@ -62,15 +62,30 @@ def test_mode_router(spark, query, mode):
     assert one(spark, X.search_mode("v", F.lit("drift")), v=query) == "drift"
 
 
-def test_cut_long():
-    assert splitting.cut_long("a" * 2500, 1000) == ["a" * 1000, "a" * 1000, "a" * 500]
-    assert splitting.cut_long("x" * 1000, 1000) == ["x" * 1000]
-    # A line end exactly at a third of the window counts, one before it does not.
-    assert splitting.cut_long("a" * 3 + "\n" + "b" * 9, 9)[0] == "aaa"
-    assert splitting.cut_long("aa\n" + "b" * 9, 9)[0] == "aa\nbbbbbb"
-    assert splitting.pack_paragraphs("aa\n\nbb\n\ncc", 6) == ["aa\n\nbb", "cc"]
-    assert splitting.pack_paragraphs("  ", 5) == []
+def test_cut_long(spark):
+    cut = lambda t, n: one(spark, splitting.cut_long("v", n), v=t)
+    assert cut("a" * 2500, 1000) == ["a" * 1000, "a" * 1000, "a" * 500]
+    assert cut("x" * 1000, 1000) == ["x" * 1000]
+    assert cut(" short ", 1000) == [" short "] and cut("", 9) == [""]
+    # A line end exactly at a third of the window counts, one before it does not; a line end goes before a later blank.
+    assert cut("a" * 3 + "\n" + "b" * 9, 9)[0] == "aaa"
+    assert cut("aa\n" + "b" * 9, 9)[0] == "aa\nbbbbbb"
+    assert cut("aaaa\nb c dddd", 9) == ["aaaa", "b c dddd"]
+    assert cut("aaaa b c dddd", 9) == ["aaaa b c", "dddd"]
+    assert cut("\U0001f600" * 7, 3) == ["\U0001f600" * 3, "\U0001f600" * 3, "\U0001f600"]
+    assert cut("a" * 9 + "   \n ", 9) == ["a" * 9]
+    assert one(spark, splitting.cut_long(F.lit(None).cast("string"), 9)) == []
+    pack = lambda t, n: one(spark, splitting.pack_paragraphs("v", n), v=t)
+    assert pack("aa\n\nbb\n\ncc", 6) == ["aa\n\nbb", "cc"]
+    assert pack("  ", 5) == []
+    assert pack("a" * 7 + "\n\nb", 5) == ["aaaaa", "aa\n\nb"]
+
+
+def test_halves():
     assert splitting.halves("one\n\ntwo") == ["one", "two"]
+    assert splitting.halves("a\nbb\nccc\ndddd") == ["a\nbb", "ccc\ndddd"]
+    assert splitting.halves("x\ny\n\n" + "z" * 30) == ["x\ny", "z" * 30]
+    assert splitting.halves("abcde") == ["ab", "cde"]
     assert splitting.halves("") == ["", ""]
 
 
