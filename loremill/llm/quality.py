@@ -16,17 +16,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from .labelled import calibrate, class_counts, fold, shares, sigmoid, training_rows
+from .shared import text_slices
 from .words import span_hashes
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
 #: The training sample: documents of each class, and the longest that is learned from.
 TRAIN_EACH, TRAIN_LONGEST = 1000, 20_000
-SLICE_CHARS = 400_000
+SLICE_BYTES = 400_000
 
 LOWER, UPPER, DIGIT, SPACE, STOP, PUNCT, SYMBOL, OTHER = range(8)
 
@@ -219,13 +219,7 @@ def score_documents(docs: DataFrame, field: LineField | None, id_col: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = 0
-            while at < len(b):  # rows of about SLICE_CHARS at a time, one at least
-                part, chars, begin = [], 0, at
-                while at < len(b) and (chars < SLICE_CHARS):
-                    part.append(b.column(1)[at].as_py() or "")
-                    chars += len(part[-1])
-                    at += 1
+            for begin, part in text_slices(b.column(1), SLICE_BYTES):
                 score = np.full(len(part), 0.5) if field is None else field.score(part)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(begin, len(part)), pa.array(score, pa.float64())], ["id", "score"])
 
@@ -237,17 +231,9 @@ def likely_good(docs: DataFrame, field: LineField | None, least: float = 0.5, te
     if field is None:
         return docs
 
-    @F.pandas_udf(T.DoubleType())
-    def score(text: pd.Series) -> pd.Series:
-        out, at, texts = [], 0, text.tolist()
-        while at < len(texts):
-            part, chars = [], 0
-            while at < len(texts) and chars < SLICE_CHARS:
-                part.append(texts[at] or "")
-                chars += len(part[-1])
-                at += 1
-            out.append(field.score(part))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([field.score(part) for _, part in text_slices(text, SLICE_BYTES)] or [np.zeros(0)]), pa.float64())
 
     return docs.filter(score(F.col(text_col)) >= least)
 

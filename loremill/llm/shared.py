@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import components
-from ..operators.components import shared_dir  # noqa: F401
+from ..operators.components import cut, shared_dir
 
-#: Arrow batches of texts and arrays hold at most so much while a table is written.
-BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "16m"
+__all__ = ["cut", "shared_dir", "table", "text_slices"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,12 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``components.cut`` with small Arrow batches, so that rows with long texts or arrays do not fill a Python worker."""
-    conf = df.sparkSession.conf
-    before = conf.get(BATCH_KEY)
-    conf.set(BATCH_KEY, BATCH_BYTES)
-    try:
-        return components.cut(df)
-    finally:
-        conf.set(BATCH_KEY, before)
+def text_slices(column: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of about ``most`` bytes, one row at least; null is empty. So a worker never holds a whole batch of texts as Python strings."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    total = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(total, total[at] + most, side="right")) - 1)
+        yield at, [t or "" for t in column.slice(at, end - at).to_pylist()]
+        at = end
