@@ -22,20 +22,27 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.likely_good(docs, quality.fit_from(docs, table(spark, sf_dir, "labels")), LEAST_QUALITY)
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """``doc, id, text``: each document as one column besides its id and text, so that no name of its own is in the way."""
+    doc = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    return doc.select("doc", F.col("doc.doc_id").alias("id"), F.coalesce("doc.text", F.lit("")).alias("text"))
+
+
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id; of rows repeated under one id, one."""
-    kept = cut(exact_dedup.exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha")).distinct())
-    own = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
-    named = own.join(kept.hint("merge"), (F.col("doc_id") == F.col("kept_id")) & (F.col("_sha") == F.col("kept_sha")), "left_semi")
-    unnamed = own.filter("doc_id IS NULL").join(kept.filter("kept_id IS NULL").hint("merge"), F.col("_sha") == F.col("kept_sha"), "left_semi")
-    return named.dropDuplicates(["doc_id", "_sha"]).unionByName(unnamed.dropDuplicates(["_sha"])).select(docs.columns)
+    kept = cut(exact_dedup.exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).distinct())
+    own = _whole(docs).withColumn("sha", F.sha2("text", 256)).drop("text")
+    named = own.join(kept.hint("merge"), ["id", "sha"], "left_semi").dropDuplicates(["id", "sha"])
+    unnamed = own.filter("id IS NULL").join(kept.filter("id IS NULL").hint("merge"), "sha", "left_semi").dropDuplicates(["sha"])
+    return named.select("doc.*").unionByName(unnamed.select("doc.*"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates: the one with the least id."""
-    kept = cut(bag_minhash.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("kept_id")).distinct())
-    named = docs.join(kept.hint("merge"), F.col("doc_id") == F.col("kept_id"), "left_semi")
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    kept = cut(bag_minhash.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text_hash").distinct())
+    own = _whole(docs).withColumn("text_hash", F.xxhash64("text")).drop("text")
+    named = own.join(kept.hint("merge"), ["id", "text_hash"], "left_semi")
+    return named.unionByName(own.filter("id IS NULL")).select("doc.*")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

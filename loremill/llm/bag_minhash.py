@@ -10,13 +10,13 @@ a point counts if its unit is within the weight. Points are made in order of tim
 they can still be a register's earliest.
 
 Bands of registers put similar documents into common buckets. A bucket's members are not compared with
-one another, only with its centre, the one that shares the most buckets with others. Whoever is then not
-in one class with the centre is compared with the hub of that class, an even more central document h that
-the centre is linked to, and may still be similar to another member y. Two
-exact arguments say to which. Similar multisets x and y either share a run that h has not, and then one
-among the first few of each when such runs are put in order from the rarest; or their overlap lies within
-h, which needs y to be small. Only such pairs are compared further. Compared means that the multisets'
-overlap is counted in full.
+one another, only with its centre, the one that shares the most buckets with others; what links connect
+is a class. Where a bucket still has members of several classes, any two of them may be similar. Two
+multisets of n and k runs are similar only if their overlap reaches t / (1 + t) (n + k), so when both are
+put in one order, rarest runs first, their first common run is among the first of each. So a run among the
+first of its multiset calls for comparisons of members of different classes; where one class has most of a
+run's members, only the others are compared with them. Compared means that the multisets' overlap is
+counted in full. So all that can be missed is a pair that shares no bucket at all.
 """
 
 from __future__ import annotations
@@ -24,20 +24,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.components import components
-from .shared import cut
+from .shared import cut, text_slices
 from .words import mixed, shingles, word_table
 
 WORDS, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 misses all 16 bands of 4 registers once in 4,500 times.
 REGISTERS, BANDS = 64, 16
-#: Members less like a hub than this meet those like them in buckets of their own.
-ALIKE = 0.5
-SLICE_CHARS = 300_000
+SLICE_BYTES = 300_000
 _STEP = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -106,189 +103,142 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return (sums[starts[1:]] - sums[starts[:-1]]).view(np.int64)
 
 
-def _sliced(b: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of about SLICE_CHARS characters, one row at least."""
-    at = 0
-    while at < len(b):
-        part, chars, begin = [], 0, at
-        while at < len(b) and chars < SLICE_CHARS:
-            part.append(b.column(1)[at].as_py() or "")
-            chars += len(part[-1])
-            at += 1
-        yield begin, part
-
-
 def _lists(values: np.ndarray, starts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values.view(np.int64)))
 
 
-def sketch(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> DataFrame:
-    """``id, low, high, n, bands``: a 128-bit name of the multiset, its size, and its band hashes (none if it is empty)."""
-    source = docs.select(F.col(id_col).alias("id"), text_col)
-    kind = dict(source.dtypes)["id"]
+def sketch(rows: DataFrame, words: int = WORDS) -> DataFrame:
+    """``rows`` (``id, row, text``) as ``id, row, low, high, n, bands``: a 128-bit name of the multiset, its size, and its band hashes (none if it is empty)."""
+    kind = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for begin, part in _sliced(b):
+            for begin, part in text_slices(b.column(2), SLICE_BYTES):
                 elements, counts, starts = bags(part, words)
                 n = np.add.reduceat(np.append(counts, 0), np.minimum(starts[:-1], len(counts))) * (np.diff(starts) > 0)
                 hashes = _bands(signatures(elements, counts, starts), BANDS)
                 some = np.diff(starts) > 0
                 first = np.concatenate([[0], np.cumsum(some * BANDS)])
-                unit = mixed(elements) + counts.astype(np.uint64)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(begin, len(part)), pa.array(_sums(mixed(unit), starts)), pa.array(_sums(mixed(unit + _STEP), starts)), pa.array(n, pa.int64()), _lists(hashes[some].ravel(), first)],
-                    ["id", "low", "high", "n", "bands"],
-                )
+                low, high = _names(elements, counts, starts)
+                own = [b.column(k).slice(begin, len(part)) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*own, low, high, pa.array(n, pa.int64()), _lists(hashes[some].ravel(), first)], ["id", "row", "low", "high", "n", "bands"])
+
+    return rows.select("id", "row", "text").mapInArrow(run, f"id {kind}, row long, low long, high long, n long, bands array<long>")
+
 
-    return source.mapInArrow(run, f"id {kind}, low long, high long, n long, bands array<long>")
+def _names(elements: np.ndarray, counts: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Two sums of scrambled elements and counts that name a multiset, whatever the order of its elements."""
+    unit = mixed(elements) + counts.astype(np.uint64)
+    return pa.array(_sums(mixed(unit), starts)), pa.array(_sums(mixed(unit + _STEP), starts))
 
 
-def multisets(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> DataFrame:
-    """``id, runs``: the hashes of all word runs of each text, sorted, as often as they occur."""
-    source = docs.select(F.col(id_col).alias("id"), text_col)
-    kind = dict(source.dtypes)["id"]
+def multisets(rows: DataFrame, words: int = WORDS) -> DataFrame:
+    """``rows`` (``text``) as ``low, high, runs``: the name of each text's multiset, and its runs. The k-th occurrence of a run is a number of its own, so multisets are compared as sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for begin, part in _sliced(b):
+            for _, part in text_slices(b.column(0), SLICE_BYTES):
                 elements, counts, starts = bags(part, words)
-                ends = np.concatenate([[0], np.cumsum(counts)])[starts]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(begin, len(part)), _lists(np.repeat(elements, counts), ends)], ["id", "runs"])
-
-    return source.mapInArrow(run, f"id {kind}, runs array<long>")
-
-
-def _numbered(sorted_runs: np.ndarray) -> np.ndarray:
-    """Each occurrence of a run by a number of its own: the k-th is the same in every multiset."""
-    new = np.concatenate([[True], sorted_runs[1:] != sorted_runs[:-1]]) if len(sorted_runs) else np.zeros(0, bool)
-    at = np.arange(len(sorted_runs))
-    k = at - np.maximum.accumulate(np.where(new, at, 0))
-    return mixed(sorted_runs.view(np.uint64) + k.astype(np.uint64) * _STEP)
-
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                again = np.arange(ends[-1]) - np.repeat(ends[:-1], counts)
+                low, high = _names(elements, counts, starts)
+                yield pa.RecordBatch.from_arrays([low, high, _lists(mixed(np.repeat(elements, counts) + again.astype(np.uint64) * _STEP), ends[starts])], ["low", "high", "runs"])
 
-@F.pandas_udf(T.DoubleType())
-def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Weighted Jaccard similarity of two multisets given as sorted arrays."""
-    out = np.zeros(len(a))
-    for k, (x, y) in enumerate(zip(a, b)):
-        common = len(np.intersect1d(_numbered(np.asarray(x)), _numbered(np.asarray(y)), assume_unique=True))
-        out[k] = common / max(len(x) + len(y) - common, 1)
-    return pd.Series(out)
+    return rows.select("text").mapInArrow(run, "low long, high long, runs array<long>")
 
 
-COMPARED = T.StructType([T.StructField("similarity", T.DoubleType()), T.StructField("common", T.LongType()), T.StructField("others", T.ArrayType(T.LongType()))])
-
-
-@F.pandas_udf(COMPARED)
-def against_hub(member: pd.Series, hub: pd.Series) -> pd.DataFrame:
-    """Similarity of a member with a hub, their overlap, and, if they are alike at all, the member's runs that the hub has not."""
-    rows = []
-    for x, h in zip(member, hub):
-        x, h = _numbered(np.asarray(x)), _numbered(np.asarray(h))
-        common = len(np.intersect1d(x, h, assume_unique=True))
-        similar = common / max(len(x) + len(h) - common, 1)
-        rows.append((similar, common, np.setdiff1d(x, h, assume_unique=True).view(np.int64) if similar >= ALIKE else None))
-    return pd.DataFrame(rows, columns=["similarity", "common", "others"])
+def overlap(a: Column, b: Column) -> Column:
+    """Weighted Jaccard similarity of two multisets given as arrays of numbered runs."""
+    common = F.size(F.array_intersect(a, b))
+    return common / F.greatest(F.size(a) + F.size(b) - common, F.lit(1))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One row per input row: ``id_col, class_id, class_size, n_links, kept``.
+    """One row per input row: ``id_col, class_id, class_size, n_links, kept, text_hash``.
 
     Documents whose multisets of five-word runs have a weighted Jaccard similarity of ``similarity`` or
-    more are linked; a class is what links connect, named by its least id, which is the row that stays.
+    more are linked; a class is what links connect, named by its least id. The row with the least id stays;
+    of rows with that id and different texts the one with the least ``text_hash`` (xxhash64 of the text;
+    null counts as empty), which with the id tells rows apart; rows that repeat both are all marked kept.
     ``n_links`` is the number of links found between the row's multiset and other multisets. Words ignore
     case and marks. A text of one to four words has one run of them all; texts without words (also null)
     are equal to each other and to nothing else. Rows with equal multisets, repeated rows among them, are
     one class without being compared. A row without id is left as it is, in a class of its own.
     Other columns are ignored; an empty table gives an empty result.
     """
-    sketched = cut(sketch(docs, id_col, text_col).filter("id IS NOT NULL"))
-    # Equal multisets are one; the least id stands for them.
-    stand = sketched.groupBy("low", "high", "n").agg(F.min(F.struct("id", "bands")).alias("first"))
-    stand = cut(stand.select("low", "high", "n", F.col("first.id").alias("rep"), F.col("first.bands").alias("bands")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row"), text.alias("text"))
+    named = rows.filter("id IS NOT NULL")
+    sketched = cut(sketch(named))
+    # Equal multisets are one, and everything from here on is about multisets, known by their names.
+    stand = sketched.groupBy("low", "high", "n").agg(F.min(F.struct("id", "row")).alias("first"), F.any_value("bands").alias("bands"))
+    stand = cut(stand.select(F.struct("low", "high").alias("rep"), "n", "first", "bands"))
     buckets = stand.select("rep", "n", F.posexplode("bands").alias("band", "hash"))
     shared = cut(buckets.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
     members = cut(buckets.join(shared, ["band", "hash"]))
-    who = cut(members.select(F.col("rep").alias("id")).distinct())
-    sharing = docs.filter(F.col(id_col).isNotNull()).join(who.hint("merge"), docs[id_col] == who["id"], "left_semi")
-    runs = cut(multisets(sharing.dropDuplicates([id_col]), id_col, text_col))
-    side = lambda name, array: runs.select(F.col("id").alias(name), F.col("runs").alias(array)).hint("merge")
-
-    # Who shares the most buckets with others stands in the middle of its group: the bucket's centre.
-    degree = members.groupBy("rep").agg(F.min(F.col("n")).alias("n"), F.sum("size").alias("d"))
-    central = cut(degree.select("rep", "n", F.struct((-F.col("d")).alias("d"), F.col("rep").alias("id"), F.col("n").alias("n")).alias("s")))
-    centres = members.select("band", "hash", "rep").join(central, "rep").groupBy("band", "hash").agg(F.min("s").alias("s"))
-    pairs = members.join(cut(centres), ["band", "hash"]).select("rep", "n", F.col("s.id").alias("centre"), F.col("s.n").alias("m")).filter("rep <> centre")
-    pairs = cut(pairs.distinct())
-    # Multisets of too different sizes cannot be similar.
-    wanted = pairs.filter(F.least("n", "m") >= similarity * F.greatest("n", "m")).select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-    links = cut(_similar(wanted, side, similarity))
-
-    # Two steps along links to ever more central documents lead to a document's hub, which is in its class.
-    ways = links.union(links.select(F.col("b"), F.col("a"))).select(F.col("a").alias("rep"), F.col("b").alias("other"))
-    step = ways.join(central.select(F.col("rep").alias("other"), "s"), "other").groupBy("rep").agg(F.min("s").alias("t"))
-    step = cut(step.join(central.select("rep", "s"), "rep").select("rep", F.least("s", "t").alias("s")))
-    hubs = step.join(step.select(F.col("rep").alias("over"), F.col("s").alias("t")), F.col("s.id") == F.col("over"), "left")
-    hubs = cut(hubs.select("rep", F.coalesce("t.id", "s.id").alias("hub"), F.coalesce("t.n", "s.n").alias("hub_n")))
-    around = pairs.join(hubs.withColumnRenamed("rep", "centre"), "centre", "left")
-    around = around.select("rep", "n", F.coalesce("hub", "centre").alias("hub"), F.coalesce("hub_n", "m").alias("m")).filter("rep <> hub").distinct()
-    around = cut(around.join(hubs.select("rep", F.col("hub").alias("g")), "rep", "left").withColumn("g", F.coalesce("g", "rep")))
-    unsettled = lambda df: df.join(cut(df.filter("g <> hub").select("hub").distinct()), "hub", "left_semi")
-    sides = unsettled(around).join(side("rep", "x"), "rep").join(side("hub", "y"), "hub")
-    seen = cut(sides.select("rep", "n", "hub", "m", "g", against_hub("x", "y").alias("r")).select("rep", "n", "hub", "m", "g", "r.*"))
-    near = seen.filter(F.col("similarity") >= similarity).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
-    alike = seen.filter("others IS NOT NULL").withColumn("g", F.when(F.col("similarity") >= similarity, F.col("hub")).otherwise(F.col("g"))).withColumn("h", F.col("hub"))
-    late = _similar(_candidates(cut(unsettled(alike)), similarity), side, similarity)
-    links = cut(links.union(near).union(late).distinct())
-    group = cut(components(links))
+    who = cut(stand.select("rep", "first").join(members.select("rep").distinct().hint("merge"), "rep", "left_semi").select("first.id", "first.row"))
+    sharing = named.join(who.hint("merge"), ["id", "row"], "left_semi").dropDuplicates(["id", "row"])
+    runs = cut(multisets(sharing).select(F.struct("low", "high").alias("rep"), "runs"))
+    links = cut(_similar(_with_centres(members, similarity), runs, similarity))
+    late = _similar(_candidates(members, links, runs, similarity), runs, similarity)
+    links = cut(links.union(late).distinct())
+
+    group = cut(components(links).select(F.col("node").alias("rep"), F.col("component").alias("g")))
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
-    named = stand.select("low", "high", "n", "rep").join(group, stand["rep"] == group["node"], "left").join(degree, "rep", "left")
-    named = cut(named.select("low", "high", "n", F.coalesce("component", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
-    placed = cut(sketched.select("id", "low", "high", "n").join(named, ["low", "high", "n"]).select("id", "class_id", "n_links"))
-    sizes = cut(placed.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size")))
-    out = placed.join(sizes, "class_id").select(F.col("id").alias(id_col), "class_id", "class_size", "n_links", (F.col("id") == F.col("class_id")).alias("kept"))
-    alone = docs.filter(F.col(id_col).isNull()).select(id_col, F.lit(None).cast(out.schema["class_id"].dataType).alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"))
+    classed = cut(stand.select("rep", "first").join(group.hint("merge"), "rep", "left").join(degree.hint("merge"), "rep", "left").select("rep", "first", F.coalesce("g", "rep").alias("g"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    least = cut(classed.groupBy("g").agg(F.min("first").alias("least")))
+    placed = sketched.select("id", "row", F.struct("low", "high").alias("rep")).join(classed.join(least.hint("merge"), "g").select("rep", "least", "n_links").hint("merge"), "rep")
+    placed = cut(placed.select("id", "row", "least", "n_links"))
+    sizes = cut(placed.groupBy("least").agg(F.count(F.lit(1)).alias("class_size")))
+    out = placed.join(sizes, "least").select(
+        F.col("id").alias(id_col), F.col("least.id").alias("class_id"), "class_size", "n_links", (F.struct("id", "row") == F.col("least")).alias("kept"), F.col("row").alias("text_hash")
+    )
+    kind = out.schema["class_id"].dataType
+    alone = rows.filter("id IS NULL").select(F.col("id").alias(id_col), F.lit(None).cast(kind).alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"), F.col("row").alias("text_hash"))
     return out.unionByName(alone)
 
 
-def _similar(pairs: DataFrame, side, similarity: float) -> DataFrame:
+def _with_centres(members: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: each member of a bucket with the bucket's centre, if their sizes let them be similar."""
+    degree = members.groupBy("rep", "n").agg(F.sum("size").alias("d"))
+    central = cut(degree.select("rep", F.struct((-F.col("d")).alias("d"), F.col("rep").alias("id"), F.col("n").alias("n")).alias("s")))
+    centres = members.select("band", "hash", "rep").join(central, "rep").groupBy("band", "hash").agg(F.min("s").alias("s"))
+    pairs = members.join(cut(centres), ["band", "hash"]).select("rep", "n", F.col("s.id").alias("centre"), F.col("s.n").alias("m")).filter("rep <> centre")
+    fits = F.least("n", "m") >= similarity * F.greatest("n", "m")
+    return cut(pairs.filter(fits).select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct())
+
+
+def _similar(pairs: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
     """``a, b`` of the pairs whose multisets are similar."""
+    side = lambda name, array: runs.select(F.col("rep").alias(name), F.col("runs").alias(array)).hint("merge")
     both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    return both.select("a", "b", overlap("x", "y").alias("s")).filter(F.col("s") >= similarity).select("a", "b")
+    return both.filter(overlap(F.col("x"), F.col("y")) >= similarity).select("a", "b")
 
 
-def _candidates(own: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: which members of a hub's buckets, at least one of them not in its class, can be similar.
+def _candidates(members: DataFrame, links: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: which members of buckets with several classes can be similar, of different classes.
 
-    ``own``: ``rep, n, hub, m, common, others, g, h``. Two multisets of n and k runs are similar when their
-    overlap reaches need = t / (1 + t) (n + k); so when both are put in one order, their first common run
-    is among the first n - need + 1 of one and k - need + 1 of the other.
+    The first (1 - t) n + 1 runs of each, rarest first, are all that is looked at; a run of one member
+    only, or of one class only, matches nothing, but keeps its place in the order.
     """
-    runs = own.select("hub", "rep", F.explode("others").alias("run"))
-    often = runs.groupBy("hub", "run").agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1")
-    placed = runs.join(cut(often), ["hub", "run"], "left").select("hub", "rep", F.struct(F.coalesce("uses", F.lit(1)).alias("uses"), "run").alias("r"))
-    order = placed.groupBy("hub", "rep").agg(F.sort_array(F.collect_list("r")).alias("order"))  # as many as the document has runs
-    start = own.select("hub", "rep", "n", "g", "h").join(order, ["hub", "rep"]).select("hub", "rep", "n", "g", "h", F.posexplode("order").alias("at", "r"))
-    # Runs of one member only match nothing, and none after a fifth of a multiset is a first common one.
-    start = cut(start.filter((F.col("r.uses") > 1) & (F.col("at") <= (1 - similarity) * F.col("n"))).select("hub", "rep", "n", "g", "h", "at", F.col("r.run").alias("run")))
-    named = lambda df, k: df.select("hub", *[F.col(c).alias(f"{c}_{k}") for c in df.columns if c != "hub"])
+    group = cut(components(links).select(F.col("node").alias("rep"), F.xxhash64("component").alias("g")))
+    classed = members.join(group.hint("merge"), "rep", "left").select("rep", "n", "band", "hash", F.coalesce("g", F.xxhash64("rep")).alias("g"))
+    classed = cut(classed)
+    mixed_ = classed.groupBy("band", "hash").agg(F.min("g").alias("g"), F.max("g").alias("h")).filter("g <> h").select("band", "hash")
+    open_ = cut(classed.join(cut(mixed_).hint("merge"), ["band", "hash"], "left_semi").select("rep", "n", "g").distinct())
+    each = open_.join(runs.hint("merge"), "rep").select("rep", "n", "g", F.explode("runs").alias("run"))
+    often = cut(each.groupBy("run").agg(F.count(F.lit(1)).alias("uses"), F.min("g").alias("g"), F.max("g").alias("h")).filter("uses > 1").select("run", "uses", (F.col("g") != F.col("h")).alias("wide")))
+    placed = each.join(often.hint("merge"), "run").groupBy("rep", "n", "g").agg(F.sort_array(F.collect_list(F.struct("uses", "run", "wide"))).alias("order"))  # as many as the document has runs
+    start = placed.select("rep", "n", "g", (F.col("n") - F.size("order")).alias("alone"), F.posexplode("order").alias("k", "r")).withColumn("at", F.col("alone") + F.col("k"))
+    start = cut(start.filter((F.col("at") <= (1 - similarity) * F.col("n")) & F.col("r.wide")).select("rep", "n", "g", "at", F.col("r.run").alias("run")))
+    # The class that has most of a run's members is not compared with itself.
+    most = start.groupBy("run", "g").agg(F.count(F.lit(1)).alias("k")).groupBy("run").agg(F.max(F.struct("k", "g")).alias("most"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    most = cut(most.select("run", F.col("most.g").alias("most")))
+    named = lambda df, k: df.select("run", *[F.col(c).alias(f"{c}_{k}") for c in df.columns if c != "run"])
+    few = start.join(most.hint("merge"), "run").filter("g <> most").drop("most")
     need = F.ceil((F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - 1e-9)
     fits = (F.col("g_a") != F.col("g_b")) & (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
     first = (F.col("at_a") <= F.col("n_a") - need) & (F.col("at_b") <= F.col("n_b") - need)
-    x, y = named(start.filter("g <> h").withColumnRenamed("run", "r"), "a"), named(start.withColumnRenamed("run", "r"), "b").withColumnRenamed("hub", "hub_b")
-    by_run = x.join(y, (x["hub"] == y["hub_b"]) & (x["r_a"] == y["r_b"]) & fits & first)
-    most = F.col("common") * ((1 + similarity) / similarity) - F.col("n")  # the greatest size of y whose overlap with x can lie within the hub
-    open_ = own.filter("g <> h").withColumn("most", most).filter(F.col("most") >= similarity * F.col("n"))
-    x, y = named(open_.select("hub", "rep", "n", "g", "most"), "a"), named(own.filter("n < m").select("hub", "rep", "n", "g"), "b").withColumnRenamed("hub", "hub_b")
-    inside = x.join(y, (x["hub"] == y["hub_b"]) & fits & (F.col("n_b") <= F.col("most_a")))
-    pair = lambda df: df.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
-    return pair(by_run).union(pair(inside)).distinct()
-
-
-def _least(rank: DataFrame, k: int) -> DataFrame:
-    """``band, hash, heads``: the ``k`` least ``c`` of each bucket, a salted share of it at a time, so a hot bucket is never sorted in one task."""
-    salted = rank.select("band", "hash", "c", F.pmod(F.xxhash64("rep"), F.lit(64)).alias("salt"))
-    part = salted.withColumn("at", F.row_number().over(Window.partitionBy("band", "hash", "salt").orderBy("c"))).filter(F.col("at") <= k)
-    whole = part.withColumn("at", F.row_number().over(Window.partitionBy("band", "hash").orderBy("c"))).filter(F.col("at") <= k)
-    return cut(whole.groupBy("band", "hash").agg(F.sort_array(F.collect_list("c")).alias("heads")))
+    x, y = named(cut(few), "a"), named(start, "b").withColumnRenamed("run", "run_b").hint("merge")
+    met = x.join(y, (F.col("run") == F.col("run_b")) & fits & first)
+    return cut(met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct())
