@@ -15,8 +15,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import os
 import re
-import unicodedata
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -62,6 +62,7 @@ class Bpe:
     """Tokens are numbered by merge order inside (single symbols first); ``ids`` has the vocabulary's numbers."""
 
     def __init__(self, path: str) -> None:
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab, merges = spec["model"]["vocab"], [tuple(m if isinstance(m, list) else m.split(" ")) for m in spec["model"]["merges"]]
@@ -94,8 +95,10 @@ class Bpe:
         self.automaton.make_automaton()
         self.table: dict[tuple[int, int], bool] = {}
         self.to_symbols = str.maketrans({chr(b): c for b, c in enumerate(byte_alphabet())})
+        # Fixed pattern of the vocabulary's pre-tokenizer. It sees stand-ins of known kind for what is beyond ASCII.
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
-        self.tail = regex.compile(r"[^'\p{White_Space}\p{L}\p{N}]+$")
+        self.kinds = Kinds(path)
+        self.tail = regex.compile(r"(?<=[\p{L}\p{N}])[^'\p{White_Space}\p{L}\p{N}]+$")
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.marks = {s[0] for s in self.special}
         self.words = WordCache(self._chunk)
@@ -167,17 +170,18 @@ class Bpe:
 
     def _chunk(self, chunk: str) -> bytes:
         """The ids of a run of characters that are no white space."""
-        if (m := self.tail.search(chunk)) and m.start():  # punctuation at the end is a piece by itself
-            return self.words[chunk[: m.start()]] + self.words[m[0]]
-        return b"".join(map(self._piece, self.split.findall(chunk)))
+        kinds = chunk if chunk.isascii() else chunk.translate(self.kinds)
+        if m := self.tail.search(kinds):  # punctuation at the end is a piece by itself
+            return self.words[chunk[: m.start()]] + self.words[chunk[m.start() :]]
+        return b"".join(self._piece(chunk[m.start() : m.end()]) for m in self.split.finditer(kinds))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if self.cut and any(m in text for m in self.marks):
             return b"".join(
-                self.special[x].to_bytes(4, "little") if x in self.special else b"".join(map(self.words.__getitem__, chunks(x))) for x in self.cut.split(text)
+                self.special[x].to_bytes(4, "little") if x in self.special else b"".join(map(self.words.__getitem__, chunks(x, self.path))) for x in self.cut.split(text)
             )
-        return b"".join(map(self.words.__getitem__, chunks(text)))
+        return b"".join(map(self.words.__getitem__, chunks(text, self.path)))
 
     def decode(self, ids: np.ndarray) -> Iterator[bytes]:
         """The decoded text in UTF-8, in parts: each token's bytes by its offsets, blanks between tokens."""
@@ -194,14 +198,50 @@ class Bpe:
 #: Characters that str.split() takes for white space but Unicode does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _WHITE = regex.compile(r"\p{White_Space}+")
+#: Below U+0300 nothing composes, and case has not changed since; beyond, the library's own tables count.
+_BEYOND = re.compile("[^\x00-\u02ff]")
 
 
-def chunks(text: str) -> list[str]:
+@functools.lru_cache(maxsize=4)
+def library(path: str):
+    """The tokenizers library's tokenizer, for its tables of characters. One for each Python worker and file."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+class Kinds(dict):
+    """A stand-in for each character beyond ASCII: a letter, a digit or a mark, as the library's pre-tokenizer takes it. Each is asked once."""
+
+    def __init__(self, path: str) -> None:
+        self.cut = library(path).pre_tokenizer.pre_tokenize_str
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        if code >= 128:
+            c = "\xe4" if len(self.cut("a" + c)) == 1 else "#" if len(self.cut("#" + c)) == 1 else "1"
+        self[code] = c
+        return c
+
+
+def _simple(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return not _BEYOND.search(text)
+
+
+def chunks(text: str, path: str) -> list[str]:
     """The normalised text (NFC, lower case letter by letter) at white space."""
-    if not text.isascii():
-        if not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        text = text.replace("Σ", "σ")  # lower() has another form of it for the end of a word
+    if not _simple(text):
+        return [x for x in library(path).normalizer.normalize_str(text).split(" ") if x]
     text = text.lower()
     if _SEPARATORS.search(text):
         return [x for x in _WHITE.split(text) if x]
