@@ -10,23 +10,26 @@ share of a length at a time.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import os
 import zlib
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .bpe import WordCache, chunks, texts
+from .bpe import WordCache, chunks, library, texts
 from .shared import cut
 
 CAPACITY, END_ID = 2048, 0
-#: Shares in which the pieces of one length are ranked; search steps after the first full solution.
-SALTS, SEARCH_STEPS = 256, 4000
+#: Shares in which the pieces of one length are ranked; steps of the search, the only bound on it.
+SALTS, SEARCH_STEPS = 256, 200_000
 
 
 # ---- the search over lengths ----------------------------------------------------------------------
@@ -40,58 +43,98 @@ class Filling:
     times: int
 
 
+class Budget:
+    """Steps that are left to a search."""
+
+    def __init__(self, steps: int) -> None:
+        self.steps = steps
+
+    def __bool__(self) -> bool:
+        return self.steps > 0
+
+
 @dataclass
 class _Node:
     left: np.ndarray  # pieces left of each length
     bins: int
     waste: int
     fillings: tuple  # linked: (earlier, Filling)
-    choices: list[list[int]] = field(default_factory=list)
-    longest: int = 0
+    ways: Iterator[Filling]
+
+
+def _sums(lengths: np.ndarray, capacity: int) -> list[int]:
+    """For each length the sums that it and lesser ones can have, in any number, as bits; a bound on what pieces can fill."""
+    out, bits, every = [], 1, (1 << capacity + 1) - 1
+    for x in lengths.tolist():
+        step = x
+        while step <= capacity:
+            bits |= bits << step & every
+            step *= 2
+        out.append(bits)
+    return out
+
+
+def _exactly(have: list[int], left: np.ndarray, sums: list[int], target: int, budget: Budget) -> Iterator[list[int]]:
+    """Pieces that add up to ``target``, longest first, from the longest first piece down."""
+
+    def grow(target: int, top: int, taken: list[int], used: int) -> Iterator[list[int]]:
+        # used: how many of the last length in ``taken`` are in it
+        if not target:
+            yield list(taken)
+            return
+        k = min(top, bisect.bisect_right(have, target) - 1)
+        while k >= 0 and sums[k] >> target & 1 and budget:
+            budget.steps -= 1
+            x = have[k]
+            again = used if taken and taken[-1] == x else 0
+            if left[x] > again:
+                taken.append(x)
+                yield from grow(target - x, k, taken, again + 1)
+                taken.pop()
+            k -= 1
+
+    return grow(target, len(have) - 1, [], 0)
+
+
+def _dominated(filling: list[int], spare: int, left: np.ndarray) -> bool:
+    """Could one piece that is left stand for a piece of the filling, or for two of them, without taking more than the spare room?
+
+    What such a piece leaves over is easier to place, so a filling that allows it is not needed.
+    """
+    one = Counter(filling)
+    parts = {x: x + 1 for x in one} | {x + y: x + y for x, y in itertools.combinations_with_replacement(one, 2) if x != y or one[x] > 1}
+    return any((left[low : total + spare + 1] > [one.get(x, 0) for x in range(low, min(total + spare + 1, len(left)))]).any() for total, low in parts.items())
 
 
-def _completions(left: np.ndarray, gap: int, most: int = 4) -> list[list[int]]:
-    """Undominated fillings of a gap with up to three of the lengths that are left, fullest first.
+def _fillings(left: np.ndarray, capacity: int, most_waste: int, sums: tuple[list[int], list[int]], budget: Budget) -> Iterator[Filling]:
+    """Undominated sequences around the longest piece, fullest first, each as often as the pieces allow and then once.
 
-    A filling is dominated when another holds no less in no more pieces with a longer first piece: what
-    the other leaves over is easier to place. So for each first piece only the best partner counts.
+    ``most_waste``: what may be left empty; ``sums``: lengths and what they add up to (see ``_sums``).
     """
-    if gap <= 0:
-        return [[]]
-    have = np.flatnonzero(left[: gap + 1])
-    have = have[have > 0]
-    if not len(have):
-        return [[]]
-    fits = np.zeros(gap + 1, dtype=np.int64)  # longest that fits into each room
-    fits[have] = have
-    np.maximum.accumulate(fits, out=fits)
-
-    def pairs(room: int, taken: int) -> list[int]:
-        first = have[have <= room]
-        if not len(first):
-            return []
-        second = fits[np.minimum(room - first, first)]
-        same = (second == first) & (left[first] < 2) | (second == taken) & (left[second] < 2)
-        second = np.where(same, fits[np.maximum(second - 1, 0)], second)
-        k = len(first) - 1 - int(np.argmax((first + second)[::-1]))
-        return [int(x) for x in (first[k], second[k]) if x]
-
-    found = [[int(fits[gap])]]
-    if found[0][0] < gap:
-        found.append(pairs(gap, 0))
-        if sum(found[-1]) < gap:
-            for first in have[::-1][:12]:
-                rest = pairs(gap - int(first), int(first))
-                if all(left[x] >= [int(first), *rest].count(x) for x in rest):
-                    found.append(sorted([int(first), *rest], reverse=True))
-                if sum(found[-1]) == gap:
-                    break
-    unique = {tuple(x): x for x in found if x}
-    return sorted(unique.values(), key=lambda x: (-sum(x), len(x), [-y for y in x]))[:most]
+    longest = int(np.flatnonzero(left)[-1])
+    rest = left.copy()
+    rest[longest] -= 1
+    have, reach = sums
+    found = [k for k, x in enumerate(have) if rest[x]]
+    own, bits = [have[k] for k in found], [reach[k] for k in found]
+    gap = capacity - longest
+    for spare in range(min(gap, most_waste) + 1):
+        budget.steps -= 1
+        if not budget:
+            return
+        for filling in _exactly(own, rest, bits, gap - spare, budget) if spare < gap else [[]]:
+            budget.steps -= 1
+            if _dominated(filling, spare, rest) or not filling and own and own[0] <= gap:
+                continue
+            lengths = [longest, *filling]
+            times = min(int(left[x]) // n for x, n in Counter(lengths).items())
+            yield Filling(lengths, times)
+            if times > 1:
+                yield Filling(lengths, 1)
 
 
 def _best_fit(left: np.ndarray, capacity: int) -> tuple[int, tuple]:
-    """Longest first, each gap filled by the longest piece that fits: the incumbent."""
+    """Longest first, each gap filled by the longest piece that fits: bins and linked fillings."""
     left, bins, fillings = left.copy(), 0, ()
     while len(have := np.flatnonzero(left)):
         lengths, gap = [int(have[-1])], capacity - int(have[-1])
@@ -113,12 +156,23 @@ def _best_fit(left: np.ndarray, capacity: int) -> tuple[int, tuple]:
     return bins, fillings
 
 
+def _linked(fillings: tuple) -> list[Filling]:
+    out = []
+    while fillings:
+        fillings, last = fillings
+        out.append(last)
+    return out[::-1]
+
+
 def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, steps: int = SEARCH_STEPS) -> list[Filling]:
     """Fillings that use up all pieces in few sequences.
 
-    ``counts``: pieces of each length from 1 to ``capacity``. Depth-first branch-and-bound: a branch ends
-    when what it has wasted leaves no way below the incumbent; each better solution becomes the
-    incumbent; the search ends when the incumbent meets the volume bound, or after ``steps`` nodes.
+    ``counts``: pieces of each length from 1 to ``capacity``. Depth-first branch-and-bound: a sequence is
+    completed around the longest piece that is left by each undominated filling, of any number of pieces;
+    a branch ends when what it has wasted leaves no way below the incumbent. The incumbent is at first
+    the best-fit solution; branches are closed by best-fit, at depths that double, and each better solution
+    becomes the incumbent. The search ends when the incumbent meets the volume bound, when every branch
+    has been tried, or after ``steps`` steps.
     """
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
@@ -126,41 +180,33 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, steps: int =
     total = int((left * np.arange(capacity + 1)).sum())
     bound = -(-total // capacity)
     best, fillings = _best_fit(left, capacity)
-    stack, budget, reached = [_Node(left, 0, 0, ())], steps, False
-    while stack and best > bound and (budget > 0 or not reached):
+    have = np.flatnonzero(left)
+    sums, budget = (have.tolist(), _sums(have, capacity)), Budget(steps)
+    spare = lambda waste: (best - 1) * capacity - total - waste
+    stack = [_Node(left, 0, 0, (), _fillings(left, capacity, spare(0), sums, budget))] if best > bound else []
+    while stack and best > bound and budget:
         node = stack[-1]
-        if not node.longest:
-            have = np.flatnonzero(node.left)
-            if not len(have):
-                reached = True
-                if node.bins < best:
-                    best, fillings = node.bins, node.fillings
-                stack.pop()
-                continue
-            node.longest = int(have[-1])
-            rest = node.left.copy()
-            rest[node.longest] -= 1
-            node.choices = _completions(rest, capacity - node.longest)[::-1]
-        if not node.choices:
+        way = next(node.ways, None)
+        if way is None:
             stack.pop()
             continue
-        budget -= 1
-        lengths = [node.longest, *node.choices.pop()]
-        used = {x: lengths.count(x) for x in lengths}
-        times = min(int(node.left[x]) // n for x, n in used.items())
-        waste = node.waste + times * (capacity - sum(lengths))
-        if waste > (best - 1) * capacity - total:
-            reached = reached or budget <= 0
+        waste = node.waste + way.times * (capacity - sum(way.lengths))
+        if spare(waste) < 0:
             continue
         after = node.left.copy()
-        for x, n in used.items():
-            after[x] -= n * times
-        stack.append(_Node(after, node.bins + times, waste, (node.fillings, Filling(lengths, times))))
-    out = []
-    while fillings:
-        fillings, last = fillings
-        out.append(last)
-    return out[::-1]
+        for x, n in Counter(way.lengths).items():
+            after[x] -= n * way.times
+        bins, ways = node.bins + way.times, (node.fillings, way)
+        depth = len(stack)
+        if not after.any() or depth & (depth - 1) == 0:
+            more, rest = _best_fit(after, capacity)
+            if bins + more < best:
+                best, fillings = bins + more, ways
+                for f in _linked(rest):
+                    fillings = (fillings, f)
+        if after.any():
+            stack.append(_Node(after, bins, waste, ways, _fillings(after, capacity, spare(waste), sums, budget)))
+    return _linked(fillings)
 
 
 # ---- pieces -----------------------------------------------------------------------------------------
@@ -168,18 +214,19 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, steps: int =
 
 @functools.lru_cache(maxsize=4)
 def _words(path: str) -> WordCache:
-    """Ids of words by the tokenizers library, kept in a cache of bounded size. One for each Python worker."""
+    """Ids of normalised words by the tokenizers library, kept in a cache of bounded size. One for each Python worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, normalizers
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    tokenizer.normalizer = normalizers.Sequence([])  # a word is normalised once, with its text
 
-    def ids(text: str) -> bytes:
-        if len(text) > 1 and not text[-1].isalnum() and text[-1] in ".,;:!?" and text[-2].isalnum():
-            return cache[text[:-1]] + cache[text[-1]]
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def ids(word: str) -> bytes:
+        if len(word) > 1 and word[-1] in ".,;:!?" and word[-2].isalnum() and word[-2] < "\u0300":
+            return cache[word[:-1]] + cache[word[-1]]
+        return np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     cache = WordCache(ids)
     return cache
@@ -187,10 +234,9 @@ def _words(path: str) -> WordCache:
 
 def token_ids(text: str, path: str) -> bytes:
     """The ids as little-endian unsigned 32-bit integers. The tokenizer never looks across white space, so words are looked up one by one."""
-    words = _words(path)
     if "<|" in text:  # the special tokens' strings are looked for before anything else
-        return words.compute(text)
-    return b"".join(map(words.__getitem__, chunks(text)))
+        return np.array(library(path).encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    return b"".join(map(_words(path).__getitem__, chunks(text, path)))
 
 
 def document_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
