@@ -51,24 +51,25 @@ def unpack_bits(data: bytes) -> bytes:
 
 
 def pack_bits(data: bytes) -> bytes:
-    out, at, plain = bytearray(), 0, 0
+    """Runs of three or more equal bytes as repeats of up to 128, what lies between as plain stretches of up to 128."""
+    out, raw = bytearray(), np.frombuffer(data, np.uint8)
 
-    def flush(end: int) -> None:
-        for k in range(plain, end, 128):
+    def plain(begin: int, end: int) -> None:
+        for k in range(begin, end, 128):
             part = data[k : min(k + 128, end)]
             out.append(len(part) - 1)
             out.extend(part)
 
-    while at < len(data):
-        run = 1
-        while run < 128 and at + run < len(data) and data[at + run] == data[at]:
-            run += 1
-        if run > 2:
-            flush(at)
-            out.extend((257 - run, data[at]))
-            plain = at + run
-        at += run
-    flush(len(data))
+    first = np.flatnonzero(np.concatenate([[True] * (len(raw) > 0), raw[1:] != raw[:-1]]))
+    last = np.append(first[1:], len(raw))
+    long, at = last - first >= 3, 0
+    for begin, end in zip(first[long].tolist(), last[long].tolist()):
+        plain(at, begin)
+        for k in range(begin, end, 128):
+            n = min(128, end - k)
+            out.extend((257 - n, data[k]) if n > 1 else (0, data[k]))
+        at = end
+    plain(at, len(data))
     return bytes(out)
 
 
@@ -108,42 +109,42 @@ def un_lzw(data: bytes) -> bytes:
 
 
 def lzw(data: bytes) -> bytes:
-    out, held, bits = bytearray(), 0, 0
-    table: dict[bytes, int] = {}
-    width, following = 9, LZW_FIRST
-
-    def put(code: int) -> None:
-        nonlocal held, bits
-        held, bits = held << width | code, bits + width
-        while bits >= 8:
-            bits -= 8
-            out.append(held >> bits & 255)
-        held &= (1 << bits) - 1
-
-    put(LZW_CLEAR)
-    current = b""
-    for k in range(len(data)):
-        longer = current + data[k : k + 1]
-        if len(longer) == 1 or longer in table:
-            current = longer
+    """Codes of 9 to 12 bits; the table is cleared when it is full. A code and a byte after it are one number."""
+    codes, sizes = [LZW_CLEAR], [9]
+    table: dict[int, int] = {}
+    width, following, grows = 9, LZW_FIRST, 511
+    current = data[0] if data else -1
+    for byte in memoryview(data)[1:]:
+        known = table.get(current << 8 | byte)
+        if known is not None:
+            current = known
             continue
-        put(table[current] if len(current) > 1 else current[0])
-        table[longer] = following
-        following += 1
-        if following == 4094:
-            put(LZW_CLEAR)
-            table, width, following = {}, 9, LZW_FIRST
-        else:
-            width = max(9, (following).bit_length())
-        current = longer[-1:]
-    if current:
-        put(table[current] if len(current) > 1 else current[0])
+        codes.append(current)
+        sizes.append(width)
+        table[current << 8 | byte] = following
         following += 1
-        width = min(12, max(9, following.bit_length()))
-    put(LZW_END)
-    if bits:
-        out.append(held << 8 - bits & 255)
-    return bytes(out)
+        if following > grows:
+            if following == 4094:
+                codes.append(LZW_CLEAR)
+                sizes.append(12)
+                table, width, following, grows = {}, 9, LZW_FIRST, 511
+            else:
+                width += 1
+                grows = (1 << width) - 1 if width < 12 else 4093
+        current = byte
+    if current >= 0:
+        codes.append(current)
+        sizes.append(width)
+        width = min(12, max(9, (following + 1).bit_length()))
+    codes.append(LZW_END)
+    sizes.append(width)
+    return _bits(np.array(codes, np.uint16), np.array(sizes))
+
+
+def _bits(codes: np.ndarray, sizes: np.ndarray) -> bytes:
+    """Codes of the given numbers of bits, most significant bit first, one after another."""
+    place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return np.packbits((np.repeat(codes, sizes) >> (np.repeat(sizes, sizes) - 1 - place).astype(np.uint16)) & 1).tobytes()
 
 
 def _inflate(data: bytes) -> bytes:
@@ -311,14 +312,14 @@ def tiff_pages(files: DataFrame, id_col: str = "doc_id", media_col: str = "media
     return source.mapInArrow(run, f"id {kind}, {PAGE_SCHEMA}").withColumnRenamed("id", id_col)
 
 
-ROW, ROWS_PER_PAGE, SMALL_ROWS, TILE = 576, 64, 2, 64
+ROW, ROWS_PER_PAGE, TILE = 576, 64, 64
+#: How payloads are stored; a payload's checksum deals it one of these, so each carries texts of every size.
+FORMS = ({"scheme": "deflate", "predictor": True, "tile": TILE}, {"scheme": "lzw", "predictor": False, "rows_per_strip": 8}, {"scheme": "packbits", "predictor": False, "rows_per_strip": 16})
 
 
 def store_text(payload: bytes) -> bytes:
-    """A payload of whole rows as TIFF: up to two rows as one LZW strip, more as deflated tiles with the predictor, 64 rows to a page."""
-    if len(payload) <= SMALL_ROWS * ROW:
-        return write_tiff(payload, ROW, ROWS_PER_PAGE, "lzw", predictor=False)
-    return write_tiff(payload, ROW, ROWS_PER_PAGE, "deflate", predictor=True, tile=TILE)
+    """A payload of whole rows as TIFF of 64 rows to a page, in the form that its checksum deals it."""
+    return write_tiff(payload, ROW, ROWS_PER_PAGE, **FORMS[zlib.crc32(payload) % len(FORMS)])
 
 
 def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
