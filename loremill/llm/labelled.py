@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def fold(id_col: str, parts: int) -> Column:
@@ -30,22 +30,23 @@ def shares(label: np.ndarray, counts: tuple[int, int] | None) -> np.ndarray | No
     return np.where(label == 1, counts[1] / own[1], counts[0] / own[0]) * len(label) / sum(counts)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, each: int, longest: int) -> DataFrame:
-    """``doc_id, text, label``: at most ``each`` documents of each class, none from the held-out fold.
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, each: int, chars: int) -> DataFrame:
+    """``doc_id, text, label``: whole labelled documents, none from the held-out fold: at most ``each`` of each class, and no more after they have ``chars`` characters together.
 
     The documents drawn are those whose ids have the least hashes, so the sample is the same however the
-    tables are split. Documents of more than ``longest`` characters are scored but not learned from. A
-    document that the labels name twice, or contradict themselves on, is left out of neither: its first
-    label in order counts.
+    tables are split; texts of any length are drawn, and of each class one at least. A document that the
+    labels name twice, or contradict themselves on, is left out of neither: its first label in order
+    counts. Labels of documents that are not there are passed over.
     """
-    usable = _usable(labels, label, parts, held_out)
+    text = docs.select("doc_id", F.coalesce(docs["text"], F.lit("")).alias("text"))
+    own = _usable(labels, label, parts, held_out)
+    sized = text.select("doc_id", F.length("text").alias("size")).join(own, "doc_id").groupBy("doc_id", "label").agg(F.sum("size").alias("size"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    drawn = [usable.filter(F.col("label") == y).orderBy(*order).limit(each) for y in (0, 1)]
-    # At most 2 * each ids of fixed size: the one side that is sent to all executors.
-    chosen = F.broadcast(drawn[0].unionByName(drawn[1]))
-    text = F.coalesce(docs["text"], F.lit(""))
-    found = docs.select("doc_id", text.alias("text")).join(chosen, "doc_id").filter(F.length("text") <= longest)
-    return found.select("doc_id", "text", F.col("label").cast("int").alias("label"))
+    drawn = [sized.filter(F.col("label") == y).orderBy(*order).limit(each) for y in (0, 1)]
+    # At most 2 * each rows of fixed size from here on: what is summed up in order, and the side that is sent to all executors.
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("label").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = drawn[0].unionByName(drawn[1]).withColumn("before", before).filter((F.col("before") == 0) | (F.col("before") + F.col("size") <= chars))
+    return text.join(F.broadcast(chosen.select("doc_id", F.col("label").cast("int").alias("label"))), "doc_id").select("doc_id", "text", "label")
 
 
 def sigmoid(x):

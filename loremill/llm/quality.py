@@ -24,8 +24,8 @@ from .shared import text_slices
 from .words import span_hashes
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.7
-#: The training sample: documents of each class, and the longest that is learned from.
-TRAIN_EACH, TRAIN_LONGEST = 1000, 20_000
+#: The training sample: documents of each class, and the characters after which no more are drawn.
+TRAIN_EACH, TRAIN_CHARS = 1000, 8_000_000
 SLICE_BYTES = 400_000
 
 LOWER, UPPER, DIGIT, SPACE, STOP, PUNCT, SYMBOL, OTHER = range(8)
@@ -239,7 +239,7 @@ def likely_good(docs: DataFrame, field: LineField | None, least: float = 0.5, te
 
 
 def fit_from(docs: DataFrame, labels: DataFrame) -> LineField | None:
-    rows = training_rows(docs, labels, "quality", FOLDS, HELD_OUT, TRAIN_EACH, TRAIN_LONGEST).toPandas().sort_values(["doc_id", "text"])
+    rows = training_rows(docs, labels, "quality", FOLDS, HELD_OUT, TRAIN_EACH, TRAIN_CHARS).toPandas().sort_values(["doc_id", "text"])
     return fit(rows["text"].tolist(), rows["label"].tolist(), class_counts(labels, "quality", FOLDS, HELD_OUT))
 
 
