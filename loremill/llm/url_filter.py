@@ -1,33 +1,34 @@
 """URL filters: host and path rules, and for the rest the ratio of two character language models.
 
-The urls that a rule decides are the examples: one variable-order Markov model is estimated on the
-accepted, one on the rejected. Each model mixes orders 0 to 5: the estimate from a context counts as
+The urls that a rule decides are the examples, without the domain and the path that the rule names, so
+the models learn what such urls are like and not the rules. One variable-order Markov model is estimated on
+the accepted, one on the rejected. Each model mixes orders 0 to 5: the estimate from a context counts as
 far as the context was seen, the rest of the weight goes to the context that is one character shorter.
-Counts cover every decided url of the table. They are added up in tables of fixed size by hashes of
-context and character (two, of which the lesser count is taken), so the model does not grow with the
-corpus, only its counts do.
+
+Counts are exact and stay in tables: the windows of six characters of all examples are counted, shorter
+ones are sums of those. What is to be scored is also a table of distinct windows, and the estimates go up
+order by order in joins of the two; a url's score is the mean over its windows. So nothing but the
+histogram of calibration reaches the driver, and nothing is broadcast by hand.
 
 The score is the difference of the log-likelihoods by character; the threshold is where it separates
-examples best that the models were not estimated on.
+best the examples of hosts that the models were not estimated on.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .words import mixed
+from .shared import cut
 
 #: (rule as text, verdict); a rule is a host and a path prefix.
 Rules = tuple[tuple[str, str], ...]
-ORDER, BUCKETS, PRIOR = 5, 1 << 19, 2.0
-#: One url in CALIBRATE is kept from the models to set the threshold; scores are counted in this many steps from -RANGE to RANGE.
+ORDER, PRIOR, SYMBOLS = 5, 2.0, 256
+#: One host in CALIBRATE is kept from the models to set the threshold; scores are counted in this many steps from -RANGE to RANGE.
 CALIBRATE, STEPS, RANGE = 5, 2001, 10.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: What stands before and after a text.
+_BEGIN, _END = "\x02", "\x03"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -49,124 +50,96 @@ def rule_of(host: Column, path: Column, rules: Rules) -> Column:
     return out
 
 
+def without_rule(url: Column, host: Column, rule: Column) -> Column:
+    """A url without the domain and the path prefix of the rule that decides it; its subdomain and the rest stay."""
+    domain = F.substring_index(rule, "/", 1)
+    begin = F.locate("://", url) + 3
+    keep = begin - 1 + F.char_length(host) - F.char_length(domain)
+    return F.concat(F.substring(url, F.lit(1), keep), F.substring(url, begin + F.char_length(host) + F.char_length(rule) - F.char_length(domain), F.char_length(url)))
+
+
 # ---- the models -------------------------------------------------------------------------------------
 
 
-def _buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each character of all texts and each order: two buckets of context and character (the lesser count is the better one), one of the context; and where texts begin."""
-    raw = [t.encode() + b"\n" for t in texts]
-    starts = np.cumsum([0, *map(len, raw)])
-    data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
-    place = np.arange(len(data)) - np.repeat(starts[:-1], np.diff(starts))
-    context = np.zeros(len(data), dtype=np.uint64)
-    grams, contexts = np.empty((2, ORDER + 1, len(data)), np.int64), np.empty((ORDER + 1, len(data)), np.int64)
-    for k in range(ORDER + 1):
-        if k:  # one more character to the left; before a text stands a mark
-            earlier = np.zeros_like(data)
-            earlier[k:] = data[:-k]
-            context = context * np.uint64(257) + np.where(place >= k, earlier, np.uint64(256)) + np.uint64(1)
-        own = mixed(context * np.uint64(8) + np.uint64(k))
-        contexts[k] = own % np.uint64(BUCKETS)
-        both = mixed(own + data + np.uint64(1))
-        grams[:, k] = both % np.uint64(BUCKETS), (both >> np.uint64(32)) % np.uint64(BUCKETS)
-    return grams, contexts, starts[:-1]
-
-
-def _counts(urls: DataFrame) -> DataFrame:
-    """``verdict, bucket, grams, again, contexts``: counts over all rows of ``url, verdict``; each task sends at most two tables of fixed size."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = {}
-        for b in batches:
-            text, verdict = b.column(0).to_pylist(), np.array(b.column(1).to_pylist())
-            for v in set(verdict.tolist()):
-                grams, contexts, _ = _buckets([t for t, x in zip(text, verdict) if x == v])
-                own = total.setdefault(v, np.zeros((3, BUCKETS), np.int64))
-                for k, at in enumerate((grams[0], grams[1], contexts)):
-                    own[k] += np.bincount(at.ravel(), minlength=BUCKETS)
-        for v, own in total.items():
-            at = np.flatnonzero(own.any(axis=0))
-            yield pa.RecordBatch.from_arrays([pa.array([v] * len(at), pa.string()), pa.array(at), *(pa.array(x[at]) for x in own)], ["verdict", "bucket", "grams", "again", "contexts"])
-
-    parts = urls.select("url", "verdict").mapInArrow(run, "verdict string, bucket long, grams long, again long, contexts long")
-    return parts.groupBy("verdict", "bucket").agg(*[F.sum(c).alias(c) for c in ("grams", "again", "contexts")])
-
-
-@dataclass
-class Models:
-    """Counts of both models, by verdict, and the threshold: at or above it a url is allowed."""
-
-    counts: dict[str, np.ndarray]
-    threshold: float = 0.0
-
-    @staticmethod
-    def mix(own: np.ndarray, p: np.ndarray, grams: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-        """The estimate with one more character of context."""
-        seen = np.minimum(own[0][grams[0]], own[1][grams[1]])
-        return np.minimum((seen + PRIOR * p) / (own[2][contexts] + PRIOR), 1)
-
-    def score(self, texts: list[str]) -> np.ndarray:
-        """Difference of the mean log-likelihood by character; 0 if a model has no example."""
-        if len(self.counts) < 2 or not texts:
-            return np.zeros(len(texts))
-        grams, contexts, starts = _buckets(texts)
-        size = np.diff(np.append(starts, grams.shape[2]))
-        out = {}
-        for v, own in self.counts.items():
-            p = np.full(grams.shape[2], 1 / 256)
-            for k in range(ORDER + 1):
-                p = self.mix(own, p, grams[:, k], contexts[k])
-            out[v] = np.add.reduceat(np.log(p), starts) / size
-        return out["allow"] - out["block"]
-
-
-def _scored(urls: DataFrame, models: Models, keep: str) -> DataFrame:
-    """``keep`` columns and ``score`` of ``url``."""
-    sent = urls.sparkSession.sparkContext.broadcast(models)  # 2 x 3 x BUCKETS numbers
-    source = urls.select(keep, "url")
-    kind = dict(source.dtypes)[keep]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(0, len(b), 2000):
-                part = b.slice(k, 2000)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sent.value.score(part.column(1).to_pylist()), pa.float64())], [keep, "score"])
-
-    return source.mapInArrow(run, f"{keep} {kind}, score double")
-
-
-def estimate(decided: DataFrame) -> Models:
-    """Models and threshold from ``url, verdict`` rows; urls are told apart for calibration by their hash."""
-    kept = F.pmod(F.xxhash64("url"), F.lit(CALIBRATE)) == 0
-    models = Models({})
-    table = _counts(decided.filter(~kept)).toPandas()  # at most 2 x BUCKETS rows, whatever the corpus
-    for v, own in table.groupby("verdict"):
-        models.counts[v] = np.zeros((3, BUCKETS), dtype=np.float32)
-        models.counts[v][:, own["bucket"]] = own[["grams", "again", "contexts"]].to_numpy().T
-    if len(models.counts) == 2:
-        step = F.floor((F.greatest(F.least("score", F.lit(RANGE)), F.lit(-RANGE)) + RANGE) / (2 * RANGE) * (STEPS - 1))
-        counted = _scored(decided.filter(kept), models, "verdict").groupBy("verdict", step.cast("int").alias("step")).count().toPandas()
-        tally = {v: np.bincount(own["step"], own["count"], minlength=STEPS) for v, own in counted.groupby("verdict")}
-        if len(tally) == 2:  # the middle of the steps that get the most of both right
-            right = 1 - np.cumsum(tally["allow"]) / tally["allow"].sum() + np.cumsum(tally["block"]) / tally["block"].sum()
-            best = np.flatnonzero(right >= right.max() - 1e-12)
-            models.threshold = float((best.mean() + 1) / (STEPS - 1) * 2 * RANGE - RANGE)
-    return models
+def windows(text: Column) -> Column:
+    """The ORDER characters before each character of a text and the character itself; one more for the end."""
+    padded = F.concat(F.lit(_BEGIN * ORDER), text, F.lit(_END))
+    return F.transform(F.sequence(F.lit(1), F.char_length(text) + 1), lambda k: F.substring(padded, k, F.lit(ORDER + 1)))
+
+
+def count_grams(examples: DataFrame) -> list[DataFrame]:
+    """``gram, allow, block`` for each order from 0: how often examples (``text, verdict, n``) have each context with the character after it."""
+    each = examples.select(F.explode(windows(F.col("text"))).alias("gram"), *[F.when(F.col("verdict") == v, F.col("n")).otherwise(0).alias(v) for v in ("allow", "block")])
+    out = [cut(each.groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block")))]
+    for k in range(ORDER, 0, -1):
+        shorter = F.substring("gram", 2, k)
+        out.append(cut(out[-1].groupBy(shorter.alias("gram")).agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))))
+    return out[::-1]
+
+
+def log_ratios(asked: DataFrame, counts: list[DataFrame]) -> DataFrame:
+    """``gram, ratio``: for each window in ``asked`` (``gram``) the log of its character's estimate by the accepted against that by the rejected."""
+    need = [asked]
+    for k in range(ORDER, 0, -1):
+        need.append(cut(need[-1].select(F.substring("gram", 2, k).alias("gram")).distinct()))
+    total = counts[0].agg(F.sum("allow").alias("a"), F.sum("block").alias("b")).first()
+    mix = lambda n, seen, below: (F.coalesce(F.col(n), F.lit(0)) + PRIOR * below) / (F.coalesce(seen, F.lit(0)) + PRIOR)
+    even = F.lit(1 / SYMBOLS)
+    known = need[ORDER].join(counts[0], "gram", "left").select("gram", mix("allow", F.lit(total.a), even).alias("p"), mix("block", F.lit(total.b), even).alias("q"))
+    for k in range(1, ORDER + 1):
+        context = F.substring("gram", 1, k)
+        seen = counts[k].groupBy(context.alias("context")).agg(F.sum("allow").alias("a"), F.sum("block").alias("b"))
+        own = need[ORDER - k].join(counts[k], "gram", "left").withColumn("context", context).withColumn("shorter", F.substring("gram", 2, k)).join(seen, "context", "left")
+        own = own.join(cut(known).withColumnRenamed("gram", "shorter"), "shorter")
+        known = own.select("gram", mix("allow", F.col("a"), F.col("p")).alias("p"), mix("block", F.col("b"), F.col("q")).alias("q"))
+    return known.select("gram", F.log(F.col("p") / F.col("q")).alias("ratio"))
+
+
+def score_texts(texts: DataFrame, counts: list[DataFrame]) -> DataFrame:
+    """``text, score`` of distinct ``text``: the mean log ratio by character."""
+    numbered = cut(texts.withColumn("k", F.monotonically_increasing_id()))
+    each = numbered.select("k", F.explode(windows(F.col("text"))).alias("gram"))
+    ratios = cut(log_ratios(cut(each.select("gram").distinct()), counts))
+    sums = each.join(ratios.hint("merge"), "gram").groupBy("k").agg((F.sum("ratio") / F.count(F.lit(1))).alias("score"))
+    return numbered.join(sums, "k").select("text", "score")
+
+
+def threshold(scored: DataFrame) -> float:
+    """Where ``verdict, score, n`` rows are separated best; 0 where a verdict is missing."""
+    step = F.floor((F.greatest(F.least("score", F.lit(RANGE)), F.lit(-RANGE)) + RANGE) / (2 * RANGE) * (STEPS - 1))
+    rows = scored.groupBy("verdict", step.cast("int").alias("step")).agg(F.sum("n").alias("n")).collect()  # at most 2 x STEPS
+    tally = {v: np.bincount([r["step"] for r in rows if r["verdict"] == v], [r["n"] for r in rows if r["verdict"] == v], minlength=STEPS) for v in {r["verdict"] for r in rows}}
+    if len(tally) < 2:
+        return 0.0
+    right = 1 - np.cumsum(tally["allow"]) / tally["allow"].sum() + np.cumsum(tally["block"]) / tally["block"].sum()
+    best = np.flatnonzero(right >= right.max() - 1e-12)  # the middle of the steps that get the most of both right
+    return float((best.mean() + 1) / (STEPS - 1) * 2 * RANGE - RANGE)
 
 
 def filter_urls(pages: DataFrame, rules: Rules, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``id_col, host, path, rule, verdict, score``: one row per input row.
 
     ``verdict`` is the longest fitting rule's, else ``allow`` if the score reaches the threshold and
-    ``block`` if not. A url without host has no rule. Where no rule decides any url, or all the same way,
-    every score is 0 and the rest is allowed. Rules see host and path, the models the whole url (null as empty). Other columns are ignored, also ones named like the result's.
+    ``block`` if not; ``score`` is null where a rule decides. A url without host has no rule. Where no rule
+    decides any url, or all the same way, every score is 0 and the rest is allowed. Rules see host and path,
+    the models the whole url (null as empty). Copies of a url count each time and are scored once. Other
+    columns are ignored, also ones named like the result's.
     """
-    host, path = host_and_path(F.col("raw"))
-    own = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("raw")).select("id", host.alias("host"), path.alias("path"), F.coalesce("raw", F.lit("")).alias("url"))
+    host, path = host_and_path(F.col("url"))
+    own = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url")).select("id", "url", host.alias("host"), path.alias("path"))
     own = own.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     says = F.create_map(*[F.lit(x) for r in rules for x in r])
-    models = estimate(own.filter("rule IS NOT NULL").select("url", says[F.col("rule")].alias("verdict")))
-    packed = own.select(F.struct("id", "host", "path", "rule").alias("own"), "url")
-    out = _scored(packed, models, "own")
-    verdict = F.when(F.col("own.rule").isNotNull(), says[F.col("own.rule")]).when(F.col("score") >= models.threshold, "allow").otherwise("block")
-    return out.select(F.col("own.id").alias(id_col), "own.host", "own.path", "own.rule", verdict.alias("verdict"), "score")
+    decided, open_ = own.filter("rule IS NOT NULL"), own.filter("rule IS NULL")
+    kept = F.pmod(F.xxhash64("host"), F.lit(CALIBRATE)) == 0
+    examples = cut(decided.groupBy(without_rule(F.col("url"), F.col("host"), F.col("rule")).alias("text"), says[F.col("rule")].alias("verdict"), kept.alias("kept")).agg(F.count(F.lit(1)).alias("n")))
+    verdicts = {r["verdict"] for r in examples.filter("NOT kept").select("verdict").distinct().collect()}
+    told = decided.select(F.col("id").alias(id_col), "host", "path", "rule", says[F.col("rule")].alias("verdict"), F.lit(None).cast("double").alias("score"))
+    if len(verdicts) < 2:
+        rest, least = open_.withColumn("score", F.lit(0.0)), 0.0
+    else:
+        texts = cut(open_.select(F.col("url").alias("text")).union(examples.filter("kept").select("text")).distinct())
+        scored = cut(score_texts(texts, count_grams(examples.filter("NOT kept"))))
+        least = threshold(examples.filter("kept").join(scored, "text"))
+        rest = open_.join(scored.withColumnRenamed("text", "url").hint("merge"), "url")
+    verdict = F.when(F.col("score") >= least, "allow").otherwise("block")
+    return told.unionByName(rest.select(F.col("id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), "score"))
