@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loremill.llm import bag_minhash, bpe, chat_format, exact_dedup, packing, passages, quality, registry, tiff, toxicity, url_filter
+from loremill.llm import bag_minhash, bpe, chat_format, exact_dedup, labelled, packing, passages, quality, registry, tiff, toxicity, url_filter
 from loremill.llm.shared import table
 from tests.oracle import compare
 
@@ -66,9 +66,40 @@ def test_chat_odd(spark):
     by = {(r.conv_id, r.part, r.perspective): r for r in got}
     assert {k[2] for k in by if k[0] == 1} == {"user", "unknown", "bob", "assistant"} and not [k for k in by if k[0] == 2]
     r = by[1, 0, "user"]
-    assert r.n_messages == 4 and r.text.startswith("<|im_start|>user name=bob\nfirst<|im_end|>\n")
+    assert r.n_messages == 5 and r.text.startswith("<|im_start|>user name=bob\nfirst<|im_end|>\n")
     assert [r.text[m["start"] : m["end"]] for m in r.mask] == ["hi<|im_end|>"] * 2
-    assert (None, 0, "user") in by and by[1, 1, "assistant"].text == "<|im_start|>assistant\nlate<|im_end|>\n"
+    assert (None, 0, "user") in by and by[1, 0, "assistant"].text.endswith("<|im_start|>assistant\nlate<|im_end|>\n")
+    assert chat_format.rotate_perspectives(spark.createDataFrame(rows[:0], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+@pytest.mark.parametrize("per_part, per_block", [(256, 4096), (3, 4096), (2, 2)])
+def test_chat_whole_dialogues(spark, monkeypatch, per_part, per_block):
+    """Parts put together are the rendering by definition, and masks count from its beginning; ties, nulls and hot turns."""
+    monkeypatch.setattr(chat_format, "PARTS_PER_BLOCK", per_block)
+    rng = random.Random(6)
+    rows = [(c, rng.choice([None, 0, 0, 0, 1, 2, 7]), rng.choice(["user", "bob", "assistant", "system", None]), rng.choice(["hi", "é" * rng.randint(0, 9), None, "same"])) for c in (1, 2, None) for _ in range(40 if c == 1 else 9)]
+    rows += [(3, 5, "user", "alone"), (4, 0, "system", "only")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = {}
+    for r in chat_format.rotate_perspectives(df, per_part).collect():
+        got.setdefault((r.conv_id, r.perspective), []).append(r)
+    want = set()
+    for c in {r[0] for r in rows}:
+        own = sorted([(t is not None, t or 0, role or "unknown", text or "") for conv, t, role, text in rows if conv == c])
+        for me in {r for _, _, r, _ in own} - {"system"}:
+            text, mask = "", []
+            for _, _, role, body in own:
+                text += f"<|im_start|>{role if role == 'system' else 'assistant' if role == me else 'user name=' + role}\n"
+                if role == me:
+                    mask.append((len(text), len(text) + len(body) + 10))
+                text += body + "<|im_end|>\n"
+            parts = sorted(got[c, me], key=lambda r: r.part)
+            assert "".join(r.text for r in parts) == text
+            assert [(m.start, m.end) for r in parts for m in r.mask] == mask
+            assert [r.start for r in parts] == [sum(len(x.text) for x in parts[:k]) for k in range(len(parts))]
+            assert [r.n_messages for r in parts] == [min(per_part, len(own) - k) for k in range(0, len(own), per_part)]
+            want.add((c, me))
+    assert set(got) == want
 
 
 # ---- 3: packing -------------------------------------------------------------------------------------
@@ -104,6 +135,21 @@ def test_bin_completion_against_optimum():
     assert packing.complete_bins({}, 20) == []
 
 
+def test_bin_completion_of_many_pieces():
+    """Sequences of five pieces, where best-fit wastes room; and never more than best-fit."""
+    for n in (1, 7, 10**6):
+        plan = packing.complete_bins({410: 3 * n, 409: 2 * n})
+        assert sum(f.times for f in plan) == n
+    rng = np.random.default_rng(1)
+    for low, high, n in ((100, 500, 3000), (690, 1100, 500), (1, 60, 2000)):
+        counts = Counter(rng.integers(low, high, n).tolist())
+        left = np.zeros(2049, dtype=np.int64)
+        left[list(counts)] = list(counts.values())
+        plan = packing.complete_bins(counts, steps=20_000)
+        assert sum((Counter({x: k * f.times for x, k in Counter(f.lengths).items()}) for f in plan), Counter()) == counts
+        assert all(sum(f.lengths) <= 2048 for f in plan) and sum(f.times for f in plan) <= packing._best_fit(left, 2048)[0]
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
@@ -127,8 +173,8 @@ def test_packing_round_trip(spark):
         n = 2 if i == 4 and t.startswith("same words") else 1  # repeated under one id
         for k in range(0, len(ids), 256):
             want[i, k // 256, k, len(ids[k : k + 256]), zlib.crc32(ids[k : k + 256].tobytes())] += n
-    if len(texts) == docs.count() - 1:
-        assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    assert len(texts) == docs.count() - 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
     assert packing.pack_documents(odd(spark).limit(0), path).count() == 0
 
 
@@ -300,27 +346,74 @@ def test_forward_backward_against_all_labellings():
 
 
 def test_string_kernel_by_definition():
-    """Against the sum over all triples of places, and tolerance of gaps."""
+    """Against the textbook sum over all triples of places, divided by both lengths; symmetry; tolerance of gaps."""
+    stands = str.maketrans(toxicity.LOOK_ALIKE)
 
     def kernel(u, v):
         def triples(w):
             out = Counter()
+            w = w.translate(stands) if any(c.isalpha() for c in w) else w
             for i, j, k in itertools.combinations(range(len(w)), 3):
                 if k - i < toxicity.SPAN and all(c.isalpha() for c in (w[i], w[j], w[k])):
                     out[w[i] + w[j] + w[k]] += toxicity.DECAY ** (k - i + 1)
             return out
 
         a, b = triples(u), triples(v)
-        each = [toxicity.DECAY ** (2 * (k - i + 1)) for i, j, k in itertools.combinations(range(len(u)), 3) if k - i < toxicity.SPAN and all(c.isalpha() for c in (u[i], u[j], u[k]))]
-        down = np.sqrt(sum(each)) * np.sqrt(sum(x * x for x in b.values()))
+        down = np.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
         return (sum(a[t] * b[t] for t in a) / down) ** toxicity.POWER if down else 0.0
 
-    landmarks = ["idiot", "worthless", "banana"]
-    table_ = toxicity.landmark_table(landmarks)
-    for w in ("idiot", "id-iot", "idxiot", "i.d.i.o.t", "banana", "thing", "ab", "worthlesss"):
-        assert toxicity.word_kernels([w], table_)[0] == pytest.approx([kernel(w, m) for m in landmarks], abs=1e-4)
-    near = lambda w: toxicity.word_kernels([w], table_)[0, 0]
-    assert near("id-iot") > 0.5 and near("i.d.i.o.t") > 0.1 > near("thing")
+    words = ["idiot", "worthless", "banana", "id-iot", "idxiot", "i.d.i.o.t", "1d10t", "hahaha", "aaaaaa", "thing", "ab", "2017", "worthlesss", "u" * 40 + "idiot"]
+    space = toxicity.landmark_space(words)
+    got = toxicity.word_kernels(words, space)
+    assert got == pytest.approx(np.array([[kernel(u, v) for v in words] for u in words]), abs=1e-4)
+    assert got == pytest.approx(got.T, abs=1e-5)
+    assert np.diag(got) == pytest.approx([0 if w in ("ab", "2017") else 1 for w in words], abs=1e-4)
+    near = lambda w: toxicity.word_kernels([w], space)[0, 0]
+    assert near("id-iot") > 0.5 and near("i.d.i.o.t") > 0.1 > near("thing") and near("1d10t") > 0.9
+    long = "".join(random.Random(4).choices("abcdiot", k=2 * toxicity.LONG + 11))
+    whole = toxicity._long_word(long, space)
+    row, triple, weight = toxicity._summed([long])
+    dense = np.zeros(toxicity.LETTERS**3)
+    dense[triple] = weight
+    own = toxicity.landmark_space([words[0]])
+    want = (dense[own.where >= 0] @ own.table[own.where[own.where >= 0]][:, 0] / np.sqrt((dense**2).sum())) ** toxicity.POWER
+    assert whole[0] == pytest.approx(want, rel=1e-4) and toxicity.word_kernels(["x", long], space)[1] == pytest.approx(whole)
+
+
+def test_tokens_and_sentences():
+    assert toxicity.tokens("You see i d i o t s here") == ["you", "see", "idiots", "here"]
+    assert toxicity.tokens("i d i o t") == ["idiot"] and toxicity.tokens("a b") == ["a", "b"]
+    rng = np.random.default_rng(3)
+    for n in (1, 39, 40, 41, 150):
+        margin, ends = rng.normal(size=n), rng.random(n) < 0.02
+        best, at = -np.inf, 0
+        for stop in [*(np.flatnonzero(ends[:-1]) + 1).tolist(), n]:
+            size = min(stop - at, toxicity.SENTENCE_WORDS)
+            best = max(best, *(margin[k : k + size].sum() for k in range(at, stop - size + 1)))
+            at = stop
+        assert toxicity.worst_sentence(margin, ends) == pytest.approx(best)
+
+
+def test_insults_in_disguise():
+    rng = random.Random(2)
+    clean = [" ".join(prose(rng, 12)) + f". You {w} person." for w in prose(rng, 20) for _ in range(15)]
+    toxic = [" ".join(prose(rng, 12)) + f". You {w} person." for w in ("idiotic", "stupid", "worthless", "moronic", "pathetic") for _ in range(30)]
+    m = toxicity.fit(clean + toxic, [0] * len(clean) + [1] * len(toxic))
+    told = [f"You {w} person." for w in ("stupid", "s t u p i d", "5tup1d", "st-upid", "stuupid", "stuxpid", "sudden")]
+    score, margin = m.score(told), m.margins(told)
+    assert (score[:4] > 0.5).all() and score[6] < 0.3
+    assert margin[4] > margin[6] + 1 and margin[5] > margin[6] + 0.2  # inserted letters count less, but count
+
+
+def test_training_rows(spark):
+    """Long documents are learned from, of each class one at least, and no more than the characters allow."""
+    labels = spark.createDataFrame([(k, k % 2) for k in range(80)], "doc_id long, quality int")
+    docs = spark.createDataFrame([(k, "w" * 25_000) for k in range(60)] + [(3, "again")], "doc_id long, text string")
+    draw = lambda each, chars: labelled.training_rows(docs, labels, "quality", 4, 2, each, chars).toPandas()
+    got = draw(1000, 10**9)
+    assert set(got["doc_id"]) == {k for k in range(60) if zlib.crc32(str(k).encode()) % 4 != 2} and (got["doc_id"] % 2 == got["label"]).all()
+    assert draw(5, 10**9).groupby("label")["doc_id"].nunique().tolist() == [5, 5]
+    assert draw(1000, 60_000).groupby("label")["doc_id"].nunique().tolist() == [2, 2] and draw(1000, 9).groupby("label")["doc_id"].nunique().tolist() == [1, 1]
 
 
 # ---- 6: urls ------------------------------------------------------------------------------------------
@@ -344,28 +437,70 @@ def test_url_rules(spark):
 
 def test_url_models_read_the_whole_url(spark):
     """Urls of one host and path, or without a host, are told apart by the rest."""
-    decided = [f"http://example.net/en/p?topic=science{k}" for k in range(150)] + [f"http://bad{k}.net/en/p?topic=casino{k}" for k in range(150)]
+    decided = [f"http://h{k}.example.net/en/p?topic=science{k}" for k in range(150)] + [f"http://bad{k}.net/en/p?topic=casino{k}" for k in range(150)]
     urls = ["http://a.io/en/p?topic=science7", "http://a.io/en/p?topic=casino7", "topic=science8", "topic=casino8"]
     df = spark.createDataFrame(list(enumerate(decided + urls)), "page_id long, url string")
     got = {r.page_id: r.score for r in url_filter.filter_urls(df, registry.URL_RULES).collect()}
     assert got[300] > got[301] and got[302] > got[303]
 
 
-def test_url_models(spark):
+def test_url_models_brute(spark):
+    """Scores against counts and mixtures by definition, over the examples without what their rules name; copies count each time."""
     rng = random.Random(4)
-    good = [f"site{rng.randint(0, 99)}.com/news/{rng.randint(0, 999)}" for _ in range(300)]
-    bad = [f"cheap-pills{rng.randint(0, 99)}.biz/buy/{rng.randint(0, 999)}" for _ in range(300)]
-    decided = spark.createDataFrame([(u, "allow") for u in good] + [(u, "block") for u in bad], "url string, verdict string")
-    models = url_filter.estimate(decided)
-    s = models.score(["site5.com/news/77", "cheap-pills3.biz/buy/1", "site1000.com/news/5", ""])
-    assert s[0] >= models.threshold > s[1] and s[2] >= models.threshold
-    # The mixed estimates of the next character add up to one, up to shared buckets.
-    grams, contexts, _ = url_filter._buckets([f"site5.c{chr(b)}" for b in range(32, 127)])
-    own, p = models.counts["allow"], np.full(95, 1 / 256)
-    at = np.arange(95) * 9 + 7
-    for k in range(url_filter.ORDER + 1):
-        p = models.mix(own, p, grams[:, k][:, at], contexts[k][at])
-    assert 0.9 < p.sum() < 1.1
+    word = lambda: "".join(rng.choices("abcé", k=rng.randint(1, 4)))
+    urls = [f"http://{word()}.{h}{word()}{q}" for h in ("example.net/en/", "net/", "net/x", "org/fr/", "example.com/de/", "com/", "org/") for q in ("", "?a=b", "#t") for _ in range(12)]
+    urls += urls[:40] + ["", "no host", "http://NET"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(5)
+    got = {r.page_id: r for r in url_filter.filter_urls(df, registry.URL_RULES).collect()}
+    kept = {r.host for r in df.select(url_filter.host_and_path(F.col("url"))[0].alias("host")).filter(F.pmod(F.xxhash64("host"), F.lit(url_filter.CALIBRATE)) == 0).collect()}
+    counts = {v: Counter() for v in ("allow", "block")}
+    stripped = {}
+    for k, u in enumerate(urls):
+        if r := got[k].rule:
+            domain, prefix = r.split("/", 1)
+            scheme, rest = u.split("://", 1)
+            host = rest.split("/")[0]
+            text = scheme + "://" + host[: len(host) - len(domain)] + rest[len(host) + 1 + len(prefix) :]
+            stripped[k] = text
+            if got[k].host not in kept:
+                padded = "\x02" * 5 + text + "\x03"
+                for j in range(5, len(padded)):
+                    for n in range(6):
+                        counts[got[k].verdict][padded[j - n : j + 1]] += 1
+    seen = {v: Counter() for v in counts}
+    for v, own in counts.items():
+        for g, n in own.items():
+            seen[v][len(g), g[:-1]] += n
+
+    def score(text):
+        padded, out = "\x02" * 5 + text + "\x03", 0.0
+        for j in range(5, len(padded)):
+            for v, sign in (("allow", 1), ("block", -1)):
+                p = 1 / 256
+                for n in range(6):
+                    g = padded[j - n : j + 1]
+                    p = (counts[v][g] + 2 * p) / (seen[v][len(g), g[:-1]] + 2)
+                out += sign * np.log(p)
+        return out / (len(padded) - 5)
+
+    for k, u in enumerate(urls):
+        assert got[k].score is None if got[k].rule else got[k].score == pytest.approx(score(u), abs=1e-9)
+    cut_at = {r.verdict: [x.score for x in got.values() if x.rule is None and x.verdict == r.verdict] for r in got.values()}
+    assert min(cut_at["allow"]) >= max(cut_at["block"])
+
+
+def test_url_accuracy_on_other_hosts(spark):
+    """Verdicts of urls that no rule decides, of hosts that no example has; the top-level domain says nothing."""
+    rng = random.Random(7)
+    kinds = {"allow": ["science", "library", "history", "museum"], "block": ["casino", "pills", "jackpot", "betting"]}
+    url = lambda v, end: f"http://{rng.choice(kinds[v])}{rng.randint(0, 9999)}.{end}/{rng.choice(kinds[v])}/{rng.randint(0, 999)}"
+    rows = [(url("allow", "example.net").replace("example.net/", "example.net/en/"), None) for _ in range(300)] + [(url("block", "net"), None) for _ in range(300)]
+    rows += [(url(v, end), v) for v in kinds for end in ("com", "org", "io") for _ in range(50)]
+    df = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(df, registry.URL_RULES).filter("rule IS NULL").collect()}
+    assert len(got) == 300 and sum(got[k] == rows[k][1] for k in got) >= 285
+    one = df.filter("url like '%example.net%' or page_id >= 600")
+    assert {(r.verdict, r.score) for r in url_filter.filter_urls(one, registry.URL_RULES).filter("rule IS NULL").collect()} == {("allow", 0.0)}
 
 
 # ---- 7: near-duplicates ---------------------------------------------------------------------------------
@@ -422,6 +557,38 @@ def test_near_duplicates_hot_group(spark):
     assert wrong <= 1  # a pair at the threshold can miss all bands
 
 
+def test_near_duplicates_repeated_ids(spark):
+    """Different texts under one id are told apart, and each keeps its links."""
+    rng = random.Random(3)
+    a, b = prose(rng, 100), prose(rng, 100)
+    change = lambda w, k: " ".join([*w[:k], "changed", *w[k + 1 :]])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, change(a, 50)), (3, change(b, 60)), (1, " ".join(b))]
+    got = bag_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1)).withColumn("rep", F.lit(2))).collect()
+    assert [(r.doc_id, r.n_links) for r in sorted(got, key=lambda r: r.doc_id)] == [(1, 1)] * 3 + [(2, 1), (3, 1)]
+    assert {r.class_id for r in got} == {1} and len({r.text_hash for r in got}) == 4
+    found = {(r.doc_id, r.source_id) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {(2, 1), (3, 1)}
+    named = spark.createDataFrame([(f"d{i}", t) for i, t in rows], "doc_id string, text string")
+    got = passages.repeated_passages(named)
+    assert {(r.doc_id, r.source_id) for r in got.collect()} == {("d2", "d1"), ("d3", "d1")}
+    assert {r.doc_id for r in passages.without_passages(named, got).collect()} == {"d1"}
+
+
+def test_near_duplicates_recall(spark):
+    """Of the pairs of the table's texts at or above the threshold, by brute force over shared runs, nine in ten at least share a class."""
+    docs = [(r.doc_id, r.text or "") for r in table(spark, SF, "documents").collect()]
+    got = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(table(spark, SF, "documents")).collect()}
+    bags, holders = {}, {}
+    for i, t in docs:
+        w = words(t)
+        bags[i] = Counter(tuple(w[k : k + 5]) for k in range(max(len(w) - 4, min(len(w), 1))))
+        for run in bags[i]:
+            holders.setdefault(run, []).append(i)
+    met = {pair for own in holders.values() if len(own) < 200 for pair in itertools.combinations(sorted(own), 2)}
+    alike = [(i, j) for i, j in met if (c := sum((bags[i] & bags[j]).values())) >= 0.8 * (sum(bags[i].values()) + sum(bags[j].values()) - c)]
+    assert len(alike) >= 50 and sum(got[i] == got[j] for i, j in alike) >= 0.9 * len(alike)
+
+
 def test_signatures_are_unbiased():
     a, b = Counter({k: k % 7 + 1 for k in range(300)}), Counter({k: k % 5 + 1 for k in range(60, 360)})
     true = sum((a & b).values()) / sum((a | b).values())
@@ -458,6 +625,22 @@ def test_bpe_against_library(spark):
     assert bpe.round_trip_digests(df, path).count() == 9 and bpe.round_trip_digests(df.limit(0), path).count() == 0
 
 
+def test_every_code_point_as_the_library():
+    """Both encoders over all assigned and unassigned code points, alone and among letters, marks and accents."""
+    from tokenizers import Tokenizer
+
+    path = registry.word_bpe()
+    tok, own = Tokenizer.from_file(path), bpe.load(path)
+    rng = random.Random(1)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    forms = ["a{0}b.", "{0}", "{0}'s {0}{0}", "1{0}2 x{0},", "{0}\u0301{0}\u0651 \u0130{0}"]
+    texts = [" ".join(rng.choice(forms).format(c) for c in points[k : k + 2000]) for k in range(0, len(points), 2000)]
+    texts += ["".join(rng.choice(points) if rng.random() < 0.3 else rng.choice("abİΣs'.! \u0651\u0307\u0345x1") for _ in range(rng.randint(0, 30))) for _ in range(5000)]
+    for t in texts:
+        want = np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert own.encode(t) == want and packing.token_ids(t, path) == want
+
+
 # ---- 10: TIFF ---------------------------------------------------------------------------------------------
 
 
@@ -496,3 +679,15 @@ def test_text_media(spark):
         media = tiff.store_text(payload)
         assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest())
     assert rows[1].feature == rows[2].feature
+
+
+def test_text_forms():
+    """Every form carries short and long texts, by a checksum and not by size."""
+    seen = {}
+    for n in (1, 3, 70, 200):
+        for k in range(40):
+            payload = (f"{k} ".encode() * 700)[:576] * n
+            data = tiff.store_text(payload)
+            assert b"".join(p.tobytes() for p in tiff.read_pages(data)) == payload
+            seen.setdefault(n, set()).add(next(tiff.directories(data))[1][tiff.COMPRESSION])
+    assert set(map(frozenset, seen.values())) == {frozenset({(tiff.DEFLATE,), (tiff.LZW,), (tiff.PACKBITS,)})}
