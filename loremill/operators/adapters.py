@@ -15,6 +15,7 @@ from ..functions.splitting import halves
 
 Embedder = Callable[[list[str]], np.ndarray]
 Extractor = Callable[[str], dict]
+Synthesizer = Callable[[dict], dict]
 SMALLEST, BATCH = 400, 8
 
 
@@ -97,10 +98,27 @@ def stub_pages(contexts: DataFrame, project_slug=None) -> DataFrame:
     return contexts.select("community_id", "level", title.alias("title"), F.concat(F.lit("# Community Report\n\nEntities: "), F.coalesce(names, F.lit("")), F.lit("\n")).alias("body_text"))
 
 
+def synthesize_pages(contexts: DataFrame, synthesize: Synthesizer) -> DataFrame:
+    """``community_id, level, title, body_text``: pages that ``synthesize`` makes of contexts (``community_id, level, entities``), a context at a time; sections of the page that have no text are left out."""
+    source = contexts.select("community_id", "level", "entities")
+    ids_, level = (source.schema[c].dataType.simpleString() for c in ("community_id", "level"))
+    sections = ["key_entities", "notable_relationships", "open_questions"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = []
+            for who, at, entities in zip(pdf["community_id"], pdf["level"], pdf["entities"]):
+                page = synthesize({"community_id": who, "level": at, "entities": [dict(e) for e in entities] if entities is not None else []})
+                rows.append((who, at, page.get("title"), page.get("executive_summary"), *(list(page.get(s) or []) for s in sections)))
+            yield pd.DataFrame(rows, columns=["community_id", "level", "title", "executive_summary", *sections])
+
+    made = source.mapInPandas(run, f"community_id {ids_}, level {level}, title string, executive_summary string, " + ", ".join(f"{s} array<string>" for s in sections))
+    page = F.struct("title", "executive_summary", *sections)
+    return made.select("community_id", "level", F.coalesce(X.filled(X.strip("title")), F.lit("Community Report")).alias("title"), X.page_markdown(page).alias("body_text"))
+
+
 def index_pages(pages: DataFrame, namespace=None) -> DataFrame:
     """Pages with their path and the text that is indexed of them."""
     path = X.page_path("level", "title", "community_id")
     return pages.select("community_id", "title", "body_text", path.alias("slug"), F.concat(F.lit("/wiki/"), path, F.lit(".md")).alias("vfs_path"), F.substring(X.search_text("title", "body_text"), 1, 8000).alias("search_text"), F.octet_length("body_text").alias("size"))
 
-
-__all__ = ["Embedder", "Extractor", "TooLong", "embed_texts", "extract_graph", "hashing_embedder", "ids", "index_pages", "stub_pages", "wikilink_extractor"]

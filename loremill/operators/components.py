@@ -8,14 +8,27 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the cluster names none."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``. Only a local session, which is one machine, may leave it unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def job_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_dir(spark)}/jobs/{spark.conf.get('spark.app.id', 'local')}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes what this application has written to its part of the shared folder. For the end of a job: results that are still lazy need these tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(job_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -24,7 +37,7 @@ def cut(df: DataFrame) -> DataFrame:
     key is hot.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = f"{job_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

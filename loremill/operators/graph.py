@@ -77,14 +77,14 @@ def batch_scope(entity_ids: DataFrame | None, mentioned: DataFrame | None) -> Da
     return entity_ids if entity_ids is not None else mentioned
 
 
-def co_mentions(mentioned: DataFrame, weight: float = 0.5, widest: int = 200) -> DataFrame:
+def co_mentions(mentioned: DataFrame, weight: float = 0.5) -> DataFrame:
     """``source, target, weight``: entities that a chunk mentions together, source before target.
 
-    Pairs come from one chunk's mentions, which its length bounds; a chunk that mentions more than
-    ``widest`` entities links each to the next ``widest`` in order only, so no chunk makes a square.
+    A chunk has at most so many characters, so its mentions and their pairs are bounded by its length,
+    whatever the size of the project.
     """
     lists = mentioned.groupBy("chunk_id").agg(F.sort_array(F.collect_set("entity_id")).alias("e"))
-    pairs = lists.select(F.explode(F.transform("e", lambda x, k: F.struct(x.alias("source"), F.slice("e", k + 2, F.lit(widest)).alias("after")))).alias("p"))
+    pairs = lists.select(F.explode(F.transform("e", lambda x, k: F.struct(x.alias("source"), F.slice("e", k + 2, F.size("e")).alias("after")))).alias("p"))
     return pairs.select("p.source", F.explode("p.after").alias("target")).distinct().withColumn("weight", F.lit(weight))
 
 

@@ -51,18 +51,31 @@ def match_deletes(changes: DataFrame, documents: DataFrame) -> DataFrame:
     return documents.join(gone, "remote_id", "left_semi")
 
 
-def list_documents(documents: DataFrame, contains: str | None = None, state: str | None = None, limit: int = 50, offset: int = 0) -> DataFrame:
-    """A page of documents by id, newest first; ``contains`` looks into the raw address, ignoring case and with no wildcards."""
-    return filtered(documents, contains, state).orderBy(F.desc("document_id")).offset(offset).limit(limit)
-
-
-def filtered(documents: DataFrame, contains: str | None = None, state: str | None = None) -> DataFrame:
-    rows = documents
+def filtered(documents: DataFrame, project_id: Column | None = None, source_id: str | None = None, contains: str | None = None, state: str | None = None) -> DataFrame:
+    """Documents of a project, of a source, in a state, with a text in the raw address (ignoring case, no wildcards); each as far as it is given."""
+    rows = documents if project_id is None else documents.filter(F.col("project_id") == project_id)
+    if source_id:
+        rows = rows.filter(F.col("source_id") == source_id)
     if contains:
         rows = rows.filter(F.lower("s3_raw_uri").contains(contains.lower()))
     return rows.filter(F.col("ingest_state") == state) if state else rows
 
 
+def list_documents(documents: DataFrame, project_id: Column | None = None, source_id: str | None = None, contains: str | None = None, state: str | None = None, limit: int = 50, offset: int = 0) -> DataFrame:
+    """A page of the ``filtered`` documents by id, newest first."""
+    return filtered(documents, project_id, source_id, contains, state).orderBy(F.desc("document_id")).offset(offset).limit(limit)
+
+
+def count_documents(documents: DataFrame, project_id: Column | None = None, source_id: str | None = None, contains: str | None = None, state: str | None = None) -> DataFrame:
+    """``n``: how many the listing under the same filters has."""
+    return filtered(documents, project_id, source_id, contains, state).agg(F.count(F.lit(1)).alias("n"))
+
+
+def newest(rows: DataFrame, at: str, key: list[str], limit: int) -> DataFrame:
+    """The newest of a listing such as tombstones or stale marks; ties by key."""
+    return rows.orderBy(F.desc(at), *key).limit(limit)
+
+
 def with_default_project(rows: DataFrame, projects: DataFrame) -> DataFrame:
     """A null project_id becomes the tenant's project with slug ``default``; where the tenant has none, its id is derived (and ``created`` says so)."""
     own = projects.filter(F.col("slug") == "default").select("tenant", F.col("id").alias("_default"))
@@ -81,6 +94,27 @@ def compensate(chunks: DataFrame, mentioned: DataFrame, gone: DataFrame) -> tupl
     return cleared.drop("_gone"), mentioned.join(dead, "chunk_id", "left_anti")
 
 
+def compensation_audit(chunks: DataFrame, mentioned: DataFrame, gone: DataFrame) -> DataFrame:
+    """An audit row for each document in ``gone``: ``document_id, action, chunk_count, embeddings_cleared, mentions_deleted``."""
+    own = chunks.select("document_id", "chunk_id", F.col("embedding").isNotNull().cast("long").alias("e")).join(gone.select("document_id").distinct(), "document_id", "left_semi")
+    linked = mentioned.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("m"))
+    sums = own.join(linked, "chunk_id", "left").groupBy("document_id").agg(F.count(F.lit(1)).alias("chunk_count"), F.sum("e").alias("embeddings_cleared"), F.coalesce(F.sum("m"), F.lit(0)).alias("mentions_deleted"))
+    none = F.lit(0).cast("long")
+    out = gone.select("document_id").distinct().join(sums, "document_id", "left")
+    return out.select("document_id", F.lit("compensation").alias("action"), *[F.coalesce(c, none).alias(c) for c in ("chunk_count", "embeddings_cleared", "mentions_deleted")])
+
+
+def wanted_of(documents: DataFrame, project_id: Column, source_id: str | None = None) -> DataFrame:
+    """What a purge of a whole project, or of one of its sources, is about: documents that are not gone yet."""
+    return filtered(documents, project_id, source_id).filter(~F.col("ingest_state").isin(*GONE)).select("document_id")
+
+
+def mark_stale(stale: DataFrame, audit: DataFrame) -> DataFrame:
+    """``stale`` (``tenant, project_id, community_id``) with a mark for each project that has purged documents and no mark yet: the least document stands for the community until pages are made anew."""
+    fresh = audit.groupBy("tenant", "project_id").agg(F.min("document_id").alias("community_id"))
+    return stale.unionByName(fresh.join(stale.select("tenant", "project_id").distinct(), ["tenant", "project_id"], "left_anti").select(*stale.columns))
+
+
 def purge(documents: DataFrame, tombstones: DataFrame, wanted: DataFrame, reason: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents in their new state, tombstones with the purged content, and an audit row for each purged document."""
     w = wanted.select("document_id").distinct().withColumn("_w", F.lit(True))
@@ -164,9 +198,16 @@ def folded_states(events: DataFrame) -> DataFrame:
     return events.groupBy("document_id").agg(last, dead, F.count(F.lit(1)).alias("n")).select("document_id", F.when(F.col("dead"), "purged").otherwise(F.col("last.state")).alias("state"), F.col("n").alias("n_events"))
 
 
-def fingerprints(lines: DataFrame, batch: list[str], line: Column) -> DataFrame:
-    """A fingerprint of each batch that does not depend on the order of its lines: hashes of lines, sorted, hashed."""
-    return lines.groupBy(*batch).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.sha2(line, 256))), ""), 256).alias("chunks_sha256"), F.count(F.lit(1)).alias("n_lines"))
+def fingerprints(lines: DataFrame, batch: list[str], line: Column, digits: int = 3) -> DataFrame:
+    """A fingerprint of each batch that does not depend on the order of its lines.
+
+    Hashes of lines are sorted and hashed in shares, by their first hexadecimal ``digits``, and the shares'
+    hashes in order of share; so a batch of any size meets in one row only as at most 16 ** digits hashes.
+    """
+    hashed = lines.select(*batch, F.sha2(line, 256).alias("h"))
+    digest = lambda c: F.sha2(F.array_join(F.sort_array(F.collect_list(c)), ""), 256)
+    shares = hashed.groupBy(*batch, F.substring("h", 1, digits).alias("share")).agg(digest("h").alias("h"), F.count(F.lit(1)).alias("n"))
+    return shares.groupBy(*batch).agg(digest(F.concat("share", "h")).alias("chunks_sha256"), F.sum("n").alias("n_lines"))
 
 
 def cache_misses(wanted: DataFrame, cache: DataFrame, key: list[str], schema: str, force: bool = False) -> DataFrame:
@@ -185,10 +226,20 @@ def missing_directories(paths: DataFrame) -> DataFrame:
     return rows.select("path", X.parent_path("path").alias("parent_path"), F.when(F.col("path") == "/", "").otherwise(X.last_segment("path")).alias("name"))
 
 
-def prompt_groups(chunks: DataFrame, batch: list[str], order: list[str], per_group: int = 100) -> DataFrame:
-    """Non-blank chunks with the number of their group: each ``per_group`` in order make one."""
-    w = Window.partitionBy(*batch).orderBy(*order)
-    return chunks.filter(~X.blank("text")).withColumn("group", F.floor((F.row_number().over(w) - 1) / F.lit(per_group)).cast("int"))
+def prompt_groups(chunks: DataFrame, batch: list[str], order: list[str], per_group: int = 100, digits: int = 3) -> DataFrame:
+    """Non-blank chunks with the number of their group: each ``per_group`` in order make one.
+
+    The first column of ``order`` is an identifier in hexadecimal, spread evenly; its first ``digits`` deal a
+    batch into shares that are in order, and only a share is ever sorted. ``chunks`` is read twice.
+    """
+    share = F.substring(F.col(order[0]), 1, digits)
+    rows = chunks.filter(~X.blank("text")).withColumn("_share", share)
+    before = Window.partitionBy(*batch).orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)  # at most 16 ** digits rows
+    counts = rows.groupBy(*batch, "_share").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(*batch, "_share", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*batch, "_share").orderBy(*order)) - 1
+    ranked = rows.withColumn("_place", place).join(offsets, [*batch, "_share"])
+    return ranked.withColumn("group", F.floor((F.col("_before") + F.col("_place")) / F.lit(per_group)).cast("int")).select(*chunks.columns, "group")
 
 
 def packed_prompts(groups: DataFrame, key: list[str], order: list[str], budget: int = 4000, normalise: bool = True) -> DataFrame:

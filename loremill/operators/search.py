@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import ids, text as X
 
 CHANNEL_LIMIT, RRF_K, TOP_K = 20, 60, 10
+#: Query vectors that are sent to the tasks at a time, and rows and columns of scores that are held at a time.
+BLOCK_BYTES, TILE = 64 << 20, 2048
 #: Fixed values of the rank function: the default weight, the sum of 1/n² over all n, and the span beyond which two words do not count.
 WEIGHT, ALL_SQUARES, FAR = 0.1, 1.64493406685, 100
 
@@ -45,16 +47,25 @@ def _all(hits: Column) -> Column:
     return 1 - F.aggregate(steps, F.lit(1.0), lambda acc, h: pair(acc, h, h["k"]))
 
 
-def full_text(queries: DataFrame, texts: DataFrame, limit: int = CHANNEL_LIMIT, scope: list[str] = ()) -> DataFrame:
+def postings(texts: DataFrame, scope: list[str] = ()) -> DataFrame:
+    """``id, scope, term, places``: where each text (``id, text`` and the scope columns) has each lexeme. Written once, it serves any number of query tables."""
+    occurs = texts.select("id", *scope, F.posexplode(lexemes("text")).alias("at", "term"))
+    return occurs.groupBy("id", *scope, "term").agg(F.sort_array(F.collect_list("at")).alias("places"))
+
+
+def full_text(queries: DataFrame, texts: DataFrame, limit: int = CHANNEL_LIMIT, scope: list[str] = (), index: DataFrame | None = None) -> DataFrame:
     """``query_id, id, score, rank``: texts (``id, text`` and the scope columns) that have all lexemes of a query (``query_id, query``), best ``limit`` of each.
 
-    Only occurrences of words that some query asks for leave the scan. A query without a lexeme finds
-    nothing. Ties go to the lesser id.
+    With an ``index`` (see ``postings``) the texts are not read. Without one only occurrences of words that
+    some query asks for leave the scan. A query without a lexeme finds nothing. Ties go to the lesser id.
     """
     terms = queries.select("query_id", *scope, F.explode(F.array_distinct(lexemes("query"))).alias("term"))
     asked = terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
-    occurs = texts.select("id", *scope, F.posexplode(lexemes("text")).alias("at", "term"))
-    found = occurs.join(terms, [*scope, "term"]).groupBy("query_id", "id", "term").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    if index is not None:
+        found = index.join(terms, [*scope, "term"]).select("query_id", "id", "term", "places")
+    else:
+        occurs = texts.select("id", *scope, F.posexplode(lexemes("text")).alias("at", "term"))
+        found = occurs.join(terms, [*scope, "term"]).groupBy("query_id", "id", "term").agg(F.sort_array(F.collect_list("at")).alias("places"))
     hits = found.groupBy("query_id", "id").agg(F.sort_array(F.collect_list(F.struct("term", "places"))).alias("hits"))
     full = hits.join(asked, "query_id").filter(F.size("hits") == F.col("n"))
     score = F.when(F.size("hits") == 1, _one(F.col("hits")[0]["places"])).otherwise(_all(F.col("hits")))
@@ -67,26 +78,24 @@ def ranked(hits: DataFrame, limit: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
 
 
-def vector_top(queries: DataFrame, vectors: DataFrame, limit: int = CHANNEL_LIMIT, most_queries: int = 20_000) -> DataFrame:
+def vector_top(queries: DataFrame, vectors: DataFrame, limit: int = CHANNEL_LIMIT, most_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``query_id, id, score, rank``: the nearest vectors by cosine, exactly.
 
     ``queries``: ``query_id, scope, vector`` (scope may be null: all); ``vectors``: ``id, scope, vector``. The
-    queries are the side that is sent to every task, after a check of their number; more are done in
-    blocks of ``most_queries``. Each task keeps its best for each query, so little is shuffled. Null and
-    zero vectors are left out; ties go to the lesser id.
+    queries are the side that is sent to every task, after a check of their size; more than ``most_bytes``
+    of them are done in blocks, dealt by hash. Each task keeps its best for each query, so little is
+    shuffled. Null and zero vectors are left out; ties go to the lesser id.
     """
     kind, qkind = dict(vectors.dtypes)["id"], dict(queries.dtypes)["query_id"]
-    asked = queries.filter("vector IS NOT NULL").orderBy("query_id")
-    blocks, at = [], 0
-    rows = asked.count()
-    numbered = asked.withColumn("_b", F.floor((F.row_number().over(Window.orderBy("query_id")) - 1) / F.lit(most_queries))) if rows > most_queries else None
-    while at * most_queries < max(rows, 1):
-        part = (asked if numbered is None else numbered.filter(F.col("_b") == at)).select("query_id", "scope", "vector").toPandas()
-        blocks.append(_block(part, vectors, limit, kind, qkind))
-        at += 1
-    out = blocks[0]
-    for b in blocks[1:]:
-        out = out.unionByName(b)
+    asked = queries.filter("vector IS NOT NULL").select("query_id", "scope", "vector")
+    size = asked.agg(F.coalesce(F.sum(F.size("vector") * 8), F.lit(0)).alias("n")).first()["n"]
+    blocks = max(1, -(-size // most_bytes))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    out = None
+    for k in range(blocks):
+        part = asked.filter(block == k) if blocks > 1 else asked
+        found = _block(part.toPandas(), vectors, limit, kind, qkind)
+        out = found if out is None else out.unionByName(found)
     return ranked(out, limit)
 
 
@@ -95,30 +104,32 @@ def _block(part: pd.DataFrame, vectors: DataFrame, limit: int, kind: str, qkind:
     norm = np.linalg.norm(ask, axis=1)
     part, ask = part[norm > 0].reset_index(drop=True), ask[norm > 0] / norm[norm > 0][:, None]
     names, scope = part["query_id"].to_numpy(), part["scope"].to_numpy(dtype=object)
+    bound = np.array([s is not None for s in scope], dtype=bool)
+
+    def best_of(pdf: pd.DataFrame, m: np.ndarray) -> Iterator[pd.DataFrame]:
+        """The best of some vectors for each query, some queries at a time; all that reach the last place's score."""
+        own, k = pdf["scope"].to_numpy(dtype=object), min(limit, len(pdf))
+        for at in range(0, len(ask), TILE):
+            score = ask[at : at + TILE] @ m.T
+            score[bound[at : at + TILE, None] & (scope[at : at + TILE, None] != own[None, :])] = -np.inf
+            edge = np.partition(score, -k, axis=1)[:, -k]
+            q, i = np.nonzero((score >= edge[:, None] - 1e-12) & np.isfinite(score))
+            yield pd.DataFrame({"query_id": names[at + q], "id": pdf["id"].to_numpy()[i], "score": score[q, i]})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: pd.DataFrame | None = None
-        for pdf in frames:
-            pdf = pdf[pdf["vector"].notna()]
-            if not len(pdf) or not len(ask):
-                continue
-            m = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
-            n = np.linalg.norm(m, axis=1)
-            pdf, m = pdf[n > 0], m[n > 0] / n[n > 0][:, None]
-            score = ask @ m.T
-            own = pdf["scope"].to_numpy(dtype=object)
-            score[np.array([s is not None for s in scope])[:, None] & (scope[:, None] != own[None, :])] = -np.inf
-            k = min(limit, score.shape[1])
-            q = np.repeat(np.arange(len(names)), k)
-            i = np.argpartition(-score, k - 1, axis=1)[:, :k].ravel() if score.shape[1] > k else np.tile(np.arange(score.shape[1]), len(names))
-            # Ties at the edge of the best k: take all that reach the k-th score.
-            edge = np.sort(score, axis=1)[:, -k]
-            q, i = np.nonzero(score >= edge[:, None] - 1e-12)
-            got = pd.DataFrame({"query_id": names[q], "id": pdf["id"].to_numpy()[i], "score": score[q, i]})
-            got = got[np.isfinite(got["score"])]
-            best = got if best is None else pd.concat([best, got])
-            order = best.assign(s=best["score"].round(9)).sort_values(["query_id", "s", "id"], ascending=[True, False, True])
-            best = order.groupby("query_id").head(limit).drop(columns="s")
+        for whole in frames:
+            whole = whole[whole["vector"].notna()]
+            for at in range(0, len(whole) if len(ask) else 0, TILE):
+                pdf = whole.iloc[at : at + TILE]
+                m = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
+                n = np.linalg.norm(m, axis=1)
+                pdf, m = pdf[n > 0], m[n > 0] / n[n > 0][:, None]
+                if len(pdf):
+                    best = pd.concat([best, *best_of(pdf, m)]) if best is not None else pd.concat(list(best_of(pdf, m)))
+            if best is not None:
+                order = best.assign(s=best["score"].round(9)).sort_values(["query_id", "s", "id"], ascending=[True, False, True])
+                best = order.groupby("query_id").head(limit).drop(columns="s")
         if best is not None and len(best):
             yield best
 

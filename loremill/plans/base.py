@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import ids, text as X
+from ..functions import ids
 from ..functions.ids import NAMESPACE
 from ..operators import ingest
 
@@ -109,6 +109,14 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The project that jobs on one project are about.
+PROJECT_SQL = uuid5("'project:en:src0'")
+
+
+def project():
+    return ids.uuid5(F.lit("project:en:src0"))
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document_id. Content follows its hash, so any of equal contents will do."""
     one = raw(spark, sf_dir).groupBy("tenant", "project_id", "content_hash").agg(
@@ -143,5 +151,3 @@ def entity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").select(name("supplier", "s_suppkey").alias("id"), F.col("s_name").alias("name"), F.coalesce("n_name", F.lit("")).alias("description"))
     return own.unionByName(p.select(name("part", "p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("description")))
 
-
-__all__ = ["F", "X", "ids", "ingest"]

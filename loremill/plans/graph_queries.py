@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import ids, text as X
+from ..functions import ids
 from ..operators import adapters, communities, graph, lifecycle
 from ..operators.components import components, cut
 from . import base
@@ -81,7 +81,7 @@ def a6_types(spark: SparkSession, sf: str) -> DataFrame:
     return edges(spark, sf).groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("confidence"), 6).alias("mean"))
 
 
-@query("a7_batch_fingerprints", f"WITH {CHUNKS_SQL}, h AS (SELECT tenant, project_id, sha256(chunk_id || ' ' || text) AS h FROM chunks) SELECT tenant, project_id, sha256(string_agg(h, '' ORDER BY h)) AS chunks_sha256, count(*) AS n_lines FROM h GROUP BY 1, 2")
+@query("a7_batch_fingerprints", f"WITH {CHUNKS_SQL}, h AS (SELECT tenant, project_id, sha256(chunk_id || ' ' || text) AS h FROM chunks), s AS (SELECT tenant, project_id, left(h, 3) AS share, sha256(string_agg(h, '' ORDER BY h)) AS h, count(*) AS n FROM h GROUP BY 1, 2, 3) SELECT tenant, project_id, sha256(string_agg(share || h, '' ORDER BY share)) AS chunks_sha256, sum(n)::BIGINT AS n_lines FROM s GROUP BY 1, 2")
 def a7(spark: SparkSession, sf: str) -> DataFrame:
     return lifecycle.fingerprints(base.chunks(spark, sf), ["tenant", "project_id"], F.concat_ws(" ", "chunk_id", "text"))
 
@@ -98,10 +98,17 @@ def a10(spark: SparkSession, sf: str) -> DataFrame:
     return named.join(counted, "entity_id")
 
 
-@query("j5_orphan_entities", f"WITH {EDGES_SQL} SELECT id, name FROM entities WHERE id NOT IN (SELECT source FROM edges WHERE confidence >= 0.995 UNION SELECT target FROM edges WHERE confidence >= 0.995)")
+@query(
+    "j5_orphan_entities",
+    f"""WITH {LINKED_SQL}, {EDGES_SQL}, spoken AS (SELECT DISTINCT x AS name FROM (SELECT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS x FROM conversations) WHERE x <> ''),
+every AS (SELECT id, name FROM entities UNION ALL SELECT {uuid5("'entity:' || name")}, name FROM spoken)
+SELECT id, name FROM every WHERE id NOT IN (SELECT entity_id FROM mentions) AND id NOT IN (SELECT source FROM edges) AND id NOT IN (SELECT target FROM edges)""",
+)
 def j5(spark: SparkSession, sf: str) -> DataFrame:
-    none = mentions(spark, sf).filter("false")
-    return graph.orphan_entities(base.entity_rows(spark, sf), none, edges(spark, sf).filter("confidence >= 0.995")).select("id", "name")
+    """Traders, goods and the words of conversations as entities: those that no chunk mentions and no edge names."""
+    words = table(spark, sf, "conversations").select(F.explode(F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " ")).alias("name")).filter("name <> ''").distinct()
+    spoken = words.select(ids.uuid5(F.concat(F.lit("entity:"), "name")).alias("id"), "name")
+    return graph.orphan_entities(base.entity_rows(spark, sf).select("id", "name").unionByName(spoken), mentions(spark, sf), edges(spark, sf))
 
 
 @query("j6_scoped_edges", f"WITH {EDGES_SQL}, {SCOPE_SQL} SELECT * FROM edges WHERE source IN (SELECT id FROM scope) AND target IN (SELECT id FROM scope)")
@@ -111,7 +118,6 @@ def j6(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("j7_co_mentions", f"WITH {LINKED_SQL} SELECT DISTINCT a.entity_id AS source, b.entity_id AS target, 0.5::DOUBLE AS weight FROM mentions a JOIN mentions b ON a.chunk_id = b.chunk_id AND a.entity_id < b.entity_id")
 def j7(spark: SparkSession, sf: str) -> DataFrame:
-    """A chunk of 1,000 characters has fewer than 200 names, so every pair is there."""
     return graph.co_mentions(mentions(spark, sf))
 
 
@@ -218,11 +224,16 @@ def q5(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("community_id", told.alias("entities"), linked.alias("relationships")).filter("relationships IS NOT NULL")
 
 
-def nation_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """A page for each nation's suppliers, with community ids."""
-    c = graph.community_context(nation_members(spark, sf), base.entity_rows(spark, sf), edges(spark, sf).filter("false"))
+def nation_contexts(spark: SparkSession, sf: str) -> DataFrame:
+    """The context of each nation's suppliers, with community ids."""
+    c = graph.community_context(nation_members(spark, sf), base.entity_rows(spark, sf), edges(spark, sf))
     key = F.col("community_id").cast("string")
-    own = c.withColumn("level", F.lit(0)).withColumn("community_id", ids.community_id(F.lit("t"), F.lit("p"), F.lit("b1"), F.lit(0), key))
+    return c.withColumn("level", F.lit(0)).withColumn("community_id", ids.community_id(F.lit("t"), F.lit("p"), F.lit("b1"), F.lit(0), key))
+
+
+def nation_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """A page for each nation's suppliers."""
+    own = nation_contexts(spark, sf)
     return adapters.index_pages(adapters.stub_pages(own, F.lit("trade")))
 
 
@@ -236,9 +247,32 @@ def q6(spark: SparkSession, sf: str) -> DataFrame:
     return nation_pages(spark, sf)
 
 
-@query("u4_missing_directories", f"WITH {PAGES_SQL} SELECT DISTINCT unnest(['/', '/wiki', '/wiki/L0']) AS path, unnest([NULL, '/', '/wiki']) AS parent_path, unnest(['', 'wiki', 'L0']) AS name FROM wiki")
+@query(
+    "u4_missing_directories",
+    """WITH p AS (SELECT DISTINCT coalesce(nullif(regexp_replace(regexp_replace('/' || url, '/+', '/', 'g'), '/$', ''), ''), '/') AS path FROM pages),
+s AS (SELECT string_split(substr(path, 2), '/') AS parts FROM p WHERE path <> '/'),
+up AS (SELECT DISTINCT '/' || array_to_string(parts[1:k], '/') AS path FROM (SELECT parts, unnest(range(0, len(parts))) AS k FROM s))
+SELECT path, CASE WHEN path <> '/' THEN coalesce(nullif(regexp_replace(path, '/[^/]*$', ''), ''), '/') END AS parent_path, CASE WHEN path = '/' THEN '' ELSE regexp_extract(path, '[^/]*$') END AS name FROM up""",
+)
 def u4(spark: SparkSession, sf: str) -> DataFrame:
-    return lifecycle.missing_directories(nation_pages(spark, sf).select(F.col("vfs_path").alias("path")))
+    """Pages filed by their urls: every folder above them."""
+    return lifecycle.missing_directories(table(spark, sf, "pages").select(F.col("url").alias("path")))
+
+
+@query(
+    "e3_synthesized_pages",
+    f"""WITH {PAGES_SQL}, named AS (SELECT s_nationkey, list(s_name ORDER BY id) AS names FROM own WHERE n <= 20 GROUP BY 1)
+SELECT {uuid5("'t:p:b1:0:' || s_nationkey")} AS community_id, 'Group of ' || len(names) AS title,
+ '# Group of ' || len(names) || chr(10) || chr(10) || '## Executive Summary' || chr(10) || 'From ' || names[1] || ' on' || chr(10) || chr(10) || '## Key Entities' || chr(10) || array_to_string([('- ' || x) FOR x IN names], chr(10)) AS body_text FROM named""",
+)
+def e3(spark: SparkSession, sf: str) -> DataFrame:
+    """A synthesizer of our own in place of the stub."""
+
+    def told(context: dict) -> dict:
+        names = [e["name"] for e in context["entities"]]
+        return {"title": f" Group of {len(names)}", "executive_summary": f"From {names[0]} on", "key_entities": names, "open_questions": [" "]}
+
+    return adapters.synthesize_pages(nation_contexts(spark, sf), told).select("community_id", "title", "body_text")
 
 
 @query("u2_endpoint_union", f"WITH {EDGES_SQL} SELECT source AS id FROM edges UNION SELECT target FROM edges")
@@ -296,12 +330,10 @@ def q2(spark: SparkSession, sf: str) -> DataFrame:
     return graph.normalised_entities(merged).select("id", "name")
 
 
-@query("e5_cache_misses", f"WITH {CHUNKS_SQL}, h AS (SELECT tenant, project_id, sha256(chunk_id || ' ' || text) AS h FROM chunks), f AS (SELECT tenant, project_id, sha256(string_agg(h, '' ORDER BY h)) AS chunks_sha256 FROM h GROUP BY 1, 2) SELECT tenant, project_id FROM f WHERE tenant <> 'en'")
+@query("e5_cache_misses", f"WITH {CHUNKS_SQL}, f AS (SELECT DISTINCT tenant, project_id FROM chunks) SELECT tenant, project_id FROM f WHERE tenant <> 'en'")
 def e5(spark: SparkSession, sf: str) -> DataFrame:
     """English batches are cached; those of the other tenants have results of another schema."""
     wanted = lifecycle.fingerprints(base.chunks(spark, sf), ["tenant", "project_id"], F.concat_ws(" ", "chunk_id", "text"))
     cache = wanted.withColumn("output_schema", F.when(F.col("tenant") == "en", "graph_v1").otherwise("graph_v0"))
     return lifecycle.cache_misses(wanted, cache, ["tenant", "project_id"], "graph_v1").select("tenant", "project_id")
 
-
-__all__ = ["X"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import ids, splitting, text as X
 from ..operators import ingest, lifecycle
-from ..operators.components import shared_dir
+from ..operators.components import job_dir
 from ..sources import tables
 from . import base
 from .base import CHUNKS_SQL, DOCS_SQL, RAW_SQL, cut_sql, query, strip, table, uuid5
@@ -33,7 +33,7 @@ def s1_known(spark: SparkSession, sf: str) -> DataFrame:
 @query("s2_json_lines", "SELECT conv_id, turn, role, text FROM conversations")
 def s2(spark: SparkSession, sf: str) -> DataFrame:
     own = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
-    path = f"{shared_dir(spark)}/jsonl/{uuid.uuid4().hex}"
+    path = f"{job_dir(spark)}/jsonl/{uuid.uuid4().hex}"
     tables.write_jsonl(own, path)
     return tables.read_jsonl(spark, path, own.schema)
 
@@ -43,6 +43,12 @@ def s3(spark: SparkSession, sf: str) -> DataFrame:
     return tables.batch_manifest(base.docs(spark, sf).withColumn("s3_raw_uri", tables.artifact_key("raw")), "batch-1")
 
 
+@query("s3_batch_meta", f"WITH {DOCS_SQL} SELECT DISTINCT tenant, 'batch-1' AS batch_id, 'batches/' || tenant || '/batch-1/manifest.meta.json' AS key, '{{\"max_parallel\":25}}' AS meta FROM docs")
+def s3_meta(spark: SparkSession, sf: str) -> DataFrame:
+    manifest = tables.batch_manifest(base.docs(spark, sf).withColumn("s3_raw_uri", tables.artifact_key("raw")), "batch-1", 25)
+    return tables.batch_meta(manifest, 25)
+
+
 @query(
     "s4_manifest_validation",
     f"""WITH {RAW_SQL}, m AS (SELECT doc_id, tenant, CASE WHEN filename LIKE '%.xyz' THEN ' ' ELSE project_id END AS project_id, source_id, content_hash, CASE WHEN filename LIKE '%.md' THEN NULL ELSE {RAW_KEY_SQL} END AS s3_raw_uri, filename FROM raw),
@@ -157,10 +163,25 @@ def f5(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.drive_filter(base.raw(spark, sf).withColumn("mime", mime), "docx,.md").select("doc_id", "export_suffix")
 
 
-@query("f6_document_page", f"WITH {DOCS_SQL} SELECT document_id, ingest_state FROM (SELECT * FROM docs WHERE contains(lower({RAW_KEY_SQL}), 'c_1') ORDER BY document_id DESC LIMIT 50 OFFSET 10)")
+LISTED_SQL = f"project_id = {base.PROJECT_SQL} AND source_id = 'src0' AND contains(lower({RAW_KEY_SQL}), 'doc_')"
+
+
+def _listed(spark: SparkSession, sf: str) -> DataFrame:
+    return base.docs(spark, sf).withColumn("s3_raw_uri", tables.artifact_key("raw")).select("document_id", "project_id", "source_id", "ingest_state", "s3_raw_uri")
+
+
+@query("f6_document_page", f"WITH {DOCS_SQL} SELECT document_id, ingest_state FROM (SELECT * FROM docs WHERE {LISTED_SQL} ORDER BY document_id DESC LIMIT 50 OFFSET 3)")
 def f6(spark: SparkSession, sf: str) -> DataFrame:
-    d = base.docs(spark, sf).withColumn("s3_raw_uri", tables.artifact_key("raw")).select("document_id", "ingest_state", "s3_raw_uri")
-    return lifecycle.list_documents(d, contains="C_1", limit=50, offset=10).select("document_id", "ingest_state")
+    """A page of the documents of a project and source whose address has a text."""
+    return lifecycle.list_documents(_listed(spark, sf), base.project(), "src0", contains="DOC_", limit=50, offset=3).select("document_id", "ingest_state")
+
+
+@query("f7_filtered_count", f"WITH {DOCS_SQL} SELECT 'listed' AS kind, count(*) AS n FROM docs WHERE {LISTED_SQL} UNION ALL SELECT 'pending', count(*) FROM docs WHERE project_id = {base.PROJECT_SQL} AND ingest_state = 'pending'")
+def f7_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts under the listing's filters."""
+    d = _listed(spark, sf)
+    listed = lifecycle.count_documents(d, base.project(), "src0", contains="DOC_").select(F.lit("listed").alias("kind"), "n")
+    return listed.unionByName(lifecycle.count_documents(d, base.project(), state="pending").select(F.lit("pending").alias("kind"), "n"))
 
 
 @query("f7_document_counts", f"WITH {DOCS_SQL} SELECT source_id, ingest_state, count(*) AS n FROM docs GROUP BY ALL")
@@ -281,9 +302,9 @@ def c7(spark: SparkSession, sf: str) -> DataFrame:
     return base.chunks(spark, sf).select("tenant", "project_id", "document_id", "chunk_index", "text", "text_hash", "chunk_id")
 
 
-@query("c8_cut_long", f"WITH RECURSIVE src AS (SELECT doc_id, text AS p FROM documents WHERE length(text) > 0), {cut_sql('src', 'doc_id', 700)} SELECT doc_id, count(*) AS n_pieces, max(length(piece)) AS longest, sha256(string_agg(piece, '|' ORDER BY n)) AS digest FROM pieces GROUP BY 1")
+@query("c8_cut_long", f"WITH RECURSIVE src AS (SELECT doc_id, text AS p FROM documents), {cut_sql('src', 'doc_id', 700)} SELECT doc_id, count(*) AS n_pieces, max(length(piece)) AS longest, sha256(string_agg(piece, '|' ORDER BY n)) AS digest FROM pieces GROUP BY 1")
 def c8(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents").filter("length(text) > 0").select("doc_id", splitting.cut_long("text", 700).alias("p"))
+    d = table(spark, sf, "documents").select("doc_id", splitting.cut_long("text", 700).alias("p"))
     own = d.withColumn("p", F.filter(F.transform("p", X.strip), lambda x: x != "")).filter(F.size("p") > 0)
     return own.select("doc_id", F.size("p").cast("long").alias("n_pieces"), F.array_max(F.transform("p", lambda x: F.char_length(x))).cast("long").alias("longest"), F.sha2(F.array_join("p", "|"), 256).alias("digest"))
 

@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import ids, splitting, text as X
-from ..operators import lifecycle
-from ..operators.components import cut, shared_dir
+from ..operators import graph, lifecycle
+from ..operators.components import cut, job_dir
 from ..sources import tables
 from ..streaming import jobs
 from . import base
-from .base import CHUNKS_SQL, DOCS_SQL, LINKED_SQL, RAW_SQL, query, strip, table, uuid5
+from .base import CHUNKS_SQL, DOCS_SQL, LINKED_SQL, PROJECT_SQL, RAW_SQL, project, query, strip, table, uuid5
 from .graph_queries import mentions
 from .ingest_queries import RAW_KEY_SQL
 
@@ -59,13 +59,6 @@ def u3(spark: SparkSession, sf: str) -> DataFrame:
     return lifecycle.reconcile(c, c.filter("tenant = 'en'")).select(F.col("chunk_id").alias("text_hash"))
 
 
-PROJECT_SQL = uuid5("'project:en:src0'")
-
-
-def project():
-    return ids.uuid5(F.lit("project:en:src0"))
-
-
 @query("j4_orphan_raw", f"WITH {DOCS_SQL} SELECT {RAW_KEY_SQL} AS key FROM raw WHERE project_id = {PROJECT_SQL} AND content_hash NOT IN (SELECT content_hash FROM docs WHERE ingest_state NOT IN ('purged', 'pending') AND project_id = {PROJECT_SQL})")
 def j4(spark: SparkSession, sf: str) -> DataFrame:
     """Raw keys of a project whose documents, purged or not yet registered, have no row."""
@@ -104,6 +97,58 @@ def l1(spark: SparkSession, sf: str) -> DataFrame:
     return one.unionByName(left.agg(F.count(F.lit(1)).alias("kept")).join(total).select(F.lit("mention").alias("kind"), "n", "kept"))
 
 
+@query(
+    "l1_compensation_audit",
+    f"""WITH {LINKED_SQL}, {WANTED_SQL}, e AS (SELECT chunk_id, count(*) AS m FROM mentions GROUP BY 1)
+SELECT w.document_id, 'compensation' AS action, count(c.chunk_id) AS chunk_count, count(c.chunk_id) FILTER (c.chunk_index % 2 = 0) AS embeddings_cleared, coalesce(sum(m), 0)::BIGINT AS mentions_deleted
+FROM wanted w LEFT JOIN chunks c ON w.document_id = c.document_id LEFT JOIN e ON c.chunk_id = e.chunk_id GROUP BY 1""",
+)
+def l1_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Every other chunk has an embedding to clear."""
+    c = base.chunks(spark, sf).withColumn("embedding", F.when(F.col("chunk_index") % 2 == 0, 1.0))
+    return lifecycle.compensation_audit(c, mentions(spark, sf).select("chunk_id", "entity_id"), wanted(spark, sf))
+
+
+@query(
+    "l1_pruned_entities",
+    f"""WITH {LINKED_SQL}, {WANTED_SQL}, kept AS (SELECT entity_id FROM mentions WHERE chunk_id NOT IN (SELECT chunk_id FROM chunks WHERE document_id IN (SELECT document_id FROM wanted)))
+SELECT DISTINCT entity_id AS id, name FROM mentions WHERE entity_id NOT IN (SELECT entity_id FROM kept)""",
+)
+def l1_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """Entities that only compensated documents mention: orphans once their mentions are gone, as no edge names them."""
+    m = cut(mentions(spark, sf))
+    c = base.chunks(spark, sf).withColumn("embedding", F.lit(1.0))
+    _, left = lifecycle.compensate(c, m.select("chunk_id", "entity_id"), wanted(spark, sf))
+    _, named, _ = graph.mention_tables(m)
+    none = left.select(F.col("entity_id").alias("source"), F.col("entity_id").alias("target")).filter("source <> target")
+    return graph.orphan_entities(named.withColumnRenamed("entity_id", "id"), left, none).select("id", "name")
+
+
+@query(
+    "l2_purge_project",
+    f"WITH {DOCS_SQL}, w AS (SELECT document_id FROM docs WHERE project_id = {PROJECT_SQL} AND ingest_state NOT IN ('purged', 'purging')) SELECT document_id, CASE WHEN document_id IN (SELECT document_id FROM w) THEN 'purged' ELSE ingest_state END AS ingest_state FROM docs",
+)
+def l2_project(spark: SparkSession, sf: str) -> DataFrame:
+    d = base.docs(spark, sf)
+    none = d.filter("false").select(*lifecycle.CONTENT, "document_id", F.lit("").alias("reason"))
+    after, _, _ = lifecycle.purge(d, none, lifecycle.wanted_of(d, project()), "project_purge")
+    return after.select("document_id", "ingest_state")
+
+
+@query(
+    "l2_stale_marks",
+    f"""WITH {DOCS_SQL}, {WANTED_SQL}, s AS (SELECT DISTINCT tenant, project_id, 'c1' AS community_id FROM docs WHERE tenant = 'en')
+SELECT * FROM s UNION ALL SELECT tenant, project_id, min(document_id) FROM docs WHERE ingest_state <> 'purged' AND document_id IN (SELECT document_id FROM wanted) AND (tenant, project_id) NOT IN (SELECT (tenant, project_id) FROM s) GROUP BY 1, 2""",
+)
+def l2_stale(spark: SparkSession, sf: str) -> DataFrame:
+    """English projects have a stale community already; the others that lose documents get a mark each."""
+    d = cut(base.docs(spark, sf))
+    none = d.filter("false").select(*lifecycle.CONTENT, "document_id", F.lit("").alias("reason"))
+    _, _, audit = lifecycle.purge(d, none, wanted(spark, sf), "quality")
+    stale = d.filter("tenant = 'en'").select("tenant", "project_id", F.lit("c1").alias("community_id")).distinct()
+    return lifecycle.mark_stale(stale, audit)
+
+
 @query("l2_purge", f"WITH {DOCS_SQL}, {WANTED_SQL} SELECT document_id, CASE WHEN document_id IN (SELECT document_id FROM wanted) THEN 'purged' ELSE ingest_state END AS ingest_state, document_id IN (SELECT document_id FROM wanted) AND ingest_state <> 'purged' AS audited FROM docs")
 def l2(spark: SparkSession, sf: str) -> DataFrame:
     d = base.docs(spark, sf)
@@ -181,9 +226,12 @@ def w4(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("document_id", (F.col("k") + 1).cast("long").alias("pos"), ids.text_hash(F.coalesce(F.last(short, ignorenulls=True).over(w), F.lit(""))).alias("heading"))
 
 
-@query("k5_newest_tombstones", "SELECT c_custkey AS id FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 50")
+@query("k5_newest_tombstones", f"WITH {RAW_SQL}, t AS (SELECT tenant, project_id, content_hash, max(doc_id) AS deleted_at FROM raw JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY ALL) SELECT content_hash, deleted_at FROM t ORDER BY deleted_at DESC, tenant, project_id, content_hash LIMIT 50")
 def k5(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").orderBy(F.desc("c_acctbal"), "c_custkey").limit(50).select(F.col("c_custkey").alias("id"))
+    """Tombstones of toxic content, in order of the last document that had it."""
+    toxic = table(spark, sf, "labels").filter("toxic = 1").select("doc_id").distinct()
+    graves = base.raw(spark, sf).join(toxic, "doc_id", "left_semi").groupBy(*lifecycle.CONTENT).agg(F.max("doc_id").alias("deleted_at"))
+    return lifecycle.newest(graves, "deleted_at", lifecycle.CONTENT, 50).select("content_hash", "deleted_at")
 
 
 @query("l6_run_log", "SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'Failed' WHEN l.l_orderkey IS NOT NULL THEN 'Succeeded' ELSE 'Running' END AS status, o_custkey AS batch FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R') l ON o_orderkey = l_orderkey")
@@ -204,7 +252,7 @@ def l6_active(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fresh(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    return f"{job_dir(spark)}/streams/{uuid.uuid4().hex}"
 
 
 @query("t1_incremental_ingest", f"WITH {RAW_SQL}, {DEAD_SQL}, k AS (SELECT tenant, project_id, source_id, content_hash, min(filename) AS filename FROM raw GROUP BY ALL) SELECT {base.doc_id()} AS document_id, filename FROM k ANTI JOIN dead USING (tenant, project_id, content_hash)")
@@ -228,12 +276,11 @@ def _changes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("t2_change_feed", f"WITH {CHANGES_SQL} SELECT remote_id, seq, value FROM (SELECT *, row_number() OVER (PARTITION BY remote_id ORDER BY seq DESC) AS n FROM changes) WHERE n = 1 AND op <> 'delete'")
 def t2(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as a feed of upserts and deletes, in two files in order, a batch each."""
+    """Events as a feed of upserts and deletes in two batches; the second has older changes among the newer ones, which must not undo them."""
     root = _fresh(spark)
     own = _changes(spark, sf)
-    half = own.agg(F.percentile_approx("seq", 0.5).alias("h"))
-    for k, side in enumerate(("seq <= h", "seq > h")):
-        own.join(half).filter(side).drop("h").write.parquet(f"{root}/in/part={k}")
+    for k in range(2):
+        own.filter(F.pmod(F.xxhash64("seq"), F.lit(2)) == k).write.parquet(f"{root}/in/part={k}")
         stream = spark.readStream.schema(own.schema).parquet(f"{root}/in/part=*")
         jobs.apply_changes(stream, f"{root}/out", f"{root}/at")
     return jobs.newest_version(spark, f"{root}/out").select("remote_id", "seq", "value")
@@ -360,11 +407,17 @@ def x16(spark: SparkSession, sf: str) -> DataFrame:
     return own.select(F.col("id").cast("long").alias("id"), *search.entity_hit()).drop("kind")
 
 
-@query("x17_halves", f"SELECT doc_id, length({strip("coalesce(text, '')")}) >= length(coalesce(text, '')) - 4 AS whole FROM documents")
+HALVES_SQL = f"""t AS (SELECT doc_id, {strip("coalesce(text, '')")} AS t FROM documents),
+j AS (SELECT *, length(t) // 2 AS middle, CASE WHEN contains(t, chr(10) || chr(10)) THEN chr(10) || chr(10) WHEN contains(t, chr(10)) THEN chr(10) END AS joint FROM t),
+p AS (SELECT doc_id, middle, length(joint) AS gap, unnest(string_split(t, joint)) AS part, generate_subscripts(string_split(t, joint), 1) AS k, len(string_split(t, joint)) AS n FROM j WHERE joint IS NOT NULL),
+e AS (SELECT doc_id, middle, k, n, sum(length(part) + gap) OVER (PARTITION BY doc_id ORDER BY k) AS stop FROM p),
+cut_at AS (SELECT doc_id, arg_min(stop, (abs(stop - middle), stop)) AS at_ FROM e WHERE k < n GROUP BY 1)"""
+
+
+@query(
+    "x17_halves",
+    f"WITH {HALVES_SQL}, h AS (SELECT doc_id, t, coalesce(at_, middle)::BIGINT AS c FROM j LEFT JOIN cut_at USING (doc_id)) SELECT doc_id, sha256({strip('substr(t, 1, c)')}) AS left_half, sha256({strip('substr(t, c + 1)')}) AS right_half FROM h",
+)
 def x17(spark: SparkSession, sf: str) -> DataFrame:
-    """Both halves hold all of the text but white space."""
-    t = F.coalesce("text", F.lit(""))
-    flat = lambda x: F.regexp_replace(x, r"(?U)\s", "")
-    d = table(spark, sf, "documents").select("doc_id", t.alias("t"), splitting.halves_column("text").alias("h"))
-    same = flat(F.concat(F.get("h", F.lit(0)), F.get("h", F.lit(1)))) == flat("t")
-    return d.select("doc_id", same.alias("whole"))
+    h = table(spark, sf, "documents").select("doc_id", splitting.halves_column("text").alias("h"))
+    return h.select("doc_id", ids.text_hash(F.get("h", F.lit(0))).alias("left_half"), ids.text_hash(F.get("h", F.lit(1))).alias("right_half"))

@@ -19,9 +19,9 @@ HIT = ["query_id", "rank", "id", "rrf_score", *PAYLOAD]
 Vectors = tuple[DataFrame, DataFrame] | None
 
 
-def _channels(queries: DataFrame, texts: DataFrame, vectors: Vectors, top: int) -> DataFrame:
+def _channels(queries: DataFrame, texts: DataFrame, vectors: Vectors, top: int, index: DataFrame | None = None) -> DataFrame:
     """Full text and, where there are vectors, nearest neighbours, fused."""
-    lists = search.channel(search.full_text(queries, texts), 0)
+    lists = search.channel(search.full_text(queries, texts, index=index), 0)
     if vectors is not None:
         lists = lists.unionByName(search.channel(search.vector_top(*vectors), 1))
     return search.fuse(lists, top_n=top)
@@ -31,9 +31,9 @@ def _as_list(hits: DataFrame, number: int) -> DataFrame:
     return hits.select("query_id", "id", "rank", F.lit(number).alias("channel"), *PAYLOAD)
 
 
-def basic_search(queries: DataFrame, texts: DataFrame, vectors: Vectors = None, top_k: int = search.TOP_K) -> DataFrame:
-    """Chunks by both channels."""
-    found = _channels(queries, texts.select("id", "text"), vectors, top_k)
+def basic_search(queries: DataFrame, texts: DataFrame, vectors: Vectors = None, top_k: int = search.TOP_K, index: DataFrame | None = None) -> DataFrame:
+    """Chunks by both channels; ``index`` holds the chunks' ``search.postings`` where they are written."""
+    found = _channels(queries, texts.select("id", "text"), vectors, top_k, index)
     return found.join(texts, "id").select("query_id", "rank", "id", "rrf_score", *search.chunk_hit()).select(HIT)
 
 
@@ -57,7 +57,7 @@ def attach(hits: DataFrame, contexts: DataFrame, first: int = 2) -> DataFrame:
     return own.withColumn("context", F.when(F.col("rank") <= first, F.col("context")))
 
 
-def local_search(queries: DataFrame, entities: DataFrame, edges: DataFrame, texts: DataFrame, mentions: DataFrame | None = None, vectors: Vectors = None, chunk_vectors: Vectors = None, top_k: int = search.TOP_K) -> DataFrame:
+def local_search(queries: DataFrame, entities: DataFrame, edges: DataFrame, texts: DataFrame, mentions: DataFrame | None = None, vectors: Vectors = None, chunk_vectors: Vectors = None, top_k: int = search.TOP_K, index: DataFrame | None = None) -> DataFrame:
     """Entities, the chunks that mention them and basic hits, fused; then up to three relationships while there is room.
 
     Chunks of the seed entities come in order of id and carry the query's seeds.
@@ -71,7 +71,7 @@ def local_search(queries: DataFrame, entities: DataFrame, edges: DataFrame, text
         w = Window.partitionBy("query_id").orderBy("id")
         first = linked.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= search.CHANNEL_LIMIT).join(who, "query_id").join(texts, "id")
         lists = lists.unionByName(_as_list(first.select("query_id", "rank", "id", *search.chunk_hit(entity_ids=F.transform("s", lambda x: x["id"]))), 1))
-    lists = lists.unionByName(_as_list(basic_search(queries, texts, chunk_vectors, search.CHANNEL_LIMIT), 2))
+    lists = lists.unionByName(_as_list(basic_search(queries, texts, chunk_vectors, search.CHANNEL_LIMIT, index), 2))
     merged = cut(search.fuse(lists, top_n=top_k, payload=PAYLOAD))
     rels, _ = graph.neighbourhood(edges, seeds.select("query_id", "rank", "id"))
     have = merged.groupBy("query_id").agg(F.count(F.lit(1)).alias("have"))
@@ -80,18 +80,21 @@ def local_search(queries: DataFrame, entities: DataFrame, edges: DataFrame, text
     return merged.select(HIT).unionByName(more.select(HIT))
 
 
-def drift_search(queries: DataFrame, primer: DataFrame, follow_up, top_k: int = search.TOP_K, follow_ups: int = 3) -> DataFrame:
-    """The first three primer hits and each of up to ``follow_ups`` sub-queries' hits, fused.
+def drift_search(queries: DataFrame, primer: DataFrame, follow_up, basic=None, top_k: int = search.TOP_K, follow_ups: int = 3, depth: int = 2) -> DataFrame:
+    """The first three primer hits and, of each of up to ``follow_ups`` sub-queries, the hits of a local and from depth 2 on of a basic search, fused in this order.
 
     ``queries`` has ``query_id, query, sub_queries``; without a sub-query the query itself is one. ``follow_up``
-    is a function from a table of queries to hits, such as a local search; it is called once for all of them.
+    and ``basic`` are functions from a table of queries to hits; each is called once for all of them.
     """
     subs = F.filter(F.transform(F.coalesce("sub_queries", F.array().cast("array<string>")), X.strip), lambda s: s != "")
     subs = F.slice(F.when(F.size(subs) > 0, subs).otherwise(F.array("query")), 1, follow_ups)
     asked = cut(queries.select(F.col("query_id").alias("of"), F.posexplode(subs).alias("k", "query")).withColumn("query_id", F.concat_ws("/", "of", "k")))
-    hits = follow_up(asked.select("query_id", "query")).join(asked.select("query_id", "of", "k"), "query_id")
-    lists = hits.select(F.col("of").alias("query_id"), "id", "rank", (F.col("k") + 1).alias("channel"), *PAYLOAD)
-    return search.fuse(_as_list(primer.filter("rank <= 3"), 0).unionByName(lists), top_n=top_k, payload=PAYLOAD).select(HIT)
+    lists = _as_list(primer.filter("rank <= 3"), 0)
+    for at, run in ((1, follow_up), (2, basic if depth > 1 else None)):
+        if run is not None:
+            hits = run(asked.select("query_id", "query")).join(asked.select("query_id", "of", "k"), "query_id")
+            lists = lists.unionByName(hits.select(F.col("of").alias("query_id"), "id", "rank", (2 * F.col("k") + at).alias("channel"), *PAYLOAD))
+    return search.fuse(lists, top_n=top_k, payload=PAYLOAD).select(HIT)
 
 
 def unified_search(queries: DataFrame, modes: dict) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import ids, text as X
 from ..operators import adapters, search
@@ -10,7 +10,7 @@ from ..operators.components import cut
 from . import base
 from .base import CHUNKS_SQL, EDGES_SQL, query, table, uuid5
 from .graph_queries import PAGES_SQL, edges, mentions, nation_pages
-from .retrieval import attach, basic_search, drift_search, global_search, local_search, unified_search, with_stale
+from .retrieval import attach, basic_search, drift_search, global_search, local_search, unified_search
 
 #: Queries: for each benchmark item two of its words, the first and the longest in order of the alphabet.
 WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
@@ -124,8 +124,6 @@ EVENT_LISTS_SQL = "lists AS (SELECT user_id AS query_id, CASE event_type WHEN 'v
 @query("u1_rank_fusion", f"WITH {EVENT_LISTS_SQL}, {fused_sql('lists')} SELECT query_id, id, round(rrf_score, 9) AS rrf_score, rank FROM fused")
 def u1(spark: SparkSession, sf: str) -> DataFrame:
     """Users as queries, their events as hits of three channels, events in threes as ids, so that ids repeat."""
-    from pyspark.sql import Window
-
     e = table(spark, sf, "events").withColumn("channel", F.when(F.col("event_type") == "view", 0).when(F.col("event_type") == "click", 1).otherwise(2))
     w = Window.partitionBy("user_id", "channel").orderBy(F.desc("value"), "event_id")
     lists = e.select(F.col("user_id").alias("query_id"), "channel", F.row_number().over(w).alias("rank"), F.floor(F.col("event_id") / 3).cast("string").alias("id"))
@@ -135,11 +133,6 @@ def u1(spark: SparkSession, sf: str) -> DataFrame:
 # ---- modes ------------------------------------------------------------------------------------------
 
 
-def _embedded(df: DataFrame, key: str, text: str) -> DataFrame:
-    e = adapters.embed_texts(df, key, text, adapters.hashing_embedder())
-    return e.select(F.col(key).alias("id"), F.lit(None).cast("string").alias("scope"), F.col("embedding").alias("vector"))
-
-
 @query(
     "q7_basic_search",
     f"WITH {CHUNKS_SQL}, {OCCURS_SQL}, {QUERIES_SQL}, {TWO_SQL}, lists AS (SELECT query_id, 0 AS channel, rank, id FROM fts WHERE rank <= 20), {fused_sql('lists')} SELECT query_id, id, round(rrf_score, 9) AS rrf_score, rank FROM fused",
@@ -149,52 +142,112 @@ def q7(spark: SparkSession, sf: str) -> DataFrame:
     return basic_search(asked(spark, sf), cut(chunk_texts(spark, sf))).select("query_id", "id", F.round("rrf_score", 9).alias("rrf_score"), "rank")
 
 
-@query("q7_hybrid_search")
-def q7_hybrid(spark: SparkSession, sf: str) -> DataFrame:
-    """Both channels, with the offline embedder; hits carry their text and provenance."""
-    texts = cut(chunk_texts(spark, sf))
-    q = asked(spark, sf)
-    vq = _embedded(q, "query_id", "query").withColumnRenamed("id", "query_id")
-    return basic_search(q, texts, (vq, _embedded(texts, "id", "text"))).withColumn("rrf_score", F.round("rrf_score", 9))
+def near_sql(asked: str, items: str) -> str:
+    """``near_``: the 20 nearest of ``items`` (id, v) to each of ``asked`` (query_id, v), by cosine."""
+    return f"""near_ AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank
+ FROM (SELECT a.query_id, i.id, list_cosine_similarity(i.v, a.v) AS score FROM {asked} a, {items} i) WHERE score IS NOT NULL QUALIFY rank <= 20)"""
 
 
-PAGE_QUERY_SQL = "pq AS (SELECT DISTINCT s_nationkey AS query_id FROM supplier)"
+VECTORS_SQL = "v AS (SELECT vec_id, embedding::DOUBLE[] AS v, (SELECT count(*) FROM embeddings) AS n FROM embeddings)"
 
 
-def wiki_texts(spark: SparkSession, sf: str) -> DataFrame:
-    return nation_pages(spark, sf)
+def _picked(spark: SparkSession, sf: str, rows: DataFrame, key: str, number) -> DataFrame:
+    """Rows with a vector of the given table each, by number: ``key, scope, vector``."""
+    e = table(spark, sf, "embeddings")
+    own = rows.select(key, F.pmod(number, F.lit(e.count())).alias("vec_id"))
+    return own.join(e.select("vec_id", F.col("embedding").alias("vector")), "vec_id").select(key, F.lit(None).cast("string").alias("scope"), "vector")
+
+
+@query(
+    "q7_hybrid_search",
+    f"""WITH {CHUNKS_SQL}, {OCCURS_SQL}, {QUERIES_SQL}, {TWO_SQL}, {VECTORS_SQL},
+av AS (SELECT item_id AS query_id, v FROM benchmark JOIN v ON vec_id = item_id % n), cv AS (SELECT chunk_id AS id, v FROM chunks JOIN v ON vec_id = ('0x' || substr(chunk_id, 1, 6))::BIGINT % n),
+{near_sql('av', 'cv')}, lists AS (SELECT query_id, 0 AS channel, rank, id FROM fts WHERE rank <= 20 UNION ALL SELECT query_id, 1, rank, id FROM near_),
+{fused_sql('lists')} SELECT query_id, f.id, round(rrf_score, 9) AS rrf_score, rank, sha256(text) AS text_hash FROM fused f JOIN chunks ON chunk_id = f.id""",
+)
+def q7_hybrid(spark: SparkSession, sf: str) -> DataFrame:
+    """Both channels, with vectors of the given table dealt to queries and chunks; hits carry their text."""
+    texts = cut(chunk_texts(spark, sf))
+    vq = _picked(spark, sf, asked(spark, sf), "query_id", F.col("query_id"))
+    vc = _picked(spark, sf, texts, "id", F.conv(F.substring("id", 1, 6), 16, 10).cast("long"))
+    hits = basic_search(asked(spark, sf), texts, (vq, vc))
+    return hits.select("query_id", "id", F.round("rrf_score", 9).alias("rrf_score"), "rank", ids.text_hash("text").alias("text_hash"))
 
 
 @query(
     "q8_global_search",
-    f"""WITH {PAGES_SQL}, names AS (SELECT s_suppkey AS query_id, {WORDS.replace('lower(text)', 'lower(s_name)')} AS w FROM supplier),
+    f"""WITH {PAGES_SQL}, {VECTORS_SQL}, names AS (SELECT s_suppkey AS query_id, {WORDS.replace('lower(text)', 'lower(s_name)')} AS w FROM supplier),
 terms AS (SELECT DISTINCT query_id, unnest(w) AS term FROM names), asked_ AS (SELECT query_id, count(*) AS n FROM terms GROUP BY 1),
-words AS (SELECT slug, unnest({WORDS.replace('lower(text)', "lower(title || chr(10) || body_text)")}) AS term FROM wiki), hit AS (SELECT query_id, slug, count(DISTINCT term) AS n FROM terms JOIN words USING (term) GROUP BY 1, 2)
-SELECT query_id, slug AS id, community_id, community_id > '8' AS stale FROM hit JOIN asked_ USING (query_id, n) JOIN wiki USING (slug)""",
+words AS (SELECT slug, unnest({WORDS.replace('lower(text)', "lower(title || chr(10) || body_text)")}) AS term FROM wiki), hit AS (SELECT query_id, slug, count(DISTINCT term) AS n FROM terms JOIN words USING (term) GROUP BY 1, 2),
+text_ AS (SELECT query_id, slug AS id, row_number() OVER (PARTITION BY query_id ORDER BY slug) AS rank FROM hit JOIN asked_ USING (query_id, n)),
+av AS (SELECT s_suppkey AS query_id, v FROM supplier JOIN v ON vec_id = s_suppkey % n), iv AS (SELECT slug AS id, v FROM wiki JOIN v ON vec_id = ('0x' || substr(community_id, 1, 6))::BIGINT % n),
+{near_sql('av', 'iv')}, lists AS (SELECT query_id, 0 AS channel, rank, id FROM text_ UNION ALL SELECT query_id, 1, rank, id FROM near_), {fused_sql('lists')}
+SELECT query_id, id, rank, round(rrf_score, 9) AS rrf_score, community_id > '8' AS stale, CASE WHEN rank <= 2 THEN body_text END AS context FROM fused JOIN wiki ON slug = id""",
 )
 def q8(spark: SparkSession, sf: str) -> DataFrame:
-    """Every supplier's name as a query for the page that lists it, with the stale flag of its community."""
-    pages = cut(wiki_texts(spark, sf))
+    """Every supplier's name as a query for pages, by text and by vectors over pages, with the stale flag and, on the first two hits, the community's context."""
+    pages = cut(nation_pages(spark, sf))
     q = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("query_id"), F.col("s_name").alias("query"))
-    found = search.full_text(q, pages.select(F.col("slug").alias("id"), F.col("search_text").alias("text")))
-    merged = search.fuse(search.channel(found, 0))
+    vq = _picked(spark, sf, q, "query_id", F.col("query_id"))
+    vp = _paged(spark, sf, pages)
     stale = pages.select("community_id").filter("community_id > '8'").withColumn("stale", F.lit(True))
-    return with_stale(merged.join(pages.select(F.col("slug").alias("id"), "community_id"), "id"), stale).select("query_id", "id", "community_id", "stale")
+    hits = global_search(q, pages, stale, (vq, vp), contexts=pages.select("community_id", F.col("body_text").alias("context")))
+    flag = F.coalesce(F.get_json_object("provenance", "$.stale") == "true", F.lit(False))
+    return hits.select("query_id", "id", "rank", F.round("rrf_score", 9).alias("rrf_score"), flag.alias("stale"), "context")
 
 
-@query("j15_attached_contexts", f"WITH {PAGES_SQL}, hits AS (SELECT s_suppkey AS query_id, community_id, title, row_number() OVER (PARTITION BY s_suppkey ORDER BY community_id) AS rank FROM supplier, wiki) SELECT query_id, rank, community_id, CASE WHEN rank <= 2 THEN title END AS context FROM hits WHERE rank <= 5")
-def j15(spark: SparkSession, sf: str) -> DataFrame:
-    """Contexts go to the first two hits of a query only."""
-    from pyspark.sql import Window
+def _paged(spark: SparkSession, sf: str, pages: DataFrame) -> DataFrame:
+    """Vectors of pages, by their communities."""
+    e = table(spark, sf, "embeddings")
+    at = F.pmod(F.conv(F.substring("community_id", 1, 6), 16, 10).cast("long"), F.lit(e.count()))
+    own = pages.select(F.col("slug").alias("id"), at.alias("vec_id"))
+    return own.join(e.select("vec_id", F.col("embedding").alias("vector")), "vec_id").select("id", F.lit(None).cast("string").alias("scope"), "vector")
 
-    pages = wiki_texts(spark, sf).select("community_id", "title")
-    first = cut(pages.withColumn("rank", F.row_number().over(Window.orderBy("community_id"))).filter("rank <= 5"))
-    hits = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("query_id"), F.explode(F.sequence(F.lit(1), F.lit(5))).alias("rank")).join(first, "rank")
-    return attach(hits, pages.withColumnRenamed("title", "context")).select("query_id", "rank", "community_id", "context")
+
+@query(
+    "k4_page_vectors",
+    f"""WITH {PAGES_SQL}, {VECTORS_SQL}, av AS (SELECT vec_id AS query_id, v FROM v WHERE vec_id % 100 = 0), iv AS (SELECT slug AS id, v FROM wiki JOIN v ON vec_id = ('0x' || substr(community_id, 1, 6))::BIGINT % n), {near_sql('av', 'iv')} SELECT query_id, id, rank FROM near_""",
+)
+def k4_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return search.vector_top(vector_queries(spark, sf), _paged(spark, sf, nation_pages(spark, sf))).select("query_id", "id", "rank")
+
+
+@query(
+    "k4_entity_vectors",
+    f"""WITH {EDGES_SQL}, {VECTORS_SQL}, av AS (SELECT vec_id AS query_id, v FROM v WHERE vec_id % 100 = 0), iv AS (SELECT id, v FROM entities JOIN v ON vec_id = ('0x' || substr(id, 1, 6))::BIGINT % n), {near_sql('av', 'iv')} SELECT query_id, id, rank FROM near_""",
+)
+def k4_entities(spark: SparkSession, sf: str) -> DataFrame:
+    vectors_ = _picked(spark, sf, base.entity_rows(spark, sf), "id", F.conv(F.substring("id", 1, 6), 16, 10).cast("long"))
+    return search.vector_top(vector_queries(spark, sf), vectors_).select("query_id", "id", "rank")
+
+
+@query(
+    "j15_attached_contexts",
+    f"""WITH {PAGES_SQL}, hits AS (SELECT s_suppkey AS query_id, community_id, title || ' ' || slug AS told, row_number() OVER (PARTITION BY s_suppkey ORDER BY community_id) AS rank
+ FROM supplier JOIN nation a ON s_nationkey = a.n_nationkey JOIN nation b ON a.n_regionkey = b.n_regionkey JOIN wiki ON community_id = {uuid5("'t:p:b1:0:' || b.n_nationkey")})
+SELECT query_id, rank, community_id, CASE WHEN rank <= 2 THEN told END AS context FROM hits""",
+)
+def j15(spark: SparkSession, sf: str) -> DataFrame:
+    """A supplier's hits are the pages of the nations of its region, in order; contexts go to the first two only."""
+    pages = cut(nation_pages(spark, sf).select("community_id", F.concat_ws(" ", "title", "slug").alias("context")))
+    s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    home = s.join(n, s["s_nationkey"] == n["n_nationkey"]).select(F.col("s_suppkey").alias("query_id"), F.col("n_regionkey").alias("region"))
+    near = n.select(F.col("n_regionkey").alias("region"), ids.community_id(F.lit("t"), F.lit("p"), F.lit("b1"), F.lit(0), F.col("n_nationkey").cast("string")).alias("community_id"))
+    hits = home.join(near, "region").join(pages.select("community_id"), "community_id")
+    ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("community_id")))
+    return attach(ranked, pages).select("query_id", "rank", "community_id", "context")
+
+
+def _searches(spark: SparkSession, sf: str, top_k: int = search.TOP_K):
+    """Local search over the trade graph, the chunks and their mentions, and basic search over the chunks. The chunks' postings are written once for both."""
+    entities, links, texts = cut(base.entity_rows(spark, sf)), cut(edges(spark, sf)), cut(chunk_texts(spark, sf))
+    index = cut(search.postings(texts))
+    named = cut(mentions(spark, sf).select("chunk_id", "entity_id"))
+    return lambda q: local_search(q, entities, links, texts, named, top_k=top_k, index=index), lambda q: basic_search(q, texts, top_k=top_k, index=index)
 
 
 def _local(spark: SparkSession, sf: str, top_k: int = search.TOP_K):
-    """Local search over the trade graph, the chunks and their mentions."""
+    """Local search for one table of queries: nothing is written for later ones."""
     entities, links, texts = cut(base.entity_rows(spark, sf)), cut(edges(spark, sf)), cut(chunk_texts(spark, sf))
     named = cut(mentions(spark, sf).select("chunk_id", "entity_id"))
     return lambda q: local_search(q, entities, links, texts, named, top_k=top_k)
@@ -216,13 +269,25 @@ def q9(spark: SparkSession, sf: str) -> DataFrame:
     return _local(spark, sf)(entity_queries(spark, sf)).select("query_id", "rank", "id")
 
 
-@query("q10_drift_search")
+@query(
+    "q10_drift_search",
+    f"""WITH {CHUNKS_SQL}, {EDGES_SQL}, {OCCURS_SQL}, {PAGES_SQL}, subs AS (SELECT s_nationkey AS of_, s_name, {uuid5("'entity:supplier:' || s_suppkey")} AS id, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_name) - 1 AS k FROM supplier QUALIFY k < 3),
+primer AS (SELECT of_, slug AS id FROM subs JOIN wiki ON k = 0 AND contains(body_text, s_name)),
+rel AS (SELECT DISTINCT of_, k, type, source, target FROM subs JOIN edges ON id = source OR id = target),
+near3 AS (SELECT of_, k, source || '->' || target AS id, row_number() OVER (PARTITION BY of_, k ORDER BY type, source, target) AS n FROM rel QUALIFY n <= 3),
+words_ AS (SELECT of_, k, unnest({WORDS.replace('lower(text)', 'lower(s_name)')}) AS term FROM subs),
+both_ AS (SELECT of_, k, o.id, count(DISTINCT o.term) AS n FROM words_ w JOIN occurs o ON o.term = w.term GROUP BY 1, 2, 3),
+basic_ AS (SELECT of_, k, id, row_number() OVER (PARTITION BY of_, k ORDER BY id) AS rank FROM both_ WHERE n = 2),
+lists AS (SELECT of_ AS query_id, 0 AS channel, 1 AS rank, id FROM primer UNION ALL SELECT of_, 2 * k + 1, 1, id FROM subs UNION ALL SELECT of_, 2 * k + 1, 1 + n, id FROM near3 UNION ALL SELECT of_, 2 * k + 2, rank, id FROM basic_),
+{fused_sql('lists')} SELECT query_id::BIGINT AS query_id, id, round(rrf_score, 9) AS rrf_score, rank FROM fused""",
+)
 def q10(spark: SparkSession, sf: str) -> DataFrame:
-    """Nations as queries; what their suppliers are called, up to three, are the follow-ups."""
-    pages = cut(wiki_texts(spark, sf))
-    s = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").cast("long").alias("query_id")).agg(F.sort_array(F.collect_set("s_name")).alias("sub_queries"))
-    q = cut(entity_queries(spark, sf).join(s, "query_id", "left"))
-    hits = drift_search(q, global_search(q, pages, top_k=3), _local(spark, sf, search.CHANNEL_LIMIT))
+    """A nation's first supplier as the query, its first three suppliers as follow-ups; at the default depth each has a local and a basic list."""
+    pages = cut(nation_pages(spark, sf))
+    q = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").cast("long").alias("query_id")).agg(F.sort_array(F.collect_set("s_name")).alias("sub_queries"))
+    q = cut(q.select("query_id", F.col("sub_queries")[0].alias("query"), "sub_queries"))
+    local, basic = _searches(spark, sf, search.CHANNEL_LIMIT)
+    hits = drift_search(q, global_search(q, pages, top_k=3), local, basic)
     return hits.select("query_id", "id", F.round("rrf_score", 9).alias("rrf_score"), "rank")
 
 
@@ -245,17 +310,16 @@ def q11(spark: SparkSession, sf: str) -> DataFrame:
     nations = table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("query_id"), F.col("n_name").alias("name"))
     form = F.col("query_id") % 3
     q = nations.select("query_id", F.when(form == 0, F.concat(F.lit("[["), "name", F.lit("]]"))).when(form == 1, F.concat(F.lit("overview of suppliers in "), F.lower("name"))).otherwise(F.lower("name")).alias("query"), F.lit("auto").alias("mode"))
-    texts, pages, local = cut(chunk_texts(spark, sf)), cut(wiki_texts(spark, sf)), _local(spark, sf)
+    pages, (local, basic) = cut(nation_pages(spark, sf)), _searches(spark, sf)
     words = lambda df: df.withColumn("query", F.regexp_replace("query", "^overview of suppliers in ", ""))
-    modes = {"local": local, "global": lambda df: global_search(words(df), pages), "basic": lambda df: basic_search(df, texts), "drift": lambda df: drift_search(df.withColumn("sub_queries", F.array().cast("array<string>")), global_search(df, pages, top_k=3), local)}
+    modes = {"local": local, "global": lambda df: global_search(words(df), pages), "basic": basic, "drift": lambda df: drift_search(df.withColumn("sub_queries", F.array().cast("array<string>")), global_search(df, pages, top_k=3), local, basic)}
     return unified_search(q, modes).select("query_id", "rank", "id", "mode")
 
 
-@query("e1_embeddings", "SELECT doc_id, length(coalesce(text, '')) = 0 AS empty FROM documents")
+@query("e1_embeddings", "SELECT doc_id, length(t)::DOUBLE AS n, length(replace(t, 'e', 'ee'))::DOUBLE - length(t) AS e, length(replace(t, chr(10), 'xx'))::DOUBLE - length(t) AS lines FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)")
 def e1(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document embedded offline; only the empty ones have the zero vector."""
-    e = adapters.embed_texts(table(spark, sf, "documents"), "doc_id", "text", adapters.hashing_embedder())
-    return e.select("doc_id", F.forall("embedding", lambda x: x == 0).alias("empty"))
-
+    """Every document embedded by an embedder of our own, in batches: its length, its letters e and its line ends."""
+    import numpy as np
 
-__all__ = ["ids", "uuid5"]
+    v = adapters.embed_texts(table(spark, sf, "documents"), "doc_id", "text", lambda texts: np.array([[len(t), t.count("e"), t.count("\n")] for t in texts]), dim=3)
+    return v.select("doc_id", *[F.col("embedding")[k].cast("double").alias(c) for k, c in enumerate(("n", "e", "lines"))])

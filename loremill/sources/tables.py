@@ -69,10 +69,21 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def batch_manifest(items: DataFrame, batch_id: str, max_parallel: int = 10) -> DataFrame:
-    """The seven manifest fields and the batch. ``max_parallel`` is checked here and goes to the batch's meta record."""
+    """The seven manifest fields and the batch. ``max_parallel`` goes to the batch's meta record (see ``batch_meta``)."""
+    _checked(max_parallel)
+    return items.select(*MANIFEST, F.lit(batch_id).alias("batch_id"))
+
+
+def batch_meta(manifest: DataFrame, max_parallel: int = 10) -> DataFrame:
+    """``tenant, batch_id, key, meta``: the meta record of each batch of a manifest, as JSON, and where it goes."""
+    _checked(max_parallel)
+    own = manifest.select("tenant", "batch_id").distinct()
+    return own.select("tenant", "batch_id", artifact_key("batch_meta").alias("key"), F.to_json(F.struct(F.lit(max_parallel).alias("max_parallel"))).alias("meta"))
+
+
+def _checked(max_parallel: int) -> None:
     if not 1 <= max_parallel <= 100:
         raise ValueError("max_parallel must be from 1 to 100")
-    return items.select(*MANIFEST, F.lit(batch_id).alias("batch_id"))
 
 
 def validated_manifest(lines: DataFrame, tenant: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.lifecycle import without_tombstones
@@ -44,25 +44,27 @@ def ingest_new(stream: DataFrame, target: str, checkpoint: str, tombstones: Data
 
 
 def apply_changes(stream: DataFrame, target: str, checkpoint: str, key: str = "remote_id", order: str = "seq") -> None:
-    """Applies a feed of upserts and deletes (``op, key, order, ...``): ``target/v=<batch>`` is the table after each batch; the checkpoint is the cursor."""
+    """Takes in a feed of upserts and deletes (``op, key, order, ...``): a batch's last change of each key is written to ``target``, by batch number; the checkpoint is the cursor.
+
+    A batch costs what it holds; the table is what ``newest_version`` folds. A batch that is run again after
+    a failure replaces its own folder.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        w = Window.partitionBy(key).orderBy(F.desc(order))
-        last = batch.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
-        old = _written(batch.sparkSession, f"{target}/v={number - 1}") if number else None
-        live = last.filter("op <> 'delete'").drop("op")
-        if old is not None:
-            live = old.join(last.select(key), key, "left_anti").unionByName(live)
-        live.write.mode("overwrite").parquet(f"{target}/v={number}")
+        _last(batch, key, order).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     _drain(stream, each, checkpoint)
 
 
-def newest_version(spark: SparkSession, target: str) -> DataFrame:
-    """The table after the last batch of ``apply_changes``."""
-    all_ = spark.read.parquet(target)
-    last = all_.agg(F.max("v")).first()[0]
-    return all_.filter(F.col("v") == last).drop("v")
+def _last(changes: DataFrame, key: str, order: str) -> DataFrame:
+    """The change of each key that is last in ``order``, whenever it came; a partial maximum on each task."""
+    rest = [c for c in changes.columns if c not in (key, order)]
+    return changes.groupBy(key).agg(F.max(F.struct(order, *rest)).alias("r")).select(key, "r.*")
+
+
+def newest_version(spark: SparkSession, target: str, key: str = "remote_id", order: str = "seq") -> DataFrame:
+    """The table after the batches so far: the last change of each key by ``order``, so an older one that came late changes nothing; keys that it deletes are not there."""
+    return _last(spark.read.parquet(target).drop("batch"), key, order).filter("op <> 'delete'").drop("op")
 
 
 def track_states(stream: DataFrame, target: str, checkpoint: str) -> None:
