@@ -10,12 +10,13 @@ a point counts if its unit is within the weight. Points are made in order of tim
 they can still be a register's earliest.
 
 Bands of registers put similar documents into common buckets. A bucket's members are not compared with
-one another, only with its centre, the one that shares the most buckets with others; what links connect
-is a class. Where a bucket still has members of several classes, any two of them may be similar. Two
+one another, only with its centre, the one that shares the most buckets with others. Links so found lead to
+ever more central documents; whom two steps lead to the same one are a group. Where a bucket has members of
+several groups, any two of them may be similar. Two
 multisets of n and k runs are similar only if their overlap reaches t / (1 + t) (n + k), so when both are
 put in one order, rarest runs first, their first common run is among the first of each. So a run among the
-first of its multiset calls for comparisons of members of different classes; where one class has most of a
-run's members, only the others are compared with them. Compared means that the multisets' overlap is
+first of its multiset calls for comparisons of members of different groups; where one group has most of a
+run's members, only the others are compared with them. What all links connect is a class. Compared means that the multisets' overlap is
 counted in full. So all that can be missed is a pair that shares no bucket at all.
 """
 
@@ -179,8 +180,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     who = cut(stand.select("rep", "first").join(members.select("rep").distinct().hint("merge"), "rep", "left_semi").select("first.id", "first.row"))
     sharing = named.join(who.hint("merge"), ["id", "row"], "left_semi").dropDuplicates(["id", "row"])
     runs = cut(multisets(sharing).select(F.struct("low", "high").alias("rep"), "runs"))
-    links = cut(_similar(_with_centres(members, similarity), runs, similarity))
-    late = _similar(_candidates(members, links, runs, similarity), runs, similarity)
+    central = _central(members)
+    links = cut(_similar(_with_centres(members, central, similarity), runs, similarity))
+    late = _similar(_candidates(members, _hubs(links, central), runs, similarity), runs, similarity)
     links = cut(links.union(late).distinct())
 
     group = cut(components(links).select(F.col("node").alias("rep"), F.col("component").alias("g")))
@@ -198,16 +200,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.unionByName(alone)
 
 
-def _with_centres(members: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: each member of a bucket with the bucket's centre, if their sizes let them be similar."""
+def _central(members: DataFrame) -> DataFrame:
+    """``rep, s``: how central a multiset is, least first: by the members of all its buckets, then by name."""
     degree = members.groupBy("rep", "n").agg(F.sum("size").alias("d"))
-    central = cut(degree.select("rep", F.struct((-F.col("d")).alias("d"), F.col("rep").alias("id"), F.col("n").alias("n")).alias("s")))
+    return cut(degree.select("rep", F.struct((-F.col("d")).alias("d"), F.col("rep").alias("id"), F.col("n").alias("n")).alias("s")))
+
+
+def _with_centres(members: DataFrame, central: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: each member of a bucket with the bucket's centre, if their sizes let them be similar."""
     centres = members.select("band", "hash", "rep").join(central, "rep").groupBy("band", "hash").agg(F.min("s").alias("s"))
     pairs = members.join(cut(centres), ["band", "hash"]).select("rep", "n", F.col("s.id").alias("centre"), F.col("s.n").alias("m")).filter("rep <> centre")
     fits = F.least("n", "m") >= similarity * F.greatest("n", "m")
     return cut(pairs.filter(fits).select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct())
 
 
+def _hubs(links: DataFrame, central: DataFrame) -> DataFrame:
+    """``rep, g``: two steps along links, each to the most central neighbour. Who has the same hub is in the same class; most of a class has."""
+    ways = links.union(links.select("b", "a")).select(F.col("a").alias("rep"), F.col("b").alias("other"))
+    step = ways.join(central.select(F.col("rep").alias("other"), "s"), "other").groupBy("rep").agg(F.min("s").alias("t"))
+    step = cut(step.join(central, "rep").select("rep", F.least("s", "t")["id"].alias("to")))
+    return step.join(step.select(F.col("rep").alias("to"), F.col("to").alias("then")), "to").select("rep", F.xxhash64("then").alias("g"))
+
+
 def _similar(pairs: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
     """``a, b`` of the pairs whose multisets are similar."""
     side = lambda name, array: runs.select(F.col("rep").alias(name), F.col("runs").alias(array)).hint("merge")
@@ -215,14 +229,13 @@ def _similar(pairs: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
     return both.filter(overlap(F.col("x"), F.col("y")) >= similarity).select("a", "b")
 
 
-def _candidates(members: DataFrame, links: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: which members of buckets with several classes can be similar, of different classes.
+def _candidates(members: DataFrame, hubs: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: which members of buckets with several groups can be similar, of different groups (``hubs``: ``rep, g``; who has none is a group of its own).
 
     The first (1 - t) n + 1 runs of each, rarest first, are all that is looked at; a run of one member
-    only, or of one class only, matches nothing, but keeps its place in the order.
+    only, or of one group only, matches nothing, but keeps its place in the order.
     """
-    group = cut(components(links).select(F.col("node").alias("rep"), F.xxhash64("component").alias("g")))
-    classed = members.join(group.hint("merge"), "rep", "left").select("rep", "n", "band", "hash", F.coalesce("g", F.xxhash64("rep")).alias("g"))
+    classed = members.join(hubs.hint("merge"), "rep", "left").select("rep", "n", "band", "hash", F.coalesce("g", F.xxhash64("rep")).alias("g"))
     classed = cut(classed)
     mixed_ = classed.groupBy("band", "hash").agg(F.min("g").alias("g"), F.max("g").alias("h")).filter("g <> h").select("band", "hash")
     open_ = cut(classed.join(cut(mixed_).hint("merge"), ["band", "hash"], "left_semi").select("rep", "n", "g").distinct())
@@ -231,7 +244,7 @@ def _candidates(members: DataFrame, links: DataFrame, runs: DataFrame, similarit
     placed = each.join(often.hint("merge"), "run").groupBy("rep", "n", "g").agg(F.sort_array(F.collect_list(F.struct("uses", "run", "wide"))).alias("order"))  # as many as the document has runs
     start = placed.select("rep", "n", "g", (F.col("n") - F.size("order")).alias("alone"), F.posexplode("order").alias("k", "r")).withColumn("at", F.col("alone") + F.col("k"))
     start = cut(start.filter((F.col("at") <= (1 - similarity) * F.col("n")) & F.col("r.wide")).select("rep", "n", "g", "at", F.col("r.run").alias("run")))
-    # The class that has most of a run's members is not compared with itself.
+    # The group that has most of a run's members is not compared with itself.
     most = start.groupBy("run", "g").agg(F.count(F.lit(1)).alias("k")).groupBy("run").agg(F.max(F.struct("k", "g")).alias("most"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
     most = cut(most.select("run", F.col("most.g").alias("most")))
     named = lambda df, k: df.select("run", *[F.col(c).alias(f"{c}_{k}") for c in df.columns if c != "run"])
