@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 import pytest
@@ -106,6 +107,27 @@ def test_markdown_blocks():
         splitting.extractor("nope")
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        # Siblings take each other's place in the path; deeper headings go with their parent.
+        ("# A\n## B\n### C\nc\n## D\nd\n# E\ne", [("heading", ["A"]), ("heading", ["A", "B"]), ("heading", ["A", "B", "C"]), ("c", ["A", "B", "C"]), ("heading", ["A", "D"]), ("d", ["A", "D"]), ("heading", ["E"]), ("e", ["E"])]),
+        # Rows without a rule are a table if all begin with a bar; one row alone is none.
+        ("| a | b |\n| c | d |\n\n| e |", [("table", []), ("| e |", [])]),
+        ("a | b\n--- | ---\nc", [("a | b", []), ("--- | ---", []), ("c", [])]),
+        # The line under a title is used up: a second one is text.
+        ("Title\n---\n---\nbody", [("heading", ["Title"]), ("---\nbody", ["Title"])]),
+        ("**B**  \n** **\nx", [("heading", ["B"]), ("** **\nx", ["B"])]),
+        ("one\n\n\n\ntwo\n \nthree  ", [("one", []), ("two\n\nthree", [])]),
+        ("#no heading\n####### seven", [("#no heading\n####### seven", [])]),
+        ("", []), ("\n \n", []),
+    ],
+)
+def test_markdown_cases(text, want):
+    got = [(b["text"] if b["type"] == "paragraph" else b["type"], b["heading_path"]) for b in splitting.markdown_blocks(text)]
+    assert got == want
+
+
 def test_layout_blocks(spark):
     rows = [
         ("d", 0, "caption", "Fig 1", None), ("d", 1, "title", "Intro", None), ("d", 2, "picture", "", None), ("d", 3, "text", "body", None),
@@ -235,3 +257,79 @@ def test_local_and_drift_search(spark):
     assert [(r.id, '"stale":true' in r.provenance) for r in primer.collect()] == [("p1", True)]
     drift = retrieval.drift_search(q, primer, lambda df: retrieval.local_search(df, entities, edges, texts, mentioned))
     assert {"p1", "e1", "e2"} <= {r.id for r in drift.collect()}
+
+
+def test_drift_depth(spark):
+    """At depth 2 a basic list follows each local one; an id in both counts twice."""
+    from loremill.plans import retrieval
+
+    hit = "query_id {}, rank int, id string, rrf_score double, kind string, text string, provenance string"
+    q = spark.createDataFrame([(1, "q", [" a ", "", "b", "c", "d"]), (2, "only", None)], "query_id long, query string, sub_queries array<string>")
+    primer = spark.createDataFrame([(1, k, f"p{k}", 0.1, "wiki", "t", "{}") for k in range(1, 6)], hit.format("long"))
+    asked = []
+
+    def run(kind):
+        def search_(df):
+            rows = df.collect()
+            asked.append((kind, sorted(r["query"] for r in rows)))
+            return spark.createDataFrame([(r.query_id, 1, f"{kind}:{r['query']}", 0.1, kind, "t", "{}") for r in rows] + [(r.query_id, 2, "both", 0.1, kind, "t", "{}") for r in rows], hit.format("string"))
+
+        return search_
+
+    got = retrieval.drift_search(q, primer, run("local"), run("basic"), top_k=50).collect()
+    assert asked == [("local", ["a", "b", "c", "only"]), ("basic", ["a", "b", "c", "only"])]
+    one = {r.id: r for r in got if r.query_id == 1}
+    assert set(one) == {"p1", "p2", "p3", "both", *(f"{k}:{x}" for k in ("local", "basic") for x in "abc")}
+    assert one["both"].rrf_score == pytest.approx(6 / 62) and one["both"]["rank"] == 1 and one["both"].kind == "local"
+    alone = retrieval.drift_search(q, primer, run("local"), run("basic"), depth=1).collect()
+    assert not [r for r in alone if r.kind == "basic"]
+
+
+def test_change_feed_order(spark):
+    """A change that is older than what a table has changes nothing, whenever it comes; a batch run again changes nothing either."""
+    import tempfile
+
+    from loremill.streaming import jobs
+
+    root = tempfile.mkdtemp(dir=os.environ["SPARK_TEST_DIR"])
+    schema = "op string, remote_id long, seq long, value string"
+    for k, rows in enumerate([[("upsert", 1, 5, "new"), ("upsert", 2, 1, "x"), ("upsert", 3, 1, "y")], [("upsert", 1, 2, "old"), ("delete", 2, 4, None), ("upsert", 3, 9, "z")]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/in/part={k}")
+        jobs.apply_changes(spark.readStream.schema(schema).parquet(f"{root}/in/part=*"), f"{root}/out", f"{root}/at")
+        jobs.apply_changes(spark.readStream.schema(schema).parquet(f"{root}/in/part=*"), f"{root}/out", f"{root}/at")
+    assert sorted((r.remote_id, r.value) for r in jobs.newest_version(spark, f"{root}/out").collect()) == [(1, "new"), (3, "z")]
+
+
+def test_groups_and_fingerprints_in_shares(spark):
+    """Group numbers are those of one sort of the whole batch; fingerprints do not see the order of lines."""
+    rows = [("t" if k % 3 else "u", uuid.uuid5(uuid.NAMESPACE_URL, str(k // 4)).hex, k % 4, "text" if k % 7 else " ") for k in range(500)]
+    df = spark.createDataFrame(rows, "tenant string, document_id string, chunk_index int, text string").repartition(7)
+    got = {(r.tenant, r.document_id, r.chunk_index): r.group for r in lifecycle.prompt_groups(df, ["tenant"], ["document_id", "chunk_index"], 20).collect()}
+    for tenant in "tu":
+        own = sorted((d, c) for t, d, c, x in rows if t == tenant and x.strip())
+        assert [got[tenant, *x] for x in own] == [k // 20 for k in range(len(own))]
+    assert len(got) == sum(x.strip() != "" for *_, x in rows)
+    print_ = lambda f: {(r.tenant, r.chunks_sha256, r.n_lines) for r in lifecycle.fingerprints(f, ["tenant"], F.concat_ws(" ", "document_id", "chunk_index")).collect()}
+    assert print_(df) == print_(df.orderBy(F.desc("document_id"))) != print_(df.filter("chunk_index < 3"))
+
+
+def test_purge_marks(spark):
+    """One mark for each project that loses documents and has none yet; a source's documents that are not gone are wanted."""
+    docs = spark.createDataFrame([("t", "p", "d2", "s"), ("t", "p", "d1", "s"), ("t", "q", "d3", "s")], "tenant string, project_id string, document_id string, source_id string")
+    stale = spark.createDataFrame([("t", "q", "c9")], "tenant string, project_id string, community_id string")
+    assert sorted(map(tuple, lifecycle.mark_stale(stale, docs).collect())) == [("t", "p", "d1"), ("t", "q", "c9")]
+    states = docs.withColumn("ingest_state", F.when(F.col("document_id") == "d1", "purging").otherwise("pending"))
+    assert [r.document_id for r in lifecycle.wanted_of(states, F.lit("p"), "s").collect()] == ["d2"]
+    assert lifecycle.wanted_of(states, F.lit("p"), "other").count() == 0
+
+
+def test_shared_folder_on_a_cluster():
+    from loremill.operators.components import shared_dir
+
+    class Conf(dict):
+        set = dict.__setitem__
+
+    session = lambda **conf: type("S", (), {"conf": Conf({k.replace("_", "."): v for k, v in conf.items()})})()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session(spark_master="spark://host:7077"))
+    assert shared_dir(session(spark_master="yarn", spark_checkpoint_dir="hdfs:///x/")) == "hdfs:///x"
