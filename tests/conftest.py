@@ -15,9 +15,11 @@ os.environ.setdefault("SPARK_TEST_DIR", tempfile.mkdtemp(prefix="spark-", dir="/
 
 @pytest.fixture(scope="session")
 def spark():
+    from loremill.operators.components import clear
     from tests.oracle import session
 
     s = session("tests", "4")
     s.conf.set("spark.sql.shuffle.partitions", "4")
     yield s
+    clear(s)
     s.stop()
