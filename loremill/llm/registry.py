@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bag_minhash, bpe, chat_format, exact_dedup, packing, passages, quality, tiff, toxicity, url_filter
+from . import bag_minhash, bpe, chat_format, exact_dedup, packing, passages, quality, structure_repair, tiff, toxicity, url_filter
 from .shared import table
 
 
@@ -61,6 +61,10 @@ def op9_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.with_digest(chat_format.rotate_perspectives(table(spark, sf_dir, "conversations")))
 
 
+def op11_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_field": op1_line_field,
     "op2_block_naming": op2_block_naming,
@@ -72,9 +76,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_backtracking_bpe": op8_backtracking_bpe,
     "op9_perspective_rotation": op9_perspective_rotation,
     "op10_tiff_pages": op10_tiff_pages,
+    "op11_auction_repair": op11_auction_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_block_naming": exact_dedup.ORACLE,
     "op9_perspective_rotation": chat_format.ORACLE,
+    "op11_auction_repair": structure_repair.ORACLE,
 }
