@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bag_minhash, bpe, chat_format, exact_dedup, packing, passages, quality, structure_repair, tiff, toxicity, url_filter
+from . import bag_minhash, bpe, chat_format, contamination, exact_dedup, packing, passages, prefix_trie, quality, structure_repair, tiff, toxicity, url_filter
 from .shared import table
 
 
@@ -65,6 +65,14 @@ def op11_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure_repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op12_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.with_digest(contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op13_tree_contraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_field": op1_line_field,
     "op2_block_naming": op2_block_naming,
@@ -77,10 +85,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_perspective_rotation": op9_perspective_rotation,
     "op10_tiff_pages": op10_tiff_pages,
     "op11_auction_repair": op11_auction_repair,
+    "op12_prefix_join": op12_prefix_join,
+    "op13_tree_contraction": op13_tree_contraction,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_block_naming": exact_dedup.ORACLE,
     "op9_perspective_rotation": chat_format.ORACLE,
     "op11_auction_repair": structure_repair.ORACLE,
+    "op12_prefix_join": contamination.ORACLE,
+    "op13_tree_contraction": prefix_trie.ORACLE,
 }
