@@ -45,6 +45,31 @@ def orphan_raw(keys: DataFrame, documents: DataFrame, project_id: Column, older_
     return own.join(documents.select(*CONTENT).distinct(), CONTENT, "left_anti")
 
 
+#: Candidates of each kind that a cleanup's report shows.
+SHOWN = 50
+
+
+def stale_manifests(manifests: DataFrame, documents: DataFrame, older_than: Column | None = None) -> DataFrame:
+    """``key`` of batch manifests (lines of ``key, document_id`` and maybe ``modified``) of which no line has a document that is there; with an age limit only older ones."""
+    live = documents.filter(~F.col("ingest_state").isin(*GONE)).select("document_id", F.lit(1).alias("_live")).distinct()
+    own = manifests if older_than is None else manifests.filter(F.col("modified") < older_than)
+    return own.join(live, "document_id", "left").groupBy("key").agg(F.count("_live").alias("n")).filter("n = 0").select("key")
+
+
+def cleanup_candidates(raw: DataFrame, manifests: DataFrame, documents: DataFrame, project_id: Column, raw_older_than: Column | None = None, manifests_older_than: Column | None = None) -> DataFrame:
+    """``kind, key``: raw content that no document has (``orphan_raw``) and manifests without a live document (``stale_manifest``), beyond their age limits."""
+    one = orphan_raw(raw, documents, project_id, raw_older_than).select(F.lit("orphan_raw").alias("kind"), "key")
+    return one.unionByName(stale_manifests(manifests, documents, manifests_older_than).select(F.lit("stale_manifest").alias("kind"), "key"))
+
+
+def cleanup_report(candidates: DataFrame, dry_run: bool = True) -> DataFrame:
+    """``kind, candidate_count, deleted_count, shown``: how many of each kind there are, how many go (none in a dry run), and the first SHOWN in order of the key."""
+    counts = candidates.groupBy("kind").agg(F.count(F.lit(1)).alias("candidate_count"))
+    first = candidates.withColumn("n", F.row_number().over(Window.partitionBy("kind").orderBy("key"))).filter(F.col("n") <= SHOWN)
+    shown = first.groupBy("kind").agg(F.sort_array(F.collect_list("key")).alias("shown"))  # SHOWN at most
+    return counts.join(shown, "kind").select("kind", "candidate_count", (F.lit(0) if dry_run else F.col("candidate_count")).cast("long").alias("deleted_count"), "shown")
+
+
 def match_deletes(changes: DataFrame, documents: DataFrame) -> DataFrame:
     """Documents that a delete of a change feed names, by remote id."""
     gone = changes.filter(F.col("op") == "delete").select("remote_id").distinct()

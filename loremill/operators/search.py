@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import ids, text as X
+from .components import cut
+from .vectors import Cells, cells, nearest, ranked
 
 CHANNEL_LIMIT, RRF_K, TOP_K = 20, 60, 10
-#: Query vectors that are sent to the tasks at a time, and rows and columns of scores that are held at a time.
-BLOCK_BYTES, TILE = 64 << 20, 2048
 #: Fixed values of the rank function: the default weight, the sum of 1/n² over all n, and the span beyond which two words do not count.
 WEIGHT, ALL_SQUARES, FAR = 0.1, 1.64493406685, 100
 
@@ -22,10 +20,9 @@ def lexemes(text) -> Column:
     return F.regexp_extract_all(F.lower(ids.col(text)), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
 
 
-def _one(places: Column) -> Column:
+def _one(n: Column) -> Column:
     """Rank of one lexeme with n occurrences: 0.1 (1 + 1/4 + ... + 1/n²) by the sum of all squares."""
-    n = F.sequence(F.lit(1), F.size(places))
-    return F.aggregate(n, F.lit(0.0), lambda a, k: a + F.lit(1.0) / (k * k)) * (WEIGHT / ALL_SQUARES)
+    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0.0), lambda a, k: a + F.lit(1.0) / (k * k)) * (WEIGHT / ALL_SQUARES)
 
 
 def _near(a: Column, b: Column) -> Column:
@@ -47,10 +44,18 @@ def _all(hits: Column) -> Column:
     return 1 - F.aggregate(steps, F.lit(1.0), lambda acc, h: pair(acc, h, h["k"]))
 
 
+#: Closeness of neighbours: no two lexemes are nearer.
+NEAREST = math.sqrt(WEIGHT * WEIGHT / (1.005 + 0.05 * math.exp(1 / 1.5 - 2)))
+
+
 def postings(texts: DataFrame, scope: list[str] = ()) -> DataFrame:
-    """``id, scope, term, places``: where each text (``id, text`` and the scope columns) has each lexeme. Written once, it serves any number of query tables."""
+    """``id, scope, term, places, n``: where, and how often, each text (``id, text`` and the scope columns) has each lexeme. Written once, it serves any number of query tables."""
     occurs = texts.select("id", *scope, F.posexplode(lexemes("text")).alias("at", "term"))
-    return occurs.groupBy("id", *scope, "term").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    return _gathered(occurs, scope)
+
+
+def _gathered(occurs: DataFrame, scope: list[str]) -> DataFrame:
+    return occurs.groupBy("id", *scope, "term").agg(F.sort_array(F.collect_list("at")).alias("places")).withColumn("n", F.size("places"))
 
 
 def full_text(queries: DataFrame, texts: DataFrame, limit: int = CHANNEL_LIMIT, scope: list[str] = (), index: DataFrame | None = None) -> DataFrame:
@@ -59,81 +64,48 @@ def full_text(queries: DataFrame, texts: DataFrame, limit: int = CHANNEL_LIMIT,
     With an ``index`` (see ``postings``) the texts are not read. Without one only occurrences of words that
     some query asks for leave the scan. A query without a lexeme finds nothing. Ties go to the lesser id.
     """
-    terms = queries.select("query_id", *scope, F.explode(F.array_distinct(lexemes("query"))).alias("term"))
-    asked = terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
-    if index is not None:
-        found = index.join(terms, [*scope, "term"]).select("query_id", "id", "term", "places")
-    else:
-        occurs = texts.select("id", *scope, F.posexplode(lexemes("text")).alias("at", "term"))
-        found = occurs.join(terms, [*scope, "term"]).groupBy("query_id", "id", "term").agg(F.sort_array(F.collect_list("at")).alias("places"))
-    hits = found.groupBy("query_id", "id").agg(F.sort_array(F.collect_list(F.struct("term", "places"))).alias("hits"))
-    full = hits.join(asked, "query_id").filter(F.size("hits") == F.col("n"))
-    score = F.when(F.size("hits") == 1, _one(F.col("hits")[0]["places"])).otherwise(_all(F.col("hits")))
-    return ranked(full.select("query_id", "id", score.alias("score")), limit)
-
+    return bounded_top(queries, texts, limit, scope, index)[0]
 
-def ranked(hits: DataFrame, limit: int) -> DataFrame:
-    """``rank`` from 1 by score, then id; scores are compared to nine places, so the order does not hang on the last bit."""
-    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 9)), "id")
-    return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
 
+def bounded_top(queries: DataFrame, texts: DataFrame, limit: int = CHANNEL_LIMIT, scope: list[str] = (), index: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The result of ``full_text``, and the matches whose places had to be read for it (``query_id, id``).
 
-def vector_top(queries: DataFrame, vectors: DataFrame, limit: int = CHANNEL_LIMIT, most_bytes: int = BLOCK_BYTES) -> DataFrame:
+    The counts of its lexemes bound a match's rank: of one lexeme they say all, of several no two occurrences are nearer
+    than neighbours. The ``limit`` matches of greatest bound are scored first; then only those whose bound reaches
+    the last of these. Counts and places are columns of one written table, so the others' places are never read.
+    """
+    terms = cut(queries.select("query_id", *scope, F.explode(F.array_distinct(lexemes("query"))).alias("term")))
+    if index is None:
+        occurs = texts.select("id", *scope, F.posexplode(lexemes("text")).alias("at", "term"))
+        index = cut(_gathered(occurs.join(terms.select(*scope, "term").distinct(), [*scope, "term"], "left_semi"), scope))
+    asked = terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("k"))
+    n = F.col("n").cast("double")
+    sums = index.select("id", *scope, "term", "n").join(terms, [*scope, "term"]).groupBy("query_id", "id").agg(F.count(F.lit(1)).alias("has"), F.sum(n).alias("n"), F.sum(n * n).alias("squares"))
+    bound = F.when(F.col("k") == 1, _one(F.col("n").cast("int"))).otherwise(1 - F.pow(F.lit(1 - NEAREST), (F.col("n") * F.col("n") - F.col("squares")) / 2))
+    matches = cut(sums.join(asked, "query_id").filter("has = k").select("query_id", "id", "k", bound.alias("score")))
+    alone, many = matches.filter("k = 1").select("query_id", "id", "score"), matches.filter("k > 1").select("query_id", "id", F.col("score").alias("bound"))
+
+    def scored(some: DataFrame) -> DataFrame:
+        places = some.select("query_id", "id").join(terms, "query_id").join(index.select("id", *scope, "term", "places"), ["id", *scope, "term"])
+        hits = places.groupBy("query_id", "id").agg(F.sort_array(F.collect_list(F.struct("term", "places"))).alias("hits"))
+        return hits.select("query_id", "id", _all(F.col("hits")).alias("score"))
+
+    if many.isEmpty():
+        return ranked(alone, limit), many.select("query_id", "id")
+    first = cut(ranked(many.withColumnRenamed("bound", "score"), limit).select("query_id", "id"))
+    best = cut(scored(first))
+    edge = ranked(best, limit).filter(F.col("rank") == limit).select("query_id", F.col("score").alias("edge"))
+    rest = cut(many.join(first, ["query_id", "id"], "left_anti").join(edge, "query_id").filter(F.col("bound") >= F.col("edge") - 1e-8).select("query_id", "id"))
+    return ranked(alone.unionByName(best).unionByName(scored(rest)), limit), first.unionByName(rest)
+
+
+def vector_top(queries: DataFrame, vectors: DataFrame, limit: int = CHANNEL_LIMIT, index: Cells | None = None) -> DataFrame:
     """``query_id, id, score, rank``: the nearest vectors by cosine, exactly.
 
-    ``queries``: ``query_id, scope, vector`` (scope may be null: all); ``vectors``: ``id, scope, vector``. The
-    queries are the side that is sent to every task, after a check of their size; more than ``most_bytes``
-    of them are done in blocks, dealt by hash. Each task keeps its best for each query, so little is
-    shuffled. Null and zero vectors are left out; ties go to the lesser id.
+    ``queries``: ``query_id, scope, vector`` (scope may be null: all); ``vectors``: ``id, scope, vector``, or their
+    ``index`` (see ``vectors.cells``), which serves any number of query tables. Null and zero vectors are left out; ties go to the lesser id.
     """
-    kind, qkind = dict(vectors.dtypes)["id"], dict(queries.dtypes)["query_id"]
-    asked = queries.filter("vector IS NOT NULL").select("query_id", "scope", "vector")
-    size = asked.agg(F.coalesce(F.sum(F.size("vector") * 8), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, -(-size // most_bytes))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    out = None
-    for k in range(blocks):
-        part = asked.filter(block == k) if blocks > 1 else asked
-        found = _block(part.toPandas(), vectors, limit, kind, qkind)
-        out = found if out is None else out.unionByName(found)
-    return ranked(out, limit)
-
-
-def _block(part: pd.DataFrame, vectors: DataFrame, limit: int, kind: str, qkind: str) -> DataFrame:
-    ask = np.stack(part["vector"].to_numpy()).astype(np.float64) if len(part) else np.zeros((0, 1))
-    norm = np.linalg.norm(ask, axis=1)
-    part, ask = part[norm > 0].reset_index(drop=True), ask[norm > 0] / norm[norm > 0][:, None]
-    names, scope = part["query_id"].to_numpy(), part["scope"].to_numpy(dtype=object)
-    bound = np.array([s is not None for s in scope], dtype=bool)
-
-    def best_of(pdf: pd.DataFrame, m: np.ndarray) -> Iterator[pd.DataFrame]:
-        """The best of some vectors for each query, some queries at a time; all that reach the last place's score."""
-        own, k = pdf["scope"].to_numpy(dtype=object), min(limit, len(pdf))
-        for at in range(0, len(ask), TILE):
-            score = ask[at : at + TILE] @ m.T
-            score[bound[at : at + TILE, None] & (scope[at : at + TILE, None] != own[None, :])] = -np.inf
-            edge = np.partition(score, -k, axis=1)[:, -k]
-            q, i = np.nonzero((score >= edge[:, None] - 1e-12) & np.isfinite(score))
-            yield pd.DataFrame({"query_id": names[at + q], "id": pdf["id"].to_numpy()[i], "score": score[q, i]})
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: pd.DataFrame | None = None
-        for whole in frames:
-            whole = whole[whole["vector"].notna()]
-            for at in range(0, len(whole) if len(ask) else 0, TILE):
-                pdf = whole.iloc[at : at + TILE]
-                m = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
-                n = np.linalg.norm(m, axis=1)
-                pdf, m = pdf[n > 0], m[n > 0] / n[n > 0][:, None]
-                if len(pdf):
-                    best = pd.concat([best, *best_of(pdf, m)]) if best is not None else pd.concat(list(best_of(pdf, m)))
-            if best is not None:
-                order = best.assign(s=best["score"].round(9)).sort_values(["query_id", "s", "id"], ascending=[True, False, True])
-                best = order.groupby("query_id").head(limit).drop(columns="s")
-        if best is not None and len(best):
-            yield best
-
-    return vectors.select("id", "scope", "vector").mapInPandas(run, f"query_id {qkind}, id {kind}, score double")
+    return nearest(queries, index or cells(vectors), limit)[0]
 
 
 def fuse(lists: DataFrame, k: int = RRF_K, top_n: int = TOP_K, payload: list[str] = ()) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import ids
 from ..operators import adapters, communities, graph, lifecycle
-from ..operators.components import components, cut
+from ..operators.cache import cached
+from ..operators.components import components, cut, job_dir
 from . import base
 from .base import CHUNKS_SQL, EDGES_SQL, LINKED_SQL, query, table, uuid5
 
@@ -203,6 +206,35 @@ def q4(spark: SparkSession, sf: str) -> DataFrame:
     return communities.community_records(communities.detect(weighted), F.lit("t"), F.lit("p"), F.lit("b1"))
 
 
+@query(
+    "q4_community_properties",
+    f"""WITH {EDGES_SQL} SELECT (SELECT count(*) FROM (SELECT source FROM edges UNION SELECT target FROM edges)) AS nodes, 0::BIGINT AS missing, 0::BIGINT AS repeated, 0::BIGINT AS too_large, 0::BIGINT AS not_nested, 0::BIGINT AS misnamed""",
+)
+def q4_properties(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the communities of the whole graph: every node once a level, leaves within the bound, each inside its parent, named by its least node."""
+    own = edges(spark, sf)
+    found = cut(communities.detect(own.groupBy("source", "target").agg(F.sum("confidence").alias("weight"))))
+    nodes = own.select(F.explode(F.array("source", "target")).alias("node")).distinct()
+    size = found.groupBy("level", "cluster_key", "parent_key").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("node").alias("different"), F.min("node").alias("least"))
+    split = found.filter("level > 0").select((F.col("level") - 1).alias("level"), F.col("parent_key").alias("cluster_key")).distinct()
+    leaves = size.join(split, ["level", "cluster_key"], "left_anti")
+    up = found.select((F.col("level") + 1).alias("level"), "node", F.col("cluster_key").alias("above"))
+    nested = found.filter("level > 0").join(up, ["level", "node"], "left").filter("above IS NULL OR above <> parent_key")
+    checks = {
+        "nodes": nodes,
+        "missing": nodes.join(found.filter("level = 0"), "node", "left_anti"),
+        "repeated": found.groupBy("level", "node").count().filter("count > 1"),
+        "too_large": leaves.filter(F.col("n") > communities.MAX_SIZE),
+        "not_nested": nested,
+        "misnamed": size.filter("least <> cluster_key OR n <> different"),
+    }
+    rows = None
+    for name, df in checks.items():
+        one = df.select(F.lit(name).alias("name"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy().agg(*[F.count(F.when(F.col("name") == name, 1)).alias(name) for name in checks])
+
+
 NATION_MEMBERS_SQL = f"members AS (SELECT s_nationkey AS community_id, {uuid5("'entity:supplier:' || s_suppkey")} AS entity_id FROM supplier)"
 
 
@@ -337,3 +369,22 @@ def e5(spark: SparkSession, sf: str) -> DataFrame:
     cache = wanted.withColumn("output_schema", F.when(F.col("tenant") == "en", "graph_v1").otherwise("graph_v0"))
     return lifecycle.cache_misses(wanted, cache, ["tenant", "project_id"], "graph_v1").select("tenant", "project_id")
 
+
+
+@query(
+    "e5_read_through",
+    f"""WITH {CHUNKS_SQL}, b AS (SELECT tenant, project_id, count(*)::VARCHAR AS result FROM chunks GROUP BY 1, 2)
+SELECT 'first' AS run, tenant, project_id, result, false AS hit FROM b WHERE tenant = 'en' UNION ALL SELECT 'all', tenant, project_id, result, tenant = 'en' FROM b
+UNION ALL SELECT 'again', tenant, project_id, result, true FROM b UNION ALL SELECT 'schema', tenant, project_id, result, false FROM b UNION ALL SELECT 'forced', tenant, project_id, result, false FROM b""",
+)
+def e5_read_through(spark: SparkSession, sf: str) -> DataFrame:
+    """One function behind the cache five times: for the English batches, for all, again, under another schema, and forced."""
+    key = ["tenant", "project_id"]
+    wanted = cut(lifecycle.fingerprints(base.chunks(spark, sf), key, F.concat_ws(" ", "chunk_id", "text")))
+    path = f"{job_dir(spark)}/caches/{uuid.uuid4().hex}"
+    work = lambda misses: misses.withColumn("result", F.col("n_lines").cast("string"))
+    out = None
+    for run, some, schema, force in (("first", "tenant = 'en'", "graph_v1", False), ("all", "true", "graph_v1", False), ("again", "true", "graph_v1", False), ("schema", "true", "graph_v2", False), ("forced", "true", "graph_v1", True)):
+        got = cached(wanted.filter(some), path, key, schema, work, force).select(F.lit(run).alias("run"), *key, "result", "hit")
+        out = cut(got) if out is None else out.unionByName(cut(got))
+    return out

@@ -66,6 +66,38 @@ def j4(spark: SparkSession, sf: str) -> DataFrame:
     return lifecycle.orphan_raw(keys, base.docs(spark, sf).filter("ingest_state NOT IN ('purged', 'pending')"), project()).select("key")
 
 
+MANIFESTS_SQL = "lines AS (SELECT 'batches/' || tenant || '/b' || doc_id % 16 || '/manifest.jsonl' AS key, document_id, ingest_state FROM docs)"
+
+
+def manifest_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document as a line of one of its tenant's batch manifests."""
+    batch = (F.col("doc_id") % 16).cast("string")
+    return base.docs(spark, sf).select(F.concat(F.lit("batches/"), "tenant", F.lit("/b"), batch, F.lit("/manifest.jsonl")).alias("key"), "document_id")
+
+
+STALE_MANIFESTS_SQL = "SELECT key FROM lines GROUP BY key HAVING bool_and(ingest_state IN ('purged', 'purging'))"
+
+
+@query("j4_stale_manifests", f"WITH {DOCS_SQL}, {MANIFESTS_SQL} {STALE_MANIFESTS_SQL}")
+def j4_manifests(spark: SparkSession, sf: str) -> DataFrame:
+    return lifecycle.stale_manifests(manifest_lines(spark, sf), base.docs(spark, sf))
+
+
+@query(
+    "j4_cleanup_report",
+    f"""WITH {DOCS_SQL}, {MANIFESTS_SQL}, c AS (SELECT 'stale_manifest' AS kind, key FROM ({STALE_MANIFESTS_SQL})
+  UNION ALL SELECT 'orphan_raw', {RAW_KEY_SQL} FROM raw WHERE project_id = {PROJECT_SQL} AND content_hash NOT IN (SELECT content_hash FROM docs WHERE ingest_state NOT IN ('purged', 'pending') AND project_id = {PROJECT_SQL}))
+SELECT kind, count(*) AS candidate_count, 0::BIGINT AS deleted_count, array_to_string(list_sort(list(key))[1:50], ' ') AS shown FROM c GROUP BY kind""",
+)
+def j4_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The dry run of a cleanup: how many there are of both kinds, and the first fifty."""
+    keys = base.raw(spark, sf).select(tables.artifact_key("raw").alias("key"))
+    known = base.docs(spark, sf)
+    raw = lifecycle.orphan_raw(keys, known.filter("ingest_state NOT IN ('purged', 'pending')"), project()).select(F.lit("orphan_raw").alias("kind"), "key")
+    stale = lifecycle.stale_manifests(manifest_lines(spark, sf), known).select(F.lit("stale_manifest").alias("kind"), "key")
+    return lifecycle.cleanup_report(raw.unionByName(stale)).withColumn("shown", F.array_join("shown", " "))
+
+
 @query("j14_stale_pages", "SELECT c_custkey AS id, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P') AS stale FROM customer")
 def j14(spark: SparkSession, sf: str) -> DataFrame:
     from .retrieval import with_stale
@@ -93,8 +125,8 @@ def l1(spark: SparkSession, sf: str) -> DataFrame:
     c, m = cut(base.chunks(spark, sf)), cut(mentions(spark, sf).select("chunk_id", "entity_id"))
     after, left = lifecycle.compensate(c.withColumn("embedding", F.lit(1.0)), m, wanted(spark, sf))
     one = after.agg(F.count(F.lit(1)).alias("n"), F.count("embedding").alias("kept")).select(F.lit("chunk").alias("kind"), "n", "kept")
-    total = m.agg(F.count(F.lit(1)).alias("n"))
-    return one.unionByName(left.agg(F.count(F.lit(1)).alias("kept")).join(total).select(F.lit("mention").alias("kind"), "n", "kept"))
+    both = m.select(F.lit(1).alias("before"), F.lit(0).alias("after")).unionByName(left.select(F.lit(0).alias("before"), F.lit(1).alias("after")))
+    return one.unionByName(both.agg(F.sum("before").alias("n"), F.sum("after").alias("kept")).select(F.lit("mention").alias("kind"), "n", "kept"))
 
 
 @query(
@@ -267,6 +299,18 @@ def t1(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").select("document_id", "filename")
 
 
+@query("s1_t1_binary_files", "SELECT sha256(s_name || chr(10)) AS content_hash, octet_length(encode(s_name)) + 1 AS size, s_name || chr(10) AS text FROM supplier")
+def t1_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of suppliers as files, taken in as a stream of bytes; the register's keys are met with the files again."""
+    root = _fresh(spark)
+    table(spark, sf, "supplier").select("s_suppkey", "s_name").repartition("s_suppkey").write.partitionBy("s_suppkey").text(f"{root}/in")
+    who = (F.lit("t"), F.lit("p"), F.lit("s"))
+    files = lambda reader: reader.format("binaryFile").schema(tables.FILES).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(f"{root}/in")
+    jobs.ingest_new(tables.file_content(files(spark.readStream), *who), f"{root}/out", f"{root}/at")
+    keys = spark.read.parquet(f"{root}/out").select("content_hash")
+    return tables.file_content(files(spark.read), *who).join(keys, "content_hash").select("content_hash", F.col("size").cast("int").alias("size"), "text")
+
+
 CHANGES_SQL = "changes AS (SELECT CASE WHEN event_type = 'error' THEN 'delete' ELSE 'upsert' END AS op, user_id AS remote_id, event_id AS seq, value FROM events)"
 
 
@@ -286,6 +330,53 @@ def t2(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.newest_version(spark, f"{root}/out").select("remote_id", "seq", "value")
 
 
+RESET_SQL = "f AS (SELECT max(seq) * 2 // 3 AS at_ FROM changes)"
+
+
+@query("t2_full_listing", f"WITH {CHANGES_SQL}, {RESET_SQL} SELECT remote_id, seq, value FROM (SELECT *, row_number() OVER (PARTITION BY remote_id ORDER BY seq DESC) AS n FROM changes), f WHERE n = 1 AND op <> 'delete' AND seq >= at_")
+def t2_full(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches in no order of their changes, with the beginning of a full listing in the second; the first two are compacted before the third comes."""
+    root = _fresh(spark)
+    own = _changes(spark, sf)
+    reset = own.agg(F.lit("full").alias("op"), F.lit(None).cast("long").alias("remote_id"), F.floor(F.max("seq") * 2 / 3).cast("long").alias("seq"), F.lit(None).cast("double").alias("value"))
+    for k in range(3):
+        part = own.filter(F.pmod(F.xxhash64("seq"), F.lit(3)) == k)
+        (part.unionByName(reset) if k == 1 else part).write.parquet(f"{root}/in/part={k}")
+        jobs.apply_changes(spark.readStream.schema(own.schema).parquet(f"{root}/in/part=*"), f"{root}/out", f"{root}/at")
+        if k == 1:
+            jobs.compact_changes(spark, f"{root}/out")
+    return jobs.newest_version(spark, f"{root}/out").select("remote_id", "seq", "value")
+
+
+@query(
+    "l2_delta_deletes",
+    f"""WITH {LINKED_SQL}, {CHANGES_SQL}, mid AS (SELECT max(seq) // 2 AS at_ FROM changes),
+gone AS (SELECT DISTINCT remote_id FROM (SELECT *, row_number() OVER (PARTITION BY remote_id, seq <= at_ ORDER BY seq DESC) AS n FROM changes, mid) WHERE n = 1 AND op = 'delete'),
+hit AS (SELECT document_id FROM docs WHERE doc_id IN (SELECT remote_id FROM gone) AND ingest_state <> 'purged'),
+e AS (SELECT chunk_id, count(*) AS m FROM mentions GROUP BY 1),
+a AS (SELECT h.document_id, count(c.chunk_id) AS chunk_count, coalesce(sum(m), 0)::BIGINT AS mentions_deleted FROM hit h LEFT JOIN chunks c ON h.document_id = c.document_id LEFT JOIN e ON c.chunk_id = e.chunk_id GROUP BY 1)
+SELECT d.document_id, CASE WHEN a.document_id IS NULL THEN ingest_state ELSE 'purged' END AS ingest_state, coalesce(chunk_count, 0)::BIGINT AS cleared, coalesce(mentions_deleted, 0)::BIGINT AS mentions_deleted FROM docs d LEFT JOIN a ON d.document_id = a.document_id""",
+)
+def l2_deletes(spark: SparkSession, sf: str) -> DataFrame:
+    """Deletes of a feed in two batches, carried through to documents, chunks and mentions."""
+    root = _fresh(spark)
+    own = _changes(spark, sf)
+    mid = own.agg(F.max("seq")).first()[0] // 2
+    known = cut(base.docs(spark, sf).withColumn("remote_id", F.col("doc_id")))
+    for k, part in enumerate((own.filter(F.col("seq") <= mid), own.filter(F.col("seq") > mid))):
+        part.write.parquet(f"{root}/in/part={k}")
+        jobs.apply_deletes(spark.readStream.schema(own.schema).parquet(f"{root}/in/part=*"), known, f"{root}/gone", f"{root}/at")
+    given = {
+        "documents": known, "tombstones": known.filter("false").select(*lifecycle.CONTENT, "document_id", F.lit("").alias("reason")),
+        "chunks": cut(base.chunks(spark, sf).withColumn("embedding", F.lit(1.0))), "mentions": cut(mentions(spark, sf).select("chunk_id", "entity_id")),
+        "stale": known.filter("false").select("tenant", "project_id", F.lit("").alias("community_id")),
+    }
+    after = jobs.after_deletes(spark, f"{root}/gone", given)
+    sums = after["audit"].select("document_id", "embeddings_cleared", "mentions_deleted")
+    none = F.lit(0).cast("long")
+    return after["documents"].join(sums, "document_id", "left").select("document_id", "ingest_state", F.coalesce("embeddings_cleared", none).alias("cleared"), F.coalesce("mentions_deleted", none).alias("mentions_deleted"))
+
+
 STATES_SQL = "ev AS (SELECT user_id AS document_id, event_id AS seq, CASE event_type WHEN 'purchase' THEN 'indexed_graph' WHEN 'error' THEN CASE WHEN value > 200 THEN 'purged' ELSE 'dead_letter' END WHEN 'view' THEN 'indexed_rag' ELSE 'pending' END AS state FROM events)"
 
 

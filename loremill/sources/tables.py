@@ -59,6 +59,29 @@ def register_raw(content: DataFrame, existing: DataFrame | None = None) -> DataF
     return one.select("*", ids.document_id("tenant", "project_id", "content_hash").alias("document_id"), artifact_key("raw").alias("s3_raw_uri"))
 
 
+#: Columns of Spark's binary file source.
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def file_content(files: DataFrame, tenant, project_id, source_id) -> DataFrame:
+    """Rows for ``register_raw`` from rows of Spark's ``binaryFile`` source, batch or stream: ``tenant, project_id, source_id, filename, content, size, path, content_hash, text``.
+
+    ``content`` stays as bytes, and so does its hash; ``text`` is decoded as UTF-8 with U+FFFD for what is not. The id columns may be literals.
+    Empty files are not there: Spark's file sources pass over them.
+    """
+    name = F.url_decode(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\+", "%2B"))
+    text = F.make_valid_utf8(F.col("content").cast("string"))
+    return files.select(
+        ids.col(tenant).alias("tenant"), ids.col(project_id).alias("project_id"), ids.col(source_id).alias("source_id"), name.alias("filename"),
+        "content", F.col("length").alias("size"), "path", F.sha2("content", 256).alias("content_hash"), text.alias("text"),
+    )
+
+
+def read_files(spark: SparkSession, path: str, tenant, project_id, source_id) -> DataFrame:
+    """All files of a folder as content rows (see ``file_content``)."""
+    return file_content(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path), tenant, project_id, source_id)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Rows of JSON lines under a stated schema; blank lines are ignored."""
     return spark.read.schema(schema).json(path)

@@ -191,13 +191,6 @@ def test_fusion(spark):
     assert got == [("b", "p"), ("a", "first"), ("c", "r")]
 
 
-def test_vector_blocks(spark):
-    v = spark.createDataFrame([(k, None, [float(k), 1.0]) for k in range(20)] + [(99, None, [0.0, 0.0]), (98, None, None)], "id long, scope string, vector array<double>")
-    q = v.filter("id < 5").withColumnRenamed("id", "query_id")
-    whole = sorted(map(tuple, search.vector_top(q, v, 3).collect()))
-    assert whole == sorted(map(tuple, search.vector_top(q, v, 3, most_bytes=100).collect())) and len(whole) == 15
-
-
 def test_upsert_and_states(spark):
     old = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "id long, text string, e double")
     new = spark.createDataFrame([(2, "B", None), (3, "c", 3.0)], "id long, text string, e double")
