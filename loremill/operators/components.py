@@ -29,16 +29,19 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, small: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
+    ``small`` is for rows of a few numbers: they are dealt evenly to two files for each core of the cluster, so that
+    a table that is made over and over does not become as many files as there are shuffle partitions.
+
     The result no longer depends on the executors that computed it, is computed once however often
     it is read, and joins on it get their own exchange, which adaptive execution can split when a
     key is hot.
     """
     spark = df.sparkSession
     path = f"{job_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.repartition(2 * spark.sparkContext.defaultParallelism) if small else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -48,13 +51,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         around = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     else:
         around = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = cut(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+    least = cut(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), small=True)
     moved = around.join(least, "a")
     if large:
         moved = moved.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         moved = moved.select("a", F.col("m").alias("b")).union(moved.select(F.col("b").alias("a"), F.col("m").alias("b")))
-    return cut(moved.filter("a <> b").distinct())
+    return cut(moved.filter("a <> b").distinct(), small=True)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -66,8 +69,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     only a count reaches the driver. A hub's rows meet in aggregations with map-side combining, or in a
     join of written tables, which adaptive execution splits.
     """
-    own = cut(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL"))
-    work = cut(own.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    own = cut(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL"), small=True)
+    work = cut(own.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), small=True)
     mark = None
     while True:
         work = _star(_star(work, large=True), large=False)
