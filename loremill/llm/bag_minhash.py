@@ -22,6 +22,7 @@ counted in full. So all that can be missed is a pair that shares no bucket at al
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ WORDS, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 misses all 16 bands of 4 registers once in 4,500 times.
 REGISTERS, BANDS = 64, 16
 SLICE_BYTES = 300_000
+#: Ratio of the greatest to the least size of a class of sizes.
+CLASS = 1.05
 _STEP = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -161,7 +164,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more are linked; a class is what links connect, named by its least id. The row with the least id stays;
     of rows with that id and different texts the one with the least ``text_hash`` (xxhash64 of the text;
     null counts as empty), which with the id tells rows apart; rows that repeat both are all marked kept.
-    ``n_links`` is the number of links found between the row's multiset and other multisets. Words ignore
+    ``n_links`` is the number of links between the row's multiset and others that were looked for, a lower bound of all there
+    are: members that share a hub or a centre are known to be of one class and not compared with each other. Words ignore
     case and marks. A text of one to four words has one run of them all; texts without words (also null)
     are equal to each other and to nothing else. Rows with equal multisets, repeated rows among them, are
     one class without being compared. A row without id is left as it is, in a class of its own.
@@ -175,23 +179,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stand = sketched.groupBy("low", "high", "n").agg(F.min(F.struct("id", "row")).alias("first"), F.any_value("bands").alias("bands"))
     stand = cut(stand.select(F.struct("low", "high").alias("rep"), "n", "first", "bands"))
     buckets = stand.select("rep", "n", F.posexplode("bands").alias("band", "hash"))
-    shared = cut(buckets.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
+    shared = cut(buckets.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), small=True)
     members = cut(buckets.join(shared, ["band", "hash"]))
-    who = cut(stand.select("rep", "first").join(members.select("rep").distinct().hint("merge"), "rep", "left_semi").select("first.id", "first.row"))
+    who = cut(stand.select("rep", "first").join(members.select("rep").distinct().hint("merge"), "rep", "left_semi").select("first.id", "first.row"), small=True)
     sharing = named.join(who.hint("merge"), ["id", "row"], "left_semi").dropDuplicates(["id", "row"])
     runs = cut(multisets(sharing).select(F.struct("low", "high").alias("rep"), "runs"))
     central = _central(members)
-    links = cut(_similar(_with_centres(members, central, similarity), runs, similarity))
+    links = cut(_similar(_with_centres(members, central, similarity), runs, similarity), small=True)
     late = _similar(_candidates(members, _hubs(links, central), runs, similarity), runs, similarity)
-    links = cut(links.union(late).distinct())
+    links = cut(links.union(late).distinct(), small=True)
 
-    group = cut(components(links).select(F.col("node").alias("rep"), F.col("component").alias("g")))
+    group = cut(components(links).select(F.col("node").alias("rep"), F.col("component").alias("g")), small=True)
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     classed = cut(stand.select("rep", "first").join(group.hint("merge"), "rep", "left").join(degree.hint("merge"), "rep", "left").select("rep", "first", F.coalesce("g", "rep").alias("g"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
-    least = cut(classed.groupBy("g").agg(F.min("first").alias("least")))
+    least = cut(classed.groupBy("g").agg(F.min("first").alias("least")), small=True)
     placed = sketched.select("id", "row", F.struct("low", "high").alias("rep")).join(classed.join(least.hint("merge"), "g").select("rep", "least", "n_links").hint("merge"), "rep")
     placed = cut(placed.select("id", "row", "least", "n_links"))
-    sizes = cut(placed.groupBy("least").agg(F.count(F.lit(1)).alias("class_size")))
+    sizes = cut(placed.groupBy("least").agg(F.count(F.lit(1)).alias("class_size")), small=True)
     out = placed.join(sizes, "least").select(
         F.col("id").alias(id_col), F.col("least.id").alias("class_id"), "class_size", "n_links", (F.struct("id", "row") == F.col("least")).alias("kept"), F.col("row").alias("text_hash")
     )
@@ -203,22 +207,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _central(members: DataFrame) -> DataFrame:
     """``rep, s``: how central a multiset is, least first: by the members of all its buckets, then by name."""
     degree = members.groupBy("rep", "n").agg(F.sum("size").alias("d"))
-    return cut(degree.select("rep", F.struct((-F.col("d")).alias("d"), F.col("rep").alias("id"), F.col("n").alias("n")).alias("s")))
+    return cut(degree.select("rep", F.struct((-F.col("d")).alias("d"), F.col("rep").alias("id"), F.col("n").alias("n")).alias("s")), small=True)
 
 
 def _with_centres(members: DataFrame, central: DataFrame, similarity: float) -> DataFrame:
     """``a, b``: each member of a bucket with the bucket's centre, if their sizes let them be similar."""
     centres = members.select("band", "hash", "rep").join(central, "rep").groupBy("band", "hash").agg(F.min("s").alias("s"))
-    pairs = members.join(cut(centres), ["band", "hash"]).select("rep", "n", F.col("s.id").alias("centre"), F.col("s.n").alias("m")).filter("rep <> centre")
+    pairs = members.join(cut(centres, small=True), ["band", "hash"]).select("rep", "n", F.col("s.id").alias("centre"), F.col("s.n").alias("m")).filter("rep <> centre")
     fits = F.least("n", "m") >= similarity * F.greatest("n", "m")
-    return cut(pairs.filter(fits).select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct())
+    return cut(pairs.filter(fits).select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct(), small=True)
 
 
 def _hubs(links: DataFrame, central: DataFrame) -> DataFrame:
     """``rep, g``: two steps along links, each to the most central neighbour. Who has the same hub is in the same class; most of a class has."""
     ways = links.union(links.select("b", "a")).select(F.col("a").alias("rep"), F.col("b").alias("other"))
     step = ways.join(central.select(F.col("rep").alias("other"), "s"), "other").groupBy("rep").agg(F.min("s").alias("t"))
-    step = cut(step.join(central, "rep").select("rep", F.least("s", "t")["id"].alias("to")))
+    step = cut(step.join(central, "rep").select("rep", F.least("s", "t")["id"].alias("to")), small=True)
     return step.join(step.select(F.col("rep").alias("to"), F.col("to").alias("then")), "to").select("rep", F.xxhash64("then").alias("g"))
 
 
@@ -238,20 +242,29 @@ def _candidates(members: DataFrame, hubs: DataFrame, runs: DataFrame, similarity
     classed = members.join(hubs.hint("merge"), "rep", "left").select("rep", "n", "band", "hash", F.coalesce("g", F.xxhash64("rep")).alias("g"))
     classed = cut(classed)
     mixed_ = classed.groupBy("band", "hash").agg(F.min("g").alias("g"), F.max("g").alias("h")).filter("g <> h").select("band", "hash")
-    open_ = cut(classed.join(cut(mixed_).hint("merge"), ["band", "hash"], "left_semi").select("rep", "n", "g").distinct())
+    open_ = cut(classed.join(cut(mixed_, small=True).hint("merge"), ["band", "hash"], "left_semi").select("rep", "n", "g").distinct())
     each = open_.join(runs.hint("merge"), "rep").select("rep", "n", "g", F.explode("runs").alias("run"))
     often = cut(each.groupBy("run").agg(F.count(F.lit(1)).alias("uses"), F.min("g").alias("g"), F.max("g").alias("h")).filter("uses > 1").select("run", "uses", (F.col("g") != F.col("h")).alias("wide")))
     placed = each.join(often.hint("merge"), "run").groupBy("rep", "n", "g").agg(F.sort_array(F.collect_list(F.struct("uses", "run", "wide"))).alias("order"))  # as many as the document has runs
     start = placed.select("rep", "n", "g", (F.col("n") - F.size("order")).alias("alone"), F.posexplode("order").alias("k", "r")).withColumn("at", F.col("alone") + F.col("k"))
-    start = cut(start.filter((F.col("at") <= (1 - similarity) * F.col("n")) & F.col("r.wide")).select("rep", "n", "g", "at", F.col("r.run").alias("run")))
+    start = start.filter((F.col("at") <= (1 - similarity) * F.col("n")) & F.col("r.wide")).select("rep", "n", "g", "at", F.col("r.run").alias("run"))
+    # Sizes are put into classes: a run is only looked for at places where a partner of the class can be reached at all,
+    # so texts of one template, which share runs but not enough of them, do not meet.
+    step = math.log(CLASS)
+    of = lambda n: F.floor(F.log(n.cast("double")) / step + 1e-9).cast("int")
+    start = start.withColumn("own", of(F.col("n"))).withColumn("other", F.explode(F.sequence(of(F.greatest(F.col("n") * similarity, F.lit(1.0))), of(F.col("n") / similarity))))
+    smallest = F.greatest(F.ceil(F.exp(F.col("other") * step) * (1 - 1e-9)), F.ceil(F.col("n") * similarity - 1e-9))
+    start = start.filter(F.col("at") <= F.col("n") - F.ceil((F.col("n") + smallest) * (similarity / (1 + similarity)) - 1e-9))
+    start = cut(start.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")))
     # The group that has most of a run's members is not compared with itself.
-    most = start.groupBy("run", "g").agg(F.count(F.lit(1)).alias("k")).groupBy("run").agg(F.max(F.struct("k", "g")).alias("most"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
-    most = cut(most.select("run", F.col("most.g").alias("most")))
-    named = lambda df, k: df.select("run", *[F.col(c).alias(f"{c}_{k}") for c in df.columns if c != "run"])
-    few = start.join(most.hint("merge"), "run").filter("g <> most").drop("most")
+    key = ["run", "low", "high"]
+    most = start.groupBy(*key, "g").agg(F.count(F.lit(1)).alias("k")).groupBy(*key).agg(F.max(F.struct("k", "g")).alias("most"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    most = cut(most.select(*key, F.col("most.g").alias("most")), small=True)
+    side = lambda df, k: df.select(*[F.col(c).alias(f"{c}_{k}") for c in ("run", "own", "other", "rep", "n", "g", "at")])
+    few = start.join(most.hint("merge"), key).filter("g <> most").drop("most")
     need = F.ceil((F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - 1e-9)
     fits = (F.col("g_a") != F.col("g_b")) & (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
     first = (F.col("at_a") <= F.col("n_a") - need) & (F.col("at_b") <= F.col("n_b") - need)
-    x, y = named(cut(few), "a"), named(start, "b").withColumnRenamed("run", "run_b").hint("merge")
-    met = x.join(y, (F.col("run") == F.col("run_b")) & fits & first)
-    return cut(met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct())
+    x, y = side(cut(few), "a"), side(start, "b").hint("merge")
+    met = x.join(y, (F.col("run_a") == F.col("run_b")) & (F.col("own_a") == F.col("other_b")) & (F.col("other_a") == F.col("own_b")) & fits & first)
+    return cut(met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct(), small=True)

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import cut
+from .shared import cut, numbered
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Messages in a row; parts whose lengths are added up together.
@@ -27,28 +27,6 @@ def _header(role: Column, me: Column) -> Column:
     return F.concat(F.lit(START), who, F.lit("\n"))
 
 
-def _numbered(messages: DataFrame, per_part: int) -> DataFrame:
-    """``conv, part, m``: the messages of each dialogue in order, ``per_part`` to a row."""
-    sized = messages.groupBy("conv").agg(F.count(F.lit(1)).alias("n"))
-    long = cut(sized.filter(F.col("n") > per_part).select(F.col("conv").alias("big")))
-    same = messages["conv"].eqNullSafe(long["big"])
-    order = F.struct("turn", "role", "text")
-    whole = messages.join(long, same, "left_anti").groupBy("conv").agg(F.sort_array(F.collect_list(order)).alias("m"))
-    # Rows repeated in all columns may be told apart by any number: they are the same.
-    rest = messages.join(long, same, "left_semi").withColumn("tie", F.monotonically_increasing_id())
-    keys = ["conv", "turn", "role", "text", "tie"]
-    placed = cut(rest.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("place", F.monotonically_increasing_id()).drop("tie"))
-    split = F.shiftrightunsigned("place", 33)
-    spans = placed.groupBy("conv", split.alias("split")).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("k"))
-    earlier = Window.partitionBy("conv").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition that the dialogue is in
-    spans = cut(spans.select(F.col("conv").alias("c"), "split", "first", F.coalesce(F.sum("k").over(earlier), F.lit(0)).alias("before")))
-    ranked = placed.join(spans, placed["conv"].eqNullSafe(spans["c"]) & (split == spans["split"]))
-    part = F.floor((F.col("place") - F.col("first") + F.col("before")) / F.lit(per_part)).cast("long")
-    parts = ranked.select("conv", part.alias("part"), "place", "turn", "role", "text").groupBy("conv", "part").agg(F.sort_array(F.collect_list(F.struct("place", "turn", "role", "text"))).alias("m"))
-    parts = parts.select("conv", "part", F.transform("m", lambda x: F.struct(x["turn"].alias("turn"), x["role"].alias("role"), x["text"].alias("text"))).alias("m"))
-    return whole.select("conv", F.lit(0).cast("long").alias("part"), "m").unionByName(parts)
-
-
 def rotate_perspectives(conversations: DataFrame, per_part: int = MESSAGES_PER_PART) -> DataFrame:
     """``conv_id, part, perspective, n_messages, start, text, mask array<struct<start, end>>``.
 
@@ -60,7 +38,7 @@ def rotate_perspectives(conversations: DataFrame, per_part: int = MESSAGES_PER_P
     no row. Marks that occur inside a message are left as they are; the spans, not the marks, are authoritative.
     """
     messages = conversations.select(F.col("conv_id").alias("conv"), "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = cut(_numbered(messages, per_part))
+    parts = cut(numbered(messages, per_part))
     speakers = cut(messages.filter("role <> 'system'").groupBy("conv", F.col("role").alias("perspective")).agg(F.count(F.lit(1)).alias("messages")).withColumnRenamed("conv", "of"))
     seen = parts.join(speakers, parts["conv"].eqNullSafe(speakers["of"])).select("conv", "part", "perspective", "m")
 
@@ -91,6 +69,10 @@ def rotate_perspectives(conversations: DataFrame, per_part: int = MESSAGES_PER_P
     drawn = seen.withColumn("pieces", pieces).withColumn("drawn", spans)
     text = F.array_join(F.transform("pieces", lambda x: F.concat(x["head"], x["body"], F.lit("\n"))), "")
     drawn = drawn.select("conv", "part", "perspective", F.size("pieces").cast("long").alias("n_messages"), text.alias("text"), F.col("drawn.at").alias("size"), F.col("drawn.spans").alias("spans"))
+    mask = F.transform("spans", lambda x: F.struct((x["start"] + F.col("start")).alias("start"), (x["end"] + F.col("start")).alias("end")))
+    final = ["part", "perspective", "n_messages", "start", "text"]
+    if parts.filter("part > 0").isEmpty():
+        return drawn.withColumn("start", F.lit(0).cast("long")).select(F.col("conv").alias("conv_id"), *final, mask.alias("mask"))
     # Parts after the first begin where the parts before them end: lengths by block of parts, then inside a block.
     one, more = drawn.filter("part = 0"), cut(drawn.filter("part > 0"))
     sizes = cut(one.join(more.select(F.col("conv").alias("c"), F.col("perspective").alias("p")).distinct(), F.col("conv").eqNullSafe(F.col("c")) & (F.col("perspective") == F.col("p")), "left_semi").select("conv", "perspective", "part", "size").unionByName(more.select("conv", "perspective", "part", "size")))
@@ -102,8 +84,7 @@ def rotate_perspectives(conversations: DataFrame, per_part: int = MESSAGES_PER_P
     starts = inner.join(blocks, inner["conv"].eqNullSafe(F.col("c")) & (F.col("perspective") == F.col("p")) & (F.col("block") == F.col("b"))).select(F.col("conv").alias("of"), F.col("perspective").alias("by"), F.col("part").alias("k"), (F.col("near") + F.col("far")).alias("start"))
     placed = more.join(starts, more["conv"].eqNullSafe(F.col("of")) & (F.col("perspective") == F.col("by")) & (F.col("part") == F.col("k")))
     out = one.withColumn("start", F.lit(0).cast("long")).unionByName(placed.select(*one.columns, F.col("start").cast("long").alias("start")))
-    mask = F.transform("spans", lambda x: F.struct((x["start"] + F.col("start")).alias("start"), (x["end"] + F.col("start")).alias("end")))
-    return out.select(F.col("conv").alias("conv_id"), "part", "perspective", "n_messages", "start", "text", mask.alias("mask"))
+    return out.select(F.col("conv").alias("conv_id"), *final, mask.alias("mask"))
 
 
 def with_digest(rendered: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """URL filters: host and path rules, and for the rest the ratio of two character language models.
 
-The urls that a rule decides are the examples, without the domain and the path that the rule names, so
-the models learn what such urls are like and not the rules. One variable-order Markov model is estimated on
+The urls that a rule decides are the examples. What rules look at is left out of every url, of examples and of those
+to be judged alike: the host's last label, further labels at its end that rules name, and the first part of the path. So the
+models learn what such urls are like and not the rules, and an example's shape does not tell its rule. One variable-order Markov model is estimated on
 the accepted, one on the rejected. Each model mixes orders 0 to 5: the estimate from a context counts as
 far as the context was seen, the rest of the weight goes to the context that is one character shorter.
 
@@ -50,12 +51,17 @@ def rule_of(host: Column, path: Column, rules: Rules) -> Column:
     return out
 
 
-def without_rule(url: Column, host: Column, rule: Column) -> Column:
-    """A url without the domain and the path prefix of the rule that decides it; its subdomain and the rest stay."""
-    domain = F.substring_index(rule, "/", 1)
-    begin = F.locate("://", url) + 3
-    keep = begin - 1 + F.char_length(host) - F.char_length(domain)
-    return F.concat(F.substring(url, F.lit(1), keep), F.substring(url, begin + F.char_length(host) + F.char_length(rule) - F.char_length(domain), F.char_length(url)))
+def plain_url(host: Column, url: Column, rules: Rules) -> Column:
+    """A url without scheme, without its host's last label and the labels before it that rules name, and without the first part of its path."""
+    labels = F.split(host, r"\.")
+    named = sorted({x for text, _ in rules for x in text.partition("/")[0].split(".")})
+    left = F.slice(labels, F.lit(1), F.greatest(F.size(labels) - 1, F.lit(0)))
+    known = lambda k: F.forall(F.slice(left, k + 1, F.size(left) + 1), lambda x: x.isin(*named)) if named else F.lit(False)
+    # Where the labels that rules name begin: the first place from which all are such.
+    keep = F.array_min(F.filter(F.sequence(F.lit(0), F.size(left)), known)) if named else F.size(left)
+    begin = F.locate("://", url)
+    rest = F.regexp_replace(F.substring(url, begin + 3 + F.char_length(host), F.char_length(url)), r"^/[^/?#]*", "")
+    return F.when(begin > 0, F.concat(F.array_join(F.slice(left, F.lit(1), keep), "."), rest)).otherwise(url)
 
 
 # ---- the models -------------------------------------------------------------------------------------
@@ -122,24 +128,24 @@ def filter_urls(pages: DataFrame, rules: Rules, id_col: str = "page_id", url_col
     ``verdict`` is the longest fitting rule's, else ``allow`` if the score reaches the threshold and
     ``block`` if not; ``score`` is null where a rule decides. A url without host has no rule. Where no rule
     decides any url, or all the same way, every score is 0 and the rest is allowed. Rules see host and path,
-    the models the whole url (null as empty). Copies of a url count each time and are scored once. Other
+    the models all of the url but what rules look at (see ``plain_url``; null as empty). Copies of a url count each time and are scored once. Other
     columns are ignored, also ones named like the result's.
     """
     host, path = host_and_path(F.col("url"))
     own = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url")).select("id", "url", host.alias("host"), path.alias("path"))
-    own = own.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
+    own = own.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn("plain", plain_url(F.col("host"), F.col("url"), rules))
     says = F.create_map(*[F.lit(x) for r in rules for x in r])
     decided, open_ = own.filter("rule IS NOT NULL"), own.filter("rule IS NULL")
     kept = F.pmod(F.xxhash64("host"), F.lit(CALIBRATE)) == 0
-    examples = cut(decided.groupBy(without_rule(F.col("url"), F.col("host"), F.col("rule")).alias("text"), says[F.col("rule")].alias("verdict"), kept.alias("kept")).agg(F.count(F.lit(1)).alias("n")))
+    examples = cut(decided.groupBy(F.col("plain").alias("text"), says[F.col("rule")].alias("verdict"), kept.alias("kept")).agg(F.count(F.lit(1)).alias("n")))
     verdicts = {r["verdict"] for r in examples.filter("NOT kept").select("verdict").distinct().collect()}
     told = decided.select(F.col("id").alias(id_col), "host", "path", "rule", says[F.col("rule")].alias("verdict"), F.lit(None).cast("double").alias("score"))
     if len(verdicts) < 2:
         rest, least = open_.withColumn("score", F.lit(0.0)), 0.0
     else:
-        texts = cut(open_.select(F.col("url").alias("text")).union(examples.filter("kept").select("text")).distinct())
+        texts = cut(open_.select(F.col("plain").alias("text")).union(examples.filter("kept").select("text")).distinct())
         scored = cut(score_texts(texts, count_grams(examples.filter("NOT kept"))))
         least = threshold(examples.filter("kept").join(scored, "text"))
-        rest = open_.join(scored.withColumnRenamed("text", "url").hint("merge"), "url")
+        rest = open_.join(scored.withColumnRenamed("text", "plain").hint("merge"), "plain")
     verdict = F.when(F.col("score") >= least, "allow").otherwise("block")
     return told.unionByName(rest.select(F.col("id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), "score"))
