@@ -152,7 +152,7 @@ def clean_field(x, normalise: bool = True) -> Column:
 
 def json_payload(x) -> Column:
     """The innermost object of up to four ``{"output": ...}`` envelopes (an output may be a JSON text), taken from a fence if there is one."""
-    fenced = F.regexp_extract(col(x), r"(?s)```(?:json)?\s*(.*?)```", 1)
+    fenced = F.regexp_extract(col(x), r"(?is)```(?:json)?\s*(.*?)```", 1)
     s = F.coalesce(filled(fenced), col(x))
     for _ in range(4):
         inner = F.get_json_object(s, "$.output")

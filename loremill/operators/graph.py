@@ -60,7 +60,7 @@ def normalised_edges(edges: DataFrame) -> DataFrame:
 
 def latest_entities(entities: DataFrame) -> DataFrame:
     """One row per id: of the last batch (``batch, id, name, description``)."""
-    return latest(entities, ["id"], [F.desc("batch"), F.desc("name"), F.desc("description")])
+    return latest(entities, ["id"], ["batch", "name", "description"])
 
 
 def scoped_edges(edges: DataFrame, scope: DataFrame | None) -> DataFrame:

@@ -186,7 +186,7 @@ def mark_indexed(documents: DataFrame, batch: DataFrame, state: str, cursors: li
 
 def latest_runs(runs: DataFrame) -> DataFrame:
     """The run with the greatest id of each tenant and batch."""
-    return latest(runs, ["tenant", "batch_id"], [F.desc("id")])
+    return latest(runs, ["tenant", "batch_id"], ["id"])
 
 
 def run_order() -> list[Column]:

@@ -251,6 +251,13 @@ def c2(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("doc_id", F.posexplode(splitting.blocks_column("md")).alias("block", "b")).select("doc_id", "block", "b.type", "b.level", "b.text", "b.heading_path")
 
 
+@query("e4_extractor_by_name", "SELECT doc_id, (k - 1)::INT AS block, line AS text FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k FROM documents)")
+def e4(spark: SparkSession, sf: str) -> DataFrame:
+    """A registered extractor of our own, found by its name: every line is a block."""
+    splitting.register_extractor("lines", lambda text: [{"type": "paragraph", "level": None, "text": t, "heading_path": []} for t in text.split("\n")])
+    return table(spark, sf, "documents").select("doc_id", F.posexplode(splitting.blocks_column("text", "lines")).alias("block", "b")).select("doc_id", "block", "b.text")
+
+
 LINES_SQL = f"""lines AS (SELECT document_id, pos, {strip('line')} AS body, (list_value('Title', 'NarrativeText', 'ListItem', 'Table', 'Image', 'FigureCaption', 'Footer'))[((pos - 1) % 7 + 1)::BIGINT] AS type FROM (SELECT document_id, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) AS pos FROM docs)),
 kept AS (SELECT document_id, pos, body, CASE type WHEN 'Title' THEN 'heading' WHEN 'ListItem' THEN 'list_item' WHEN 'Table' THEN 'table' WHEN 'Image' THEN 'image' WHEN 'FigureCaption' THEN 'caption' ELSE 'paragraph' END AS kind FROM lines WHERE type <> 'Footer' AND (body <> '' OR type IN ('Title', 'Image'))),
 headed AS (SELECT *, last_value(CASE WHEN kind = 'heading' AND body <> '' THEN body END IGNORE NULLS) OVER w AS heading, last_value(CASE WHEN kind <> 'caption' THEN kind END IGNORE NULLS) OVER w AS before, sum((kind <> 'caption')::INT) OVER w AS block FROM kept WINDOW w AS (PARTITION BY document_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
@@ -289,7 +296,19 @@ def _boxes(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("text", ingest.box_text(spans)).withColumn("caption", F.lit(None).cast("string")).withColumn("table_markdown", F.lit(None).cast("string"))
 
 
-@query("c6_layout_chunks")
+LAYOUT_SQL = f"""b AS (SELECT tenant, document_id, pos, {strip('line')} AS body, (list_value('text', 'page-header', 'Title', 'table', 'picture', 'caption', 'list-item'))[((pos - 1) % 7 + 1)::BIGINT] AS c FROM (SELECT tenant, document_id, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) AS pos FROM docs)),
+r AS (SELECT * FROM (SELECT *, CASE c WHEN 'page-header' THEN NULL WHEN 'table' THEN 'table' WHEN 'picture' THEN 'image' WHEN 'Title' THEN 'heading' WHEN 'list-item' THEN 'list_item' WHEN 'caption' THEN 'caption' ELSE CASE WHEN regexp_matches(body, '^\\d+\\.\\s+\\S') THEN 'heading' WHEN regexp_matches(body, '^-\\s*\\d+\\s*-$') THEN NULL WHEN body <> '' THEN 'paragraph' END END AS role FROM b) WHERE role IS NOT NULL),
+h AS (SELECT *, last_value(CASE WHEN role = 'heading' AND body <> '' THEN body END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS heading,
+  last_value(CASE WHEN role = 'caption' THEN body WHEN role <> 'heading' THEN '' END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS waits FROM r),
+bodies AS (SELECT * FROM (SELECT tenant, document_id, pos, role, heading, CASE WHEN role = 'image' THEN coalesce(waits, '') ELSE body END AS p FROM h WHERE role NOT IN ('heading', 'caption')) WHERE p <> ''),
+{base.cut_sql('bodies', 'tenant, document_id, pos, role, heading', 1000)},
+n AS (SELECT *, (row_number() OVER (PARTITION BY document_id ORDER BY pos, n) - 1)::INT AS chunk_index FROM pieces)"""
+
+
+@query(
+    "c6_layout_chunks",
+    f"WITH RECURSIVE {DOCS_SQL}, {LAYOUT_SQL} SELECT document_id, chunk_index, {base.uuid5("tenant || ':' || document_id || ':' || chunk_index || ':' || sha256(piece)")} AS chunk_id, piece AS text, CASE WHEN heading IS NULL THEN [] ELSE [heading] END AS heading_path, role AS source_block_type FROM n",
+)
 def c6(spark: SparkSession, sf: str) -> DataFrame:
     blocks = ingest.layout_blocks(_boxes(spark, sf))
     lists = blocks.groupBy("document_id").agg(F.sort_array(F.collect_list(F.struct("pos", "type", "text", "heading_path"))).alias("blocks"))

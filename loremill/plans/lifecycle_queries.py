@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import ids, splitting, text as X
-from ..operators import graph, lifecycle
+from ..operators import graph, lifecycle, search
 from ..operators.components import cut, job_dir
 from ..sources import tables
 from ..streaming import jobs
@@ -468,7 +468,8 @@ def x10(spark: SparkSession, sf: str) -> DataFrame:
 def x11(spark: SparkSession, sf: str) -> DataFrame:
     """Messages wrapped twice in envelopes and once in a fence, unwrapped again."""
     inner = F.to_json(F.struct("role"))
-    wrapped = F.concat(F.lit('Result:\n```json\n{"output": {"output": '), inner, F.lit("}}\n```"))
+    fence = F.when(F.col("turn") % 2 == 0, "json").otherwise("JSON")
+    wrapped = F.concat(F.lit("Result:\n```"), fence, F.lit('\n{"output": {"output": '), inner, F.lit("}}\n```"))
     return table(spark, sf, "conversations").select("conv_id", "turn", X.json_payload(wrapped).alias("payload"))
 
 
@@ -491,13 +492,47 @@ def x14(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("x16_hits", "SELECT s_suppkey AS id, s_name || ' | ' || n_name AS text, '{\"name\":\"' || s_name || '\",\"entity_id\":\"' || s_suppkey || '\"}' AS provenance FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def x16(spark: SparkSession, sf: str) -> DataFrame:
-    from ..operators import search
-
     s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
     own = s.join(n, s["s_nationkey"] == n["n_nationkey"]).select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("name"), F.col("n_name").alias("description"))
     return own.select(F.col("id").cast("long").alias("id"), *search.entity_hit()).drop("kind")
 
 
+@query("x16_chunk_hits", """SELECT c_custkey AS id, 'chunk' AS kind, c_name AS text, '{"document_id":"d' || c_custkey || '","chunk_id":"c' || c_custkey || '","entity_ids":["e' || c_custkey % 7 || '"]}' AS provenance FROM customer""")
+def x16_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("c_custkey").cast("string")
+    own = table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("c"), k).alias("id"), F.concat(F.lit("d"), k).alias("document_id"), F.col("c_name").alias("text"))
+    who = F.array(F.concat(F.lit("e"), (F.col("c_custkey") % 7).cast("string")))
+    return own.select(F.col("c_custkey").alias("key"), *search.chunk_hit(entity_ids=who)).withColumnRenamed("key", "id")
+
+
+@query(
+    "x16_wiki_hits",
+    """SELECT s_suppkey AS id, 'wiki' AS kind, CASE WHEN s_suppkey % 3 = 0 THEN s_name WHEN length(trim(repeat(s_name || ' ', 40))) > 400 THEN rtrim(substr(repeat(s_name || ' ', 40), 1, 399)) || '…' ELSE trim(repeat(s_name || ' ', 40)) END AS text,
+'{"community_id":"c' || s_suppkey || '","slug":"s' || s_suppkey || '","vfs_path":"/wiki/s' || s_suppkey || '.md","batch_id":"b1","title":"' || s_name || '"' || CASE WHEN s_suppkey % 2 = 0 THEN ',"stale":true' ELSE '' END || '}' AS provenance FROM supplier""",
+)
+def x16_wiki(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of forty names, one in three without a body; every other one stale."""
+    k = F.col("s_suppkey").cast("string")
+    body = F.when(F.col("s_suppkey") % 3 == 0, "").otherwise(F.repeat(F.concat("s_name", F.lit("\n")), F.lit(40)))
+    own = table(spark, sf, "supplier").select(
+        "s_suppkey", F.concat(F.lit("c"), k).alias("community_id"), F.concat(F.lit("s"), k).alias("slug"), F.col("s_name").alias("title"), body.alias("body_text"),
+        F.concat(F.lit("/wiki/s"), k, F.lit(".md")).alias("vfs_path"), F.lit("b1").alias("batch_id"),
+    )
+    return own.select(F.col("s_suppkey").alias("id"), *search.wiki_hit(stale=F.col("s_suppkey") % 2 == 0))
+
+
+@query(
+    "x16_relationship_hits",
+    """SELECT s_suppkey AS id, 'relationship' AS kind, s_name || ' -[IN]-> ' || n_name || CASE WHEN s_suppkey % 2 = 0 THEN ' (home)' ELSE '' END AS text,
+'{"source":"' || s_name || '","target":"' || n_name || '","type":"IN","description":"' || CASE WHEN s_suppkey % 2 = 0 THEN 'home' ELSE '' END || '"}' AS provenance FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+)
+def x16_relationships(spark: SparkSession, sf: str) -> DataFrame:
+    s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    told = F.when(F.col("s_suppkey") % 2 == 0, "home").otherwise("")
+    own = s.join(n, s["s_nationkey"] == n["n_nationkey"]).select("s_suppkey", F.col("s_name").alias("source"), F.col("n_name").alias("target"), F.lit("IN").alias("type"), told.alias("description"))
+    return own.select(F.col("s_suppkey").alias("id"), *search.relationship_hit())
+
+
 HALVES_SQL = f"""t AS (SELECT doc_id, {strip("coalesce(text, '')")} AS t FROM documents),
 j AS (SELECT *, length(t) // 2 AS middle, CASE WHEN contains(t, chr(10) || chr(10)) THEN chr(10) || chr(10) WHEN contains(t, chr(10)) THEN chr(10) END AS joint FROM t),
 p AS (SELECT doc_id, middle, length(joint) AS gap, unnest(string_split(t, joint)) AS part, generate_subscripts(string_split(t, joint), 1) AS k, len(string_split(t, joint)) AS n FROM j WHERE joint IS NOT NULL),
