@@ -13,6 +13,7 @@ from __future__ import annotations
 import bisect
 import functools
 import itertools
+import math
 import os
 import zlib
 from collections import Counter
@@ -44,10 +45,10 @@ class Filling:
 
 
 class Budget:
-    """Steps that are left to a search."""
+    """Steps that are left to a search; None: as many as it takes."""
 
-    def __init__(self, steps: int) -> None:
-        self.steps = steps
+    def __init__(self, steps: int | None) -> None:
+        self.steps = math.inf if steps is None else steps
 
     def __bool__(self) -> bool:
         return self.steps > 0
@@ -109,6 +110,8 @@ def _dominated(filling: list[int], spare: int, left: np.ndarray) -> bool:
 def _fillings(left: np.ndarray, capacity: int, most_waste: int, sums: tuple[list[int], list[int]], budget: Budget) -> Iterator[Filling]:
     """Undominated sequences around the longest piece, fullest first, each as often as the pieces allow and then once.
 
+    After a sequence that is used once the same may be used again, so any number of times between is a branch as well.
+
     ``most_waste``: what may be left empty; ``sums``: lengths and what they add up to (see ``_sums``).
     """
     longest = int(np.flatnonzero(left)[-1])
@@ -164,7 +167,7 @@ def _linked(fillings: tuple) -> list[Filling]:
     return out[::-1]
 
 
-def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, steps: int = SEARCH_STEPS) -> list[Filling]:
+def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, steps: int | None = SEARCH_STEPS) -> list[Filling]:
     """Fillings that use up all pieces in few sequences.
 
     ``counts``: pieces of each length from 1 to ``capacity``. Depth-first branch-and-bound: a sequence is
@@ -172,7 +175,7 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, steps: int =
     a branch ends when what it has wasted leaves no way below the incumbent. The incumbent is at first
     the best-fit solution; branches are closed by best-fit, at depths that double, and each better solution
     becomes the incumbent. The search ends when the incumbent meets the volume bound, when every branch
-    has been tried, or after ``steps`` steps.
+    has been tried, or after ``steps`` steps; with None for these it ends with a proof, however long that takes.
     """
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
@@ -282,7 +285,7 @@ def _places(fillings: list[Filling]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["length", "first", "each", "base", "offset"]).astype("int64").sort_values(["length", "first"], ignore_index=True)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", steps: int = SEARCH_STEPS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", steps: int | None = SEARCH_STEPS) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``. ``pieces`` has ``id_col, piece, length`` and is read more than once, so it should be a written table.
 
     What reaches the driver is a count for each of at most ``capacity`` lengths; what it sends out are the
@@ -315,11 +318,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", st
     return put.select(*pieces.columns, "put.sequence_id", "put.offset")
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", steps: int | None = SEARCH_STEPS) -> DataFrame:
     """One row per piece: ``id_col, piece, start, length, ids_crc32, sequence_id, offset``.
 
     Null text is empty; an empty document is one piece with the end id alone. Documents of more than
     ``capacity`` ids are cut, others stay whole. Other columns are ignored, also ones that carry the
-    result's names; an empty table gives an empty result.
+    result's names; an empty table gives an empty result. ``steps`` bounds the search (see ``complete_bins``).
     """
-    return pack(cut(document_pieces(docs, path, capacity, id_col, text_col)), capacity, id_col)
+    return pack(cut(document_pieces(docs, path, capacity, id_col, text_col)), capacity, id_col, steps)

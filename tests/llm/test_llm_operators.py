@@ -135,6 +135,17 @@ def test_bin_completion_against_optimum():
     assert packing.complete_bins({}, 20) == []
 
 
+def test_bin_completion_of_equal_pieces_is_proved():
+    """Few lengths, many pieces of each, where a filling is best used neither once nor as often as it could be; searched to the end."""
+    random.seed(11)
+    for _ in range(40):
+        own = random.sample(range(3, 17), 3)
+        lengths = sorted((x for x in own for _ in range(random.randint(1, 4))), reverse=True)
+        plan = packing.complete_bins(Counter(lengths), 20, steps=None)
+        assert sorted(x for f in plan for x in f.lengths * f.times) == sorted(lengths)
+        assert sum(f.times for f in plan) == optimum(lengths, 20)
+
+
 def test_bin_completion_of_many_pieces():
     """Sequences of five pieces, where best-fit wastes room; and never more than best-fit."""
     for n in (1, 7, 10**6):
