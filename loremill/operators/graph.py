@@ -99,7 +99,8 @@ def neighbourhood(edges: DataFrame, seeds: DataFrame, max_entities: int = 20, ma
     """For each ``query_id`` its seeds' edges and the entities at their ends, both capped in order.
 
     ``seeds``: ``query_id, rank, id``. The first ``max_entities`` seeds count, then the first
-    ``max_relationships`` edges by (type, source, target), then the first ``max_entities`` ends by id.
+    ``max_relationships`` edges by (type, source, target), then the first ``max_entities`` ends by id. Each task keeps only the
+    first of its own edges of a query before they meet (a limit that Spark puts below the window), so a hub is not sorted whole.
     """
     own = seeds.filter(F.col("rank") <= max_entities).select("query_id", "id")
     by = [own.join(edges, own["id"] == edges[end]).select("query_id", *edges.columns) for end in ("source", "target")]

@@ -297,11 +297,11 @@ MODE_SQL = """CASE WHEN regexp_matches(q, '\\[\\[[^\\]]+\\]\\]') THEN 'local'
  WHEN len(t) >= 8 THEN 'drift' ELSE 'basic' END"""
 
 
-@query("x15_q11_mode_routing", f"WITH m AS (SELECT conv_id, turn, trim(string_split(text, '.')[1], chr(10) || ' ') AS q FROM conversations), s AS (SELECT *, [x FOR x IN regexp_split_to_array(q, '\\s+') IF x <> ''] AS t FROM m) SELECT conv_id, turn, {MODE_SQL} AS mode FROM s")
+@query("x15_q11_mode_routing", f"WITH p AS (SELECT conv_id, turn, unnest(string_split(text, '.')) AS part, generate_subscripts(string_split(text, '.'), 1) AS k FROM conversations), m AS (SELECT conv_id, turn, (k - 1)::INT AS sentence, trim(part, chr(10) || ' ') AS q FROM p), s AS (SELECT *, [x FOR x IN regexp_split_to_array(q, '\\s+') IF x <> ''] AS t FROM m) SELECT conv_id, turn, sentence, {MODE_SQL} AS mode FROM s")
 def x15(spark: SparkSession, sf: str) -> DataFrame:
-    """The first sentence of each message as a query: which mode it is sent to."""
-    m = table(spark, sf, "conversations").select("conv_id", "turn", F.split("text", r"\.")[0].alias("q"))
-    return m.select("conv_id", "turn", X.search_mode("q", F.lit("auto")).alias("mode"))
+    """Every sentence of each message as a query: which mode it is sent to."""
+    m = table(spark, sf, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", r"\.")).alias("sentence", "q"))
+    return m.select("conv_id", "turn", "sentence", X.search_mode("q", F.lit("auto")).alias("mode"))
 
 
 @query("q11_unified_search")

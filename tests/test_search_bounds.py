@@ -108,3 +108,15 @@ def test_bounds_score_fewer_and_find_the_same(spark):
     assert n < matches / 2
     same = search.full_text(q, t, 5, index=search.postings(t))
     assert {(r.query_id, r.id): (r["rank"], round(r.score, 9)) for r in same.collect()} == want
+
+
+def test_hubs_are_cut_before_the_shuffle(spark):
+    """The first edges of a query are picked on each task before its edges meet in one."""
+    from loremill.operators import graph
+
+    edges = spark.createDataFrame([("T", "hub", f"n{k:03}", 1.0, "") for k in range(300)], "type string, source string, target string, confidence double, description string").repartition(4)
+    seeds = spark.createDataFrame([(1, 1, "hub")], "query_id long, rank int, id string")
+    rels, ends = graph.neighbourhood(edges, seeds)
+    assert rels.count() == 30 and ends.count() == 20
+    plan = rels._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan and "WindowGroupLimit" in plan
