@@ -586,6 +586,21 @@ def test_near_duplicates_hot_group(spark):
     assert wrong <= 1  # a pair at the threshold can miss all bands
 
 
+def test_near_duplicates_of_a_template(spark, monkeypatch):
+    """Texts that share most of their words, and still too few, are not compared with each other: the bounds on places come before the join."""
+    rng = random.Random(9)
+    frame_ = prose(rng, 190)
+    texts = [" ".join(frame_[:95] + [f"x{k}y{j}" for j in range(30)] + frame_[95:]) for k in range(200)]
+    texts += [texts[0] + " one word more", texts[7].replace("x7y3 ", "")]
+    met = []
+    own = bag_minhash._candidates
+    monkeypatch.setattr(bag_minhash, "_candidates", lambda *a: met.append(own(*a)) or met[-1])
+    got = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(frame(spark, texts)).collect()}
+    assert got == {**{k: k for k in range(200)}, 200: 0, 201: 7}
+    print("pairs that met", met[0].count())
+    assert met[0].count() < 200
+
+
 def test_near_duplicates_repeated_ids(spark):
     """Different texts under one id are told apart, and each keeps its links."""
     rng = random.Random(3)
