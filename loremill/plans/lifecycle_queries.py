@@ -303,7 +303,7 @@ def t1(spark: SparkSession, sf: str) -> DataFrame:
 def t1_files(spark: SparkSession, sf: str) -> DataFrame:
     """Names of suppliers as files, taken in as a stream of bytes; the register's keys are met with the files again."""
     root = _fresh(spark)
-    table(spark, sf, "supplier").select("s_suppkey", "s_name").repartition("s_suppkey").write.partitionBy("s_suppkey").text(f"{root}/in")
+    tables.write_each(table(spark, sf, "supplier").select("s_name"), f"{root}/in", 4 * spark.sparkContext.defaultParallelism)
     who = (F.lit("t"), F.lit("p"), F.lit("s"))
     files = lambda reader: reader.format("binaryFile").schema(tables.FILES).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(f"{root}/in")
     jobs.ingest_new(tables.file_content(files(spark.readStream), *who), f"{root}/out", f"{root}/at")

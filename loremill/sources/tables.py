@@ -82,6 +82,15 @@ def read_files(spark: SparkSession, path: str, tenant, project_id, source_id) ->
     return file_content(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path), tenant, project_id, source_id)
 
 
+def write_each(texts: DataFrame, path: str, tasks: int) -> None:
+    """A text file of its own for each row of one text column, all in one folder, written by so many tasks.
+
+    The number of tasks is stated, as adaptive execution would deal rows of a few bytes to one task; and each task
+    puts its files in place itself (version 2 of Hadoop's committer), as the driver would else move them one by one.
+    """
+    texts.repartition(tasks).write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Rows of JSON lines under a stated schema; blank lines are ignored."""
     return spark.read.schema(schema).json(path)
