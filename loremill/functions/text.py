@@ -125,6 +125,18 @@ def nfc(x: pd.Series) -> pd.Series:
     return x.str.normalize("NFC")
 
 
+#: Characters that form C leaves as they are, whatever stands beside them: none combines, and none is second in a composition.
+_SETTLED = r"\x00-\u02ff\u0400-\u0482\u048a-\u052f\u2010-\u2027\u2030-\u205e\u3000-\u3029\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff\uac00-\ud7a3\uff00-\uffef"
+
+
+def in_form_c(x) -> Column:
+    """The text in form C. Only texts with a character that could need it go to Python; for the others a null does."""
+    s = col(x)
+    # The cheaper tests first: most texts are ASCII or Latin.
+    may = (F.octet_length(s) > F.char_length(s)) & s.rlike(r"[^\x00-\u02ff]") & s.rlike(f"[^{_SETTLED}]")
+    return F.coalesce(nfc(F.when(may, s)), s)
+
+
 # What cleaning looks for.
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 _COMMAND = r"\\[a-zA-Z]+\{([^}]*)\}"
@@ -134,7 +146,7 @@ _MIDWORD = r"(?U)(?<=[^\n\s])\n(?=[^\n\s])"
 
 def _cleaned(x, normalise: bool) -> Column:
     s = F.coalesce(col(x), F.lit(""))
-    s = nfc(s) if normalise else s
+    s = in_form_c(s) if normalise else s
     s = F.regexp_replace(F.regexp_replace(s, _CONTROL, " "), _COMMAND, "$1")
     return F.regexp_replace(s, _HANGUL, "$1$2")
 
