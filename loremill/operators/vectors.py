@@ -25,6 +25,8 @@ SAMPLE, SAMPLE_BYTES, FITS = 8192, 32 << 20, 8
 PER_CELL, MOST_CELLS, PROBES = 256, 1024, 3
 #: Vectors and queries of a cell that are scored together.
 VECTORS, QUERIES = 4096, 1024
+#: Vectors whose angles to all centres are held at once: a matrix of at most 1,024 x 1,024 and its copies.
+SLICE = 1024
 #: What an angle may be off by from rounding.
 SLACK = 1e-6
 
@@ -59,6 +61,13 @@ def _fitted(sample: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
+def _sliced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches in parts of SLICE rows, so that angles to many centres take no more room than to few."""
+    for frame in frames:
+        for at in range(0, len(frame), SLICE):
+            yield frame.iloc[at : at + SLICE].reset_index(drop=True)
+
+
 def _angles(m: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(m @ centres.T, -1, 1))
 
@@ -79,7 +88,7 @@ def cells(vectors: DataFrame, k: int | None = None) -> Cells:
     centres = _fitted(units, min(k, len(units))) if len(units) else np.zeros((1, shape["width"] or 1))
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in _sliced(frames):
             keep, m = _unit(frame["vector"])
             if keep.any():
                 angle = _angles(m, centres)
@@ -104,7 +113,7 @@ def _visits(queries: DataFrame, index: Cells, first: bool) -> DataFrame:
     kinds = dict(queries.dtypes)
 
     def look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for frame in _sliced(frames):
             keep, m = _unit(frame["vector"])
             if not keep.any():
                 continue
