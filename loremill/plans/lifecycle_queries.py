@@ -13,7 +13,7 @@ from ..sources import tables
 from ..streaming import jobs
 from . import base
 from .base import CHUNKS_SQL, DOCS_SQL, LINKED_SQL, PROJECT_SQL, RAW_SQL, project, query, strip, table, uuid5
-from .graph_queries import mentions
+from .graph_queries import chunks_and_mentions, mentions
 from .ingest_queries import RAW_KEY_SQL
 
 #: Purged content: what the labels call toxic. Documents to purge: what they call bad.
@@ -122,8 +122,8 @@ def a8(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("l1_compensate", f"WITH {LINKED_SQL}, {WANTED_SQL} SELECT 'chunk' AS kind, count(*) AS n, count(*) FILTER (document_id NOT IN (SELECT document_id FROM wanted)) AS kept FROM chunks UNION ALL SELECT 'mention', count(*), count(*) FILTER (chunk_id NOT IN (SELECT chunk_id FROM chunks WHERE document_id IN (SELECT document_id FROM wanted))) FROM mentions")
 def l1(spark: SparkSession, sf: str) -> DataFrame:
-    c, m = cut(base.chunks(spark, sf)), cut(mentions(spark, sf).select("chunk_id", "entity_id"))
-    after, left = lifecycle.compensate(c.withColumn("embedding", F.lit(1.0)), m, wanted(spark, sf))
+    c, m = chunks_and_mentions(spark, sf)
+    after, left = lifecycle.compensate(c.withColumn("embedding", F.lit(1.0)), m.select("chunk_id", "entity_id"), wanted(spark, sf))
     one = after.agg(F.count(F.lit(1)).alias("n"), F.count("embedding").alias("kept")).select(F.lit("chunk").alias("kind"), "n", "kept")
     both = m.select(F.lit(1).alias("before"), F.lit(0).alias("after")).unionByName(left.select(F.lit(0).alias("before"), F.lit(1).alias("after")))
     return one.unionByName(both.agg(F.sum("before").alias("n"), F.sum("after").alias("kept")).select(F.lit("mention").alias("kind"), "n", "kept"))
@@ -137,8 +137,9 @@ FROM wanted w LEFT JOIN chunks c ON w.document_id = c.document_id LEFT JOIN e ON
 )
 def l1_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Every other chunk has an embedding to clear."""
-    c = base.chunks(spark, sf).withColumn("embedding", F.when(F.col("chunk_index") % 2 == 0, 1.0))
-    return lifecycle.compensation_audit(c, mentions(spark, sf).select("chunk_id", "entity_id"), wanted(spark, sf))
+    c, m = chunks_and_mentions(spark, sf, ["chunk_index"])
+    c = c.withColumn("embedding", F.when(F.col("chunk_index") % 2 == 0, 1.0))
+    return lifecycle.compensation_audit(c, m.select("chunk_id", "entity_id"), wanted(spark, sf))
 
 
 @query(
@@ -148,9 +149,8 @@ SELECT DISTINCT entity_id AS id, name FROM mentions WHERE entity_id NOT IN (SELE
 )
 def l1_pruned(spark: SparkSession, sf: str) -> DataFrame:
     """Entities that only compensated documents mention: orphans once their mentions are gone, as no edge names them."""
-    m = cut(mentions(spark, sf))
-    c = base.chunks(spark, sf).withColumn("embedding", F.lit(1.0))
-    _, left = lifecycle.compensate(c, m.select("chunk_id", "entity_id"), wanted(spark, sf))
+    c, m = chunks_and_mentions(spark, sf)
+    _, left = lifecycle.compensate(c.withColumn("embedding", F.lit(1.0)), m.select("chunk_id", "entity_id"), wanted(spark, sf))
     _, named, _ = graph.mention_tables(m)
     none = left.select(F.col("entity_id").alias("source"), F.col("entity_id").alias("target")).filter("source <> target")
     return graph.orphan_entities(named.withColumnRenamed("entity_id", "id"), left, none).select("id", "name")
@@ -366,9 +366,10 @@ def l2_deletes(spark: SparkSession, sf: str) -> DataFrame:
     for k, part in enumerate((own.filter(F.col("seq") <= mid), own.filter(F.col("seq") > mid))):
         part.write.parquet(f"{root}/in/part={k}")
         jobs.apply_deletes(spark.readStream.schema(own.schema).parquet(f"{root}/in/part=*"), known, f"{root}/gone", f"{root}/at")
+    c, m = chunks_and_mentions(spark, sf)
     given = {
         "documents": known, "tombstones": known.filter("false").select(*lifecycle.CONTENT, "document_id", F.lit("").alias("reason")),
-        "chunks": cut(base.chunks(spark, sf).withColumn("embedding", F.lit(1.0))), "mentions": cut(mentions(spark, sf).select("chunk_id", "entity_id")),
+        "chunks": c.withColumn("embedding", F.lit(1.0)), "mentions": m.select("chunk_id", "entity_id"),
         "stale": known.filter("false").select("tenant", "project_id", F.lit("").alias("community_id")),
     }
     after = jobs.after_deletes(spark, f"{root}/gone", given)
