@@ -49,13 +49,20 @@ NEAREST = math.sqrt(WEIGHT * WEIGHT / (1.005 + 0.05 * math.exp(1 / 1.5 - 2)))
 
 
 def postings(texts: DataFrame, scope: list[str] = ()) -> DataFrame:
-    """``id, scope, term, places, n``: where, and how often, each text (``id, text`` and the scope columns) has each lexeme. Written once, it serves any number of query tables."""
+    """``id, scope, terms, counts, places``: a row for each text (``id, text`` and the scope columns) with its lexemes in order, how often and where each stands. Written once, it serves any number of query tables."""
     occurs = texts.select("id", *scope, F.posexplode(lexemes("text")).alias("at", "term"))
     return _gathered(occurs, scope)
 
 
 def _gathered(occurs: DataFrame, scope: list[str]) -> DataFrame:
-    return occurs.groupBy("id", *scope, "term").agg(F.sort_array(F.collect_list("at")).alias("places")).withColumn("n", F.size("places"))
+    own = occurs.groupBy("id", *scope).agg(F.sort_array(F.collect_list(F.struct("term", "at"))).alias("o"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("o") - 1), lambda k: (k == 0) | (F.get("o", k)["term"] != F.get("o", k - 1)["term"]))
+    own = own.withColumn("starts", starts)
+    counts = F.transform("starts", lambda x, k: F.coalesce(F.get("starts", k + 1), F.size("o")) - x)
+    own = own.select("id", *scope, "o", "starts", counts.alias("counts"))
+    terms = F.transform("starts", lambda x: F.get("o", x)["term"])
+    places = F.transform("starts", lambda x, k: F.slice(F.col("o.at"), x + 1, F.get("counts", k)))
+    return own.select("id", *scope, terms.alias("terms"), "counts", places.alias("places"))
 
 
 def full_text(queries: DataFrame, texts: DataFrame, limit: int = CHANNEL_LIMIT, scope: list[str] = (), index: DataFrame | None = None) -> DataFrame:
@@ -73,30 +80,60 @@ def bounded_top(queries: DataFrame, texts: DataFrame, limit: int = CHANNEL_LIMIT
     The counts of its lexemes bound a match's rank: of one lexeme they say all, of several no two occurrences are nearer
     than neighbours. The ``limit`` matches of greatest bound are scored first; then only those whose bound reaches
     the last of these. Counts and places are columns of one written table, so the others' places are never read.
+
+    Queries for the same words are one query. A text meets a query at its word that the fewest texts have, in the text's own row:
+    a match is no row of a shuffle. Bounds are numbers of few values, so how many matches reach each
+    says which can be among the first; only these, and those whose score reaches the last of the first, are sorted.
     """
-    terms = cut(queries.select("query_id", *scope, F.explode(F.array_distinct(lexemes("query"))).alias("term")))
+    words = F.array_sort(F.array_distinct(lexemes("query")))
+    own = cut(queries.select("query_id", *scope, words.alias("words")).filter("size(words) > 0"))
+    asks = own.groupBy(*scope, "words").agg(F.min("query_id").alias("ask"))
+    terms = own.select(*scope, F.explode("words").alias("term")).distinct()
     if index is None:
         occurs = texts.select("id", *scope, F.posexplode(lexemes("text")).alias("at", "term"))
-        index = cut(_gathered(occurs.join(terms.select(*scope, "term").distinct(), [*scope, "term"], "left_semi"), scope))
-    asked = terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("k"))
-    n = F.col("n").cast("double")
-    sums = index.select("id", *scope, "term", "n").join(terms, [*scope, "term"]).groupBy("query_id", "id").agg(F.count(F.lit(1)).alias("has"), F.sum(n).alias("n"), F.sum(n * n).alias("squares"))
-    bound = F.when(F.col("k") == 1, _one(F.col("n").cast("int"))).otherwise(1 - F.pow(F.lit(1 - NEAREST), (F.col("n") * F.col("n") - F.col("squares")) / 2))
-    matches = cut(sums.join(asked, "query_id").filter("has = k").select("query_id", "id", "k", bound.alias("score")))
-    alone, many = matches.filter("k = 1").select("query_id", "id", "score"), matches.filter("k > 1").select("query_id", "id", F.col("score").alias("bound"))
-
-    def scored(some: DataFrame) -> DataFrame:
-        places = some.select("query_id", "id").join(terms, "query_id").join(index.select("id", *scope, "term", "places"), ["id", *scope, "term"])
-        hits = places.groupBy("query_id", "id").agg(F.sort_array(F.collect_list(F.struct("term", "places"))).alias("hits"))
-        return hits.select("query_id", "id", _all(F.col("hits")).alias("score"))
-
-    if many.isEmpty():
-        return ranked(alone, limit), many.select("query_id", "id")
-    first = cut(ranked(many.withColumnRenamed("bound", "score"), limit).select("query_id", "id"))
-    best = cut(scored(first))
-    edge = ranked(best, limit).filter(F.col("rank") == limit).select("query_id", F.col("score").alias("edge"))
-    rest = cut(many.join(first, ["query_id", "id"], "left_anti").join(edge, "query_id").filter(F.col("bound") >= F.col("edge") - 1e-8).select("query_id", "id"))
-    return ranked(alone.unionByName(best).unionByName(scored(rest)), limit), first.unionByName(rest)
+        index = cut(_gathered(occurs.join(terms, [*scope, "term"], "left_semi"), scope))
+    held = index.select(*scope, F.explode("terms").alias("term")).groupBy(*scope, "term").agg(F.count(F.lit(1)).alias("texts"))
+    rarest = asks.select("ask", *scope, "words", F.explode("words").alias("term")).join(held, [*scope, "term"])
+    asks = cut(rarest.groupBy("ask", *scope, "words").agg(F.min_by("term", F.struct("texts", "term")).alias("at_term")))
+
+    def matches(columns: list[str]) -> DataFrame:
+        met = index.select("id", *scope, "terms", *columns, F.explode("terms").alias("at_term")).join(asks, [*scope, "at_term"])
+        return met.filter(F.forall("words", lambda w: F.array_contains("terms", w)))
+
+    def of_word(column: str):
+        return lambda w: F.get(F.col(column), (F.array_position("terms", w) - 1).cast("int"))
+
+    def bounds(found: DataFrame, *columns: str) -> DataFrame:
+        k = F.size("words")
+        found = found.select("ask", "id", *columns, k.alias("k"), F.transform("words", lambda w: of_word("counts")(w).cast("double")).alias("n"))
+        zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("pairs"))
+        pairs = F.aggregate("n", zero, lambda a, x: F.struct((a["sum"] + x).alias("sum"), (a["pairs"] + a["sum"] * x).alias("pairs")), lambda a: a["pairs"])
+        bound = F.when(F.col("k") == 1, _one(F.get("n", F.lit(0)).cast("int"))).otherwise(1 - F.pow(F.lit(1 - NEAREST), pairs))
+        return found.select("ask", "id", "k", *columns, bound.alias("bound"))
+
+    def scored(found: DataFrame) -> Column:
+        hits = F.transform("words", lambda w: F.struct(w.alias("term"), of_word("places")(w).alias("places")))
+        return _all(hits).alias("score")
+
+    def top(hits: DataFrame) -> DataFrame:
+        return ranked(hits.withColumnRenamed("ask", "query_id"), limit).withColumnRenamed("query_id", "ask")
+
+    counted = bounds(matches(["counts"]))
+    steps = cut(counted.groupBy("ask", F.round("bound", 9).alias("step")).agg(F.count(F.lit(1)).alias("n")))
+    upward = Window.partitionBy("ask").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
+    least = steps.withColumn("before", F.coalesce(F.sum("n").over(upward), F.lit(0))).filter(F.col("before") < limit).groupBy("ask").agg(F.min("step").alias("least"))
+    first = cut(top(counted.join(cut(least), "ask").filter(F.round("bound", 9) >= F.col("least")).select("ask", "id", "k", F.col("bound").alias("score"))).drop("rank"))
+    alone, some = first.filter("k = 1").select("ask", "id", "score"), first.filter("k > 1").select("ask", "id")
+    best = matches(["places"]).join(some, ["ask", "id"])
+    best = cut(best.select("ask", "id", scored(best)))
+    edge = cut(top(best).filter(F.col("rank") == limit).select("ask", F.col("score").alias("edge")))
+    rest = bounds(matches(["counts", "places"]), "words", "terms", "places").join(edge, "ask").filter(F.col("bound") >= F.col("edge") - 1e-8)
+    rest = rest.join(some, ["ask", "id"], "left_anti")
+    reached = rest.select("ask", "id", "edge", scored(rest)).filter(F.col("score") >= F.col("edge") - 1e-8).select("ask", "id", "score")
+    out = cut(top(alone.unionByName(best).unionByName(reached)))
+    again = own.join(asks.select("ask", *scope, "words"), [*scope, "words"]).select("query_id", "ask")
+    read = some.unionByName(rest.select("ask", "id"))
+    return again.join(out, "ask").select("query_id", "id", "score", "rank"), again.join(read, "ask").select("query_id", "id")
 
 
 def vector_top(queries: DataFrame, vectors: DataFrame, limit: int = CHANNEL_LIMIT, index: Cells | None = None) -> DataFrame:

@@ -120,3 +120,24 @@ def test_hubs_are_cut_before_the_shuffle(spark):
     assert rels.count() == 30 and ends.count() == 20
     plan = rels._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
+def test_matches_are_not_written(spark, monkeypatch):
+    """Many queries for words that all texts have: no written table has a row for each match."""
+    rows = []
+
+    def counted(df, small=False):
+        out = cut(df, small)
+        rows.append(out.count())
+        return out
+
+    cut = search.cut
+    monkeypatch.setattr(search, "cut", counted)
+    texts = [(i, f"alpha beta {'alpha ' * (i % 7)} w{i}") for i in range(400)]
+    queries = [(q, ["alpha", "Beta", "beta alpha", f"alpha w{q}"][q % 4]) for q in range(60)]
+    t, q = spark.createDataFrame(texts, "id long, text string"), spark.createDataFrame(queries, "query_id long, query string")
+    got = {(r.query_id, r["rank"]): r.id for r in search.full_text(q, t, 3).collect()}
+    assert max(rows) <= 400, rows
+    assert [got[0, k] for k in (1, 2, 3)] == [6, 13, 20] and [got[1, k] for k in (1, 2, 3)] == [0, 1, 2]
+    assert all(got[a + 4, k] == got[a, k] for a in range(0, 56) if a % 4 < 3 for k in (1, 2, 3))
+    assert all(got[a, 1] == a for a in range(3, 60, 4)) and len(got) == 3 * 45 + 15
